@@ -81,7 +81,7 @@ def escape_backslash(c: Column) -> Column:
 
 
 def escape_newlines(c: Column) -> Column:
-    return F.regexp_replace(c, "\r\n|\r|\n", "\\\\\\\\r")
+    return F.regexp_replace(c, "\r\n|\r|\n", "\\\\r")
 
 
 @F.pandas_udf("string")
@@ -103,7 +103,7 @@ _HTML_TOKEN = (
     r"|[^<]+|<"
 )
 _RAW_ELEMENT = r"(?is)^<(?:script|style)\b[^>]*>(.*)</(?:script|style)\s*>$"
-_HELD_AMP = ""
+_HELD_AMP = "\ue000"
 
 
 def strip_html(c: Column) -> Column:
