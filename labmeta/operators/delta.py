@@ -18,9 +18,11 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    """Equality on ``columns`` where nulls match each other."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+def match_keys(df: DataFrame, other: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on ``columns`` where nulls match each other."""
+    side = other.select([F.col(c).alias(f"_match_{c}") for c in columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_match_{c}")) for c in columns])
+    return df.join(side, same, how)
 
 
 def duplicate_groups(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -48,8 +50,7 @@ def drop_all_copies(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def keep_copies(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose key appears more than once."""
-    repeated = duplicate_groups(df, key)
-    return df.join(repeated, null_safe(df, repeated, key), "left_semi")
+    return match_keys(df, duplicate_groups(df, key), key, "left_semi")
 
 
 def classify_delta(
@@ -94,7 +95,7 @@ def classify_delta(
         *[(F.col(c) if c in curr.columns else F.lit(None)).alias(c) for c in derived],
         F.lit(True).alias("_in_curr"),
     )
-    same_key = reduce(lambda a, b: a & b, [new[c].eqNullSafe(old[f"_prev_{i}"]) for i, c in enumerate(key)])
+    same_key = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_prev_{i}")) for i, c in enumerate(key)])
     same_values = F.lit(True)
     for c in values:
         side = F.sha2(F.col(c), 256) if c in wide else F.col(c)
@@ -162,7 +163,7 @@ def replace_scope(target: DataFrame, load: DataFrame, scope: Column | DataFrame)
     ``scope`` is a predicate on ``target``, or a frame of key values whose rows are replaced.
     """
     if isinstance(scope, DataFrame):
-        outside = target.join(scope, null_safe(target, scope, scope.columns), "left_anti")
+        outside = match_keys(target, scope, scope.columns, "left_anti")
     else:
         outside = target.filter(~F.coalesce(scope, F.lit(False)))
     return outside.unionByName(load)

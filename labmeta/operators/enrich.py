@@ -26,7 +26,7 @@ def lookup(
     left = df.drop(*[c for c in take if c not in on])
     right = dim.select(*[F.col(c).alias(f"_dim_{c}") if c in on else F.col(c) for c in [*on, *take]])
     same = [
-        (left[c].eqNullSafe(right[f"_dim_{c}"]) if null_safe else left[c] == right[f"_dim_{c}"]) for c in on
+        F.col(c).eqNullSafe(F.col(f"_dim_{c}")) if null_safe else F.col(c) == F.col(f"_dim_{c}") for c in on
     ]
     return left.join(right, same, how).drop(*[f"_dim_{c}" for c in on])
 
