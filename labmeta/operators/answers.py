@@ -13,7 +13,7 @@ from labmeta.functions.text import join_path, parent_index
 from labmeta.operators.enrich import union_by_name
 from labmeta.schemas import ANSWER_GROUP_TYPES, OPTION_TYPES
 
-MAX_DEPTH = 10
+MAX_DEPTH = 8
 
 OBJECT, ARRAY, BOOLEAN, SCALAR = "OBJECT", "ARRAY", "BOOLEAN", "SCALAR"
 # Types whose rows repeat once per option in the schema and are reduced to the option chosen.
