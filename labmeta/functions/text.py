@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Header key prefixes kept from a scan's field map, and their short forms.
 HEADER_PREFIXES = {
@@ -84,14 +85,14 @@ def escape_newlines(c: Column) -> Column:
     return F.regexp_replace(c, "\r\n|\r|\n", "\\\\r")
 
 
-@F.pandas_udf("string")
-def _unescape(s: pd.Series) -> pd.Series:
-    return s.map(html.unescape, na_action="ignore")
-
-
 def decode_entities(c: Column) -> Column:
     """HTML entities to characters. Only texts holding ``&`` are sent to Python."""
-    return F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)
+
+    def unescape(s: pd.Series) -> pd.Series:
+        return s.map(html.unescape, na_action="ignore")
+
+    decoded = F.pandas_udf(unescape, T.StringType())
+    return F.coalesce(decoded(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
 # One token per match: comment, raw-text element, declaration, tag, or a run of text.
