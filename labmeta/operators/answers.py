@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,119 +29,140 @@ class Naming:
     delimiter: str = "|"
 
 
+# A string literal that could be taken for an object, a list or a boolean once its quotes are gone.
+_LOOKALIKE = r'"[{\[]|"true"|"false"|\\u00[4-7]'
+
+
+def _is_plain(document: Column) -> Column:
+    return ~F.rlike(document, F.lit(_LOOKALIKE))
+
+
 def _kind(text: Column, value: Column) -> Column:
-    """JSON kind of a value. Only texts that could be mistaken for something else ask the variant."""
-    first = F.substring(text, 1, 1)
-    doubtful = first.isin("{", "[") | text.isin("true", "false")
-    shape = F.schema_of_variant(value)
-    return (
-        F.when(~doubtful | text.isNull(), F.lit(SCALAR))
-        .when(shape.startswith("OBJECT"), F.lit(OBJECT))
+    """JSON kind of a value. In a plain document the text tells; otherwise the typed value does."""
+    shape, first = F.schema_of_variant(value), F.substring(text, 1, 1)
+    by_text = (
+        F.when(first == "{", F.lit(OBJECT))
+        .when(first == "[", F.lit(ARRAY))
+        .when(text.isin("true", "false"), F.lit(BOOLEAN))
+        .otherwise(F.lit(SCALAR))
+    )
+    by_shape = (
+        F.when(shape.startswith("OBJECT"), F.lit(OBJECT))
         .when(shape.startswith("ARRAY"), F.lit(ARRAY))
         .when(shape == "BOOLEAN", F.lit(BOOLEAN))
         .otherwise(F.lit(SCALAR))
     )
+    return F.when(F.col("_plain"), by_text).otherwise(by_shape)
 
 
-def _object_entries(text: Column) -> Column:
-    """Entries in document order with raw text and kind: array<struct<key, value, kind>>."""
-    raw = F.from_json(text, "map<string,string>")
-    typed = F.from_json(text, "map<string,variant>")
-    return F.transform(
-        F.arrays_zip(
-            F.map_keys(raw).alias("key"), F.map_values(raw).alias("value"), F.map_values(typed).alias("typed")
-        ),
-        lambda e: F.struct(
-            e["key"].alias("key"), e["value"].alias("value"), _kind(e["value"], e["typed"]).alias("kind")
-        ),
-    )
+def _typed(text: Column, schema: str, when: Column) -> Column:
+    """Values with their JSON types; a plain document is not parsed a second time."""
+    return F.when(when & ~F.col("_plain"), F.from_json(text, schema))
 
 
-def _array_items(text: Column) -> Column:
-    raw = F.from_json(text, "array<string>")
-    typed = F.from_json(text, "array<variant>")
-    return F.transform(
-        F.arrays_zip(raw.alias("value"), typed.alias("typed")),
-        lambda e: F.struct(e["value"].alias("value"), _kind(e["value"], e["typed"]).alias("kind")),
-    )
-
+def _zip(keys: Column, values: Column, typed: Column) -> Column:
+    none = F.array().cast("array<variant>")
+    return F.arrays_zip(keys.alias("key"), values.alias("value"), F.coalesce(typed, none).alias("typed"))
 
-def _node(variable, value, kind, index, path, list_uri, multi, done=False) -> Column:
-    def col(x, t="string"):
-        return (x if isinstance(x, Column) else F.lit(x)).cast(t)
 
-    return F.struct(
-        col(variable).alias("question_id"),
-        col(value).alias("response_text"),
-        col(kind).alias("kind"),
-        col(index).alias("response_index_in_list"),
-        col(path).alias("question_group_id"),
-        col(list_uri).alias("response_list_group_uri"),
-        col(multi, "boolean").alias("multiselect"),
-        col(done, "boolean").alias("done"),
-    )
+_NODE = (
+    "question_id", "response_text", "kind", "response_index_in_list", "question_group_id",
+    "response_list_group_uri", "multiselect",
+)
 
 
 def explode_document(docs: DataFrame, document: str = "xnat_custom_fields") -> DataFrame:
-    """One row per top-level key, numbered in document order from 0."""
+    """One row per top-level key with its value as text, numbered in document order from 0."""
     keep = [c for c in docs.columns if c != document]
-    return docs.select(
-        *keep, F.posexplode(_object_entries(F.col(document))).alias("pos", "e")
-    ).select(
+    text = F.col(document)
+    none = F.lit(None).cast("string")
+    parsed = docs.select(*docs.columns, _is_plain(text).alias("_plain")).select(
+        *keep,
+        "_plain",
+        F.from_json(text, "map<string,string>").alias("_object"),
+        _typed(text, "map<string,variant>", F.lit(True)).alias("_object_types"),
+    )
+    entries = _zip(F.map_keys("_object"), F.map_values("_object"), F.map_values("_object_types"))
+    return parsed.select(*keep, "_plain", F.posexplode(entries).alias("_pos", "_e")).select(
         *keep,
-        F.inline(F.array(_node(F.col("e.key"), F.col("e.value"), F.col("e.kind"), F.col("pos"), None, None, False))),
+        "_plain",
+        F.col("_e.key").alias("question_id"),
+        F.col("_e.value").alias("response_text"),
+        _kind(F.col("_e.value"), F.col("_e.typed")).alias("kind"),
+        F.col("_pos").cast("string").alias("response_index_in_list"),
+        none.alias("question_group_id"),
+        none.alias("response_list_group_uri"),
+        F.lit(False).alias("multiselect"),
     )
 
 
-def expand_level(nodes: DataFrame, keep: Sequence[str], subject: str, naming: Naming) -> DataFrame:
-    """Open every object and list by one level; finished rows pass through.
+def level_opener(keep: Sequence[str], subject: str, naming: Naming) -> Callable[[DataFrame], DataFrame]:
+    """A step that opens every object and list by one level; finished rows pass through.
 
-    An object stays as a row with null text; its members take the object's path and number. A false
-    check-box is dropped after numbering and a true one becomes (object, key). A list is replaced by its
-    items, numbered below the list's own index.
+    An object stays as a row with null text (kind ``GROUP``); its members take the object's path and number.
+    A false check-box is dropped after numbering and a true one becomes (object, key). A list is replaced by
+    its items, numbered below the list's own index. The step is projections and one generator over built-in
+    functions without lambdas, so all levels run as generated code.
     """
-    var, text, index = F.col("question_id"), F.col("response_text"), F.col("response_index_in_list")
-    path, list_uri, multi = F.col("question_group_id"), F.col("response_list_group_uri"), F.col("multiselect")
+    var, text, kind, index, path, list_uri, multi = map(F.col, _NODE)
+    is_object, is_array = kind == OBJECT, kind == ARRAY
     seed = [F.col(subject), path, var, index]
-    below = join_path(path, var)
-    is_object = ~F.col("done") & (F.col("kind") == OBJECT)
-    is_array = ~F.col("done") & (F.col("kind") == ARRAY)
-
-    opened = nodes.select(
-        *nodes.columns,
-        F.when(is_object, _object_entries(text)).alias("entries"),
-        F.when(is_array, _array_items(text)).alias("items"),
-        F.when(is_object, surrogate_uri(naming.base, seed, naming.salt, naming.delimiter)).alias("object_uri"),
-    )
-    self_row = _node(var, text, F.col("kind"), index, path, list_uri, multi, True)
-    object_row = _node(var, None, OBJECT, index, path, list_uri, multi, True)
-
-    def member(e: Column, i: Column) -> Column:
-        at = F.concat_ws(".", index, i.cast("string"))
-        checked = e["kind"] == BOOLEAN
-        return F.when(
-            checked, _node(var, e["key"], SCALAR, at, path, F.col("object_uri"), True, True)
-        ).otherwise(_node(e["key"], e["value"], e["kind"], at, below, F.col("object_uri"), False))
-
-    def unchecked(e: Column) -> Column:
-        return (e["kind"] == BOOLEAN) & (e["value"] == "false")
-
-    members = F.filter(
-        F.transform(F.col("entries"), lambda e, i: F.struct(unchecked(e).alias("skip"), member(e, i).alias("n"))),
-        lambda m: ~m["skip"],
-    )
-
-    def item(e: Column, i: Column) -> Column:
-        n = i.cast("string")
-        uri = surrogate_uri(naming.base, [*seed, n], naming.salt, naming.delimiter)
-        return _node(var, e["value"], e["kind"], F.concat_ws(".", index, n), path, uri, False)
+    parse = [
+        F.when(is_object, F.from_json(text, "map<string,string>")).alias("_object"),
+        _typed(text, "map<string,variant>", is_object).alias("_object_types"),
+        F.when(is_array, F.from_json(text, "array<string>")).alias("_array"),
+        _typed(text, "array<variant>", is_array).alias("_array_types"),
+        F.when(is_object, surrogate_uri(naming.base, seed, naming.salt, naming.delimiter)).alias("_object_uri"),
+    ]
+    # The object itself comes first, so its members are numbered from 1 here.
+    itself = F.array(F.lit(None).cast("string"))
+    untyped = F.from_json(F.lit("[null]"), "array<variant>")
+    entries = F.when(
+        is_object,
+        _zip(
+            F.concat(itself, F.map_keys("_object")),
+            F.concat(itself, F.map_values("_object")),
+            F.concat(untyped, F.map_values("_object_types")),
+        ),
+    ).when(is_array, _zip(F.array().cast("array<string>"), F.col("_array"), F.col("_array_types")))
+
+    pos, key, value, child_kind = F.col("_pos"), F.col("_e.key"), F.col("_e.value"), F.col("_child_kind")
+    found = pos.isNotNull()
+    group, item = found & is_object & (pos == 0), found & is_array
+    any_member = found & is_object & (pos > 0)
+    box, member = any_member & (child_kind == BOOLEAN), any_member & (child_kind != BOOLEAN)
+    child = any_member | item
+    ordinal = F.when(is_object, pos - 1).otherwise(pos).cast("string")
+    item_uri = surrogate_uri(naming.base, [*seed, ordinal], naming.salt, naming.delimiter)
+    step = [
+        F.when(member, key).otherwise(var).alias("question_id"),
+        F.when(box, key).when(child, value).when(~group, text).alias("response_text"),
+        F.when(group, F.lit("GROUP")).when(box, F.lit(SCALAR)).when(child, child_kind).otherwise(kind).alias("kind"),
+        F.when(child, F.concat(index, F.lit("."), ordinal)).otherwise(index).alias("response_index_in_list"),
+        F.when(member, join_path(path, var)).otherwise(path).alias("question_group_id"),
+        F.when(any_member, F.col("_object_uri")).when(item, item_uri).otherwise(list_uri).alias(
+            "response_list_group_uri"
+        ),
+        F.when(found, box).otherwise(multi).alias("multiselect"),
+    ]
+    empty_list = is_array & ~found & (F.size("_array") == 0)
+    dropped = empty_list | (box & (value == "false"))
+    zipped, numbered = entries.alias("_entries"), F.posexplode_outer("_entries").alias("_pos", "_e")
+    typed_child = F.when(found, _kind(value, F.col("_e.typed"))).alias("_child_kind")
+    kept = ~F.coalesce(dropped, F.lit(False))
+    base = [*keep, "_plain", *_NODE]
+
+    def open_level(nodes: DataFrame) -> DataFrame:
+        return (
+            nodes.select(*base, *parse)
+            .select(*base, "_object_uri", "_array", zipped)
+            .select(*base, "_object_uri", "_array", numbered)
+            .select(*base, "_object_uri", "_array", "_pos", "_e", typed_child)
+            .filter(kept)
+            .select(*keep, "_plain", *step)
+        )
 
-    expanded = (
-        F.when(F.col("entries").isNotNull(), F.concat(F.array(object_row), F.transform(members, lambda m: m["n"])))
-        .when(F.col("items").isNotNull(), F.transform(F.col("items"), item))
-        .otherwise(F.array(self_row))
-    )
-    return opened.select(*keep, F.inline(expanded))
+    return open_level
 
 
 def flatten_answers(
@@ -151,17 +172,18 @@ def flatten_answers(
     naming: Naming = Naming(),
     max_depth: int = MAX_DEPTH,
 ) -> DataFrame:
-    """Documents to answer rows: one narrow pipeline, ``max_depth`` generators, no shuffle.
+    """Documents to answer rows: one narrow pipeline, one generator per level, no shuffle and no union.
 
     A document nested deeper than ``max_depth`` fails the job rather than losing answers.
     """
     keep = [c for c in docs.columns if c != document]
+    open_level = level_opener(keep, subject, naming)
     nodes = explode_document(docs, document)
     for _ in range(max_depth):
-        nodes = expand_level(nodes, keep, subject, naming)
-    open_value = ~F.col("done") & F.col("kind").isin(OBJECT, ARRAY)
+        nodes = open_level(nodes)
     text = F.when(
-        open_value, F.raise_error(F.lit(f"answers nested deeper than {max_depth} levels")).cast("string")
+        F.col("kind").isin(OBJECT, ARRAY),
+        F.raise_error(F.lit(f"answers nested deeper than {max_depth} levels")).cast("string"),
     ).otherwise(F.col("response_text"))
     return nodes.select(
         *keep,
