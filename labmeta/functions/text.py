@@ -95,12 +95,14 @@ def decode_entities(c: Column) -> Column:
     return F.coalesce(decoded(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
-# One token per match: comment, raw-text element, declaration, tag, or a run of text.
+# One token per match: comment, raw-text element, declaration, tag, or a run of text. What is left open at the
+# end of the page counts as markup.
 _HTML_TOKEN = (
-    r"(?is)<!--.*?-->"
-    r"|<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>"
-    r"|<[!?][^>]*>"
-    r"|</?[a-z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>"
+    r"(?is)<!--.*?(?:-->|\z)"
+    r"|<script\b[^>]*>.*?(?:</script\s*>|\z)"
+    r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|<[!?][^>]*(?:>|\z)"
+    r"|</?[a-z](?:\"[^\"]*\"|'[^']*'|[^'\">]++)*+(?:>|\z)"
     r"|[^<]+|<"
 )
 _RAW_ELEMENT = r"(?is)^<(?:script|style)\b[^>]*>(.*)</(?:script|style)\s*>$"

@@ -368,3 +368,8 @@ def reuse_list_uri(existing: DataFrame, answers: DataFrame, key: Sequence[str] =
         for c in answers.columns
     ]
     return answers.join(side, same, "left").select(*columns)
+
+
+def in_index_order(answers: DataFrame) -> DataFrame:
+    """Answers ordered by their index path as text (a range-partitioned sort)."""
+    return answers.orderBy("response_index_in_list")
