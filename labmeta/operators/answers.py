@@ -373,3 +373,8 @@ def reuse_list_uri(existing: DataFrame, answers: DataFrame, key: Sequence[str] =
 def in_index_order(answers: DataFrame) -> DataFrame:
     """Answers ordered by their index path as text (a range-partitioned sort)."""
     return answers.orderBy("response_index_in_list")
+
+
+def existing_answers(answers: DataFrame, study: str, subject_type: str) -> DataFrame:
+    """Stored answers of one study and level (study, subject or session)."""
+    return answers.filter((F.col("research_study_id") == study) & (F.col("response_subject_type") == subject_type))
