@@ -41,7 +41,9 @@ def _strings(names: Sequence[str]) -> T.StructType:
 
 
 def _xml(spark: SparkSession, path: str, tag: str, fields: Sequence[str]) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", tag).schema(_strings(fields)).load(path)
+    """Files are split at the record element, so a file may hold any number of records."""
+    reader = spark.read.format("xml").option("rowTag", tag).option("multiLine", "false")
+    return reader.schema(_strings(fields)).load(path)
 
 
 def read_envelopes(spark: SparkSession, path: str, ids: Sequence[str]) -> DataFrame:

@@ -1 +1,225 @@
+"""Cohort and graph queries. Nations are studies, customers subjects, orders sessions, order lines scans and
+events the subjects' answers."""
 
+from pyspark.sql import functions as F
+
+from labmeta.operators import cohort as Co
+from labmeta.operators import graph as G
+from labmeta.operators import linked as Li
+from queries.documents import event_answers
+from queries.registry import query, table
+
+
+def lab(spark, d):
+    uri = lambda name, c: F.concat(F.lit(f"urn:{name}:"), c)
+    n, c, o, l = (table(spark, d, t) for t in ("nation", "customer", "orders", "lineitem"))
+    study = n.select(uri("study", "n_nationkey").alias("research_study_uri"), F.col("n_name").alias("research_study_id"))
+    subject = c.select(
+        uri("study", "c_nationkey").alias("research_study_uri"), uri("subject", "c_custkey").alias("research_subject_uri"),
+        F.col("c_name").alias("research_subject_id"), F.col("c_mktsegment").alias("segment"),
+    )
+    session = o.select(
+        uri("subject", "o_custkey").alias("research_subject_uri"), uri("session", "o_orderkey").alias("session_uri"),
+        F.col("o_orderkey").alias("session_id"),
+    )
+    scan_uri = F.concat_ws(":", F.lit("urn:scan"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    scan = l.select(
+        uri("session", "l_orderkey").alias("session_uri"), scan_uri.alias("acquisition_uri"),
+        F.col("l_linenumber").cast("string").alias("acquisition_id"), F.nullif(F.col("l_returnflag"), F.lit("N")).alias("series_description"),
+    )
+    return study, subject, session, scan
+
+
+def scan_headers(spark, d):
+    """One header per scan: a field map when the line is open, else a DICOM dump."""
+    l = table(spark, d, "lineitem").dropDuplicates(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    open_ = F.col("l_linestatus") == "O"
+    fields = F.concat(F.lit('{"bids:Manufacturer":"M'), F.col("l_suppkey"), F.lit('"}'))
+    dump = F.concat(
+        F.lit('[{"tag1":"(0008,0070)","desc":"bids:Manufacturer","value":"M'), F.col("l_suppkey"), F.lit('"}]')
+    )
+    return l.select(
+        F.concat_ws(":", F.lit("urn:scan"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("acquisition_uri"),
+        F.when(~open_, dump).alias("dicom_header"), F.when(open_, fields).alias("non_dicom_header"),
+    )
+
+
+def answers(spark, d):
+    e = table(spark, d, "events")
+    return e.select(
+        F.concat(F.lit("urn:subject:"), "user_id").alias("response_subject_uri"),
+        F.concat(F.lit("urn:answer:"), "event_id").alias("questionnaire_response_item_uri"),
+        F.col("event_type").alias("question_label"),
+        F.when(F.col("event_type") == "error", "selectboxes").alias("question_type"),
+        F.when(F.col("value") >= 60, "high").otherwise("low").alias("response_text"),
+        F.when(F.col("value") >= 60, "coded high").otherwise("coded low").alias("response_code_display"),
+    )
+
+
+CHAIN = """lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey"""
+
+
+@query(
+    f"""select n_name as study_id, c_name as subject_id, o_orderkey as session_id, cast(l_linenumber as varchar) as acquisition_id,
+      l_returnflag as acquisition_description from {CHAIN} where l_returnflag <> 'N'"""
+)
+def study_subject_session_scan(spark, d):
+    out = Co.study_subject_session_scan(*lab(spark, d), described_only=True)
+    return out.select("study_id", "subject_id", "session_id", "acquisition_id", "acquisition_description")
+
+
+def _answer_sql(label, text="case when value >= 60 then 'high' else 'low' end"):
+    return f"(select distinct user_id, {text} as answer from events where event_type = '{label}')"
+
+
+@query(
+    f"""select c_custkey, a.answer as click, b.answer as "view", cast(null as varchar) as error from customer
+      left join {_answer_sql('click')} a on a.user_id = c_custkey left join {_answer_sql('view')} b on b.user_id = c_custkey"""
+)
+def optional_answers(spark, d):
+    """One column per question; several answers give several rows; coded answers are not plain values."""
+    c = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("urn:subject:"), "c_custkey").alias("uri"))
+    out = Co.optional_answers(c, answers(spark, d), {"uri": ["click", "view", "error"]})
+    return out.drop("uri")
+
+
+@query(
+    f"""select c_custkey, a.answer as error from customer
+      left join {_answer_sql('error', "case when value >= 60 then 'coded high' else 'coded low' end")} a on a.user_id = c_custkey"""
+)
+def optional_coded_answers(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("urn:subject:"), "c_custkey").alias("uri"))
+    return Co.optional_answer(c, answers(spark, d), "uri", "error", include_coded=True).drop("uri")
+
+
+@query(
+    f"""select distinct n_name as study_id, c_name as subject_id, o_orderkey as session_id, cast(l_linenumber as varchar) as acquisition_id,
+      a.answer as click, b.answer as "view"
+      from {CHAIN} left join {_answer_sql('click')} a on a.user_id = c_custkey left join {_answer_sql('view')} b on b.user_id = c_custkey
+      where l_linenumber = 3 and a.answer = 'high' and starts_with(b.answer, 'lo') and contains(c_mktsegment, 'B')"""
+)
+def cohort(spark, d):
+    """Pattern, optional answers, text predicates, distinct."""
+    study, subject, session, scan = lab(spark, d)
+    pattern = Co.study_subject_session_scan(
+        study, subject.filter(Co.contains(F.col("segment"), "B")), session, scan
+    )
+    out = Co.optional_answers(pattern, answers(spark, d), {"research_subject_uri": ["click", "view"]}).filter(
+        Co.equals(F.col("acquisition_id"), "3") & Co.equals(F.col("click"), "high") & Co.starts_with(F.col("view"), "lo")
+    )
+    return Co.select_distinct(out, ["study_id", "subject_id", "session_id", "acquisition_id", "click", "view"])
+
+
+@query(
+    f"""select distinct c_name as subject_id, o_orderkey as session_id, cast(l_linenumber as varchar) as acquisition_id, 'M' || l_suppkey as device_manufacturer
+      from {CHAIN} where l_suppkey = 7"""
+)
+def scans_by_header(spark, d):
+    """Scan header equals a value, whether it came as a field map or as a DICOM dump."""
+    objects = scan_headers(spark, d).withColumn("device_manufacturer", Co.header_value("bids:Manufacturer"))
+    study, subject, session, scan = lab(spark, d)
+    found = objects.filter("device_manufacturer = 'M7'").select("acquisition_uri", "device_manufacturer")
+    out = Co.study_subject_session_scan(study, subject, session, scan).join(found, "acquisition_uri")
+    return Co.select_distinct(out, ["subject_id", "session_id", "acquisition_id", "device_manufacturer"])
+
+
+def resources(spark, d):
+    """Resource rows from parts; large ones are deprecated."""
+    p = table(spark, d, "part")
+    return p.select(
+        F.concat(F.lit("urn:part:"), "p_partkey").alias("resource_uri"),
+        F.array(F.concat(F.lit("lab:"), "p_type"), F.lit("prov:Entity")).alias("resource_types"),
+        F.col("p_name").alias("body"), (F.col("p_partkey") % 5 + 1).cast("int").alias("_rev"), (F.col("p_size") > 40).alias("deprecated"),
+    )
+
+
+@query("select 'urn:part:' || p_partkey as resource_uri from part where p_size <= 40")
+def live_resources(spark, d):
+    return G.not_deprecated(resources(spark, d)).select("resource_uri")
+
+
+@query(
+    """select l_orderkey, l_partkey from lineitem where l_partkey not in (select p_partkey from part where p_size > 40)"""
+)
+def rows_of_live_resources(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", F.concat(F.lit("urn:part:"), "l_partkey").alias("uri"))
+    return G.not_deprecated(rows, resources(spark, d), "uri").drop("uri")
+
+
+@query(
+    """select 'urn:part:' || p_partkey as resource_uri, p_type = 'PROMO' as exact from part where p_type = 'PROMO' or regexp_matches(p_type, '(?i)sma|larg')"""
+)
+def resources_of_type(spark, d):
+    """Exact type or case-insensitive pattern over the types."""
+    r = resources(spark, d)
+    exact = G.of_type(r, "lab:PROMO").select("resource_uri", F.lit(True).alias("exact"))
+    return exact.unionByName(G.of_type(r, "sma|larg", regex=True).select("resource_uri", F.lit(False).alias("exact")))
+
+
+@query(
+    """select event_id, event_type as kind, cast(user_id as varchar) as user_name, case when value >= 60 then props end as extra from events
+    union all select event_id, 'second', null, null from events"""
+)
+def bindings_to_table(spark, d):
+    """Query-result JSON to columns; a variable without a binding is null."""
+    e = table(spark, d, "events")
+    binding = F.to_json(
+        F.struct(
+            F.struct(F.lit("literal").alias("type"), F.col("event_id").cast("string").alias("value")).alias("event_id"),
+            F.struct(F.col("event_type").alias("value")).alias("kind"),
+            F.struct(F.col("user_id").cast("string").alias("value")).alias("user_name"),
+            F.when(F.col("value") >= 60, F.struct(F.col("props").alias("value"))).alias("extra"),
+        )
+    )
+    second = F.concat(F.lit('{"event_id":{"value":"'), F.col("event_id"), F.lit('"},"kind":{"value":"second"}}'))
+    body = F.concat(
+        F.lit('{"head":{"vars":["event_id","kind","user_name","extra"]},"results":{"bindings":['), binding, F.lit(","), second, F.lit("]}}")
+    )
+    out = Co.bindings_to_table(e.select(body.alias("body")), ["event_id", "kind", "user_name", "extra"])
+    return out.withColumn("event_id", F.col("event_id").cast("bigint"))
+
+
+@query(
+    """select 'urn:session:' || o_orderkey as s, 'prov:wasAssociatedWith' as p, 'urn:subject:' || o_custkey as o from orders
+    union all select 'urn:session:' || o_orderkey, 'dcterms:isPartOf', 'urn:study:' || o_orderstatus from orders where o_orderstatus <> 'P'"""
+)
+def resource_edges(spark, d):
+    rows = table(spark, d, "orders").select(
+        F.concat(F.lit("urn:session:"), "o_orderkey").alias("session_uri"), F.concat(F.lit("urn:subject:"), "o_custkey").alias("research_subject_uri"),
+        F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("urn:study:"), "o_orderstatus")).alias("research_study_uri"),
+    )
+    return Li.edges(rows, "session_uri", Li.LINKS["session"])
+
+
+ANSWER_EDGES = """with e as (select *, 'urn:answer:' || event_id as child, 'urn:response:' || user_id as resp,
+    case when event_type in ('click', 'view') then 'urn:group:' || user_id end as grp,
+    case when event_type in ('click', 'error') then 'urn:list:' || event_id end as lst from events)
+  select distinct coalesce(grp, resp) as s,
+    'fhir:QuestionnaireResponse.item' || case when grp is not null then '.item' else '' end as p, coalesce(lst, child) as o from e
+  union all select lst, 'fhir:QuestionnaireResponse.item.item', child from e where lst is not null"""
+
+
+@query(ANSWER_EDGES)
+def answer_edges(spark, d):
+    """Response or group → [list element →] answer."""
+    return Li.answer_edges(event_answers(spark, d))
+
+
+CLOSURE_EDGES = """select 'R' || n_regionkey as s, 'N' || n_nationkey as o from nation
+  union all select 'N' || c_nationkey, 'C' || c_custkey from customer union all select 'C' || o_custkey, 'O' || o_orderkey from orders"""
+
+
+@query(
+    f"""with recursive edge as ({CLOSURE_EDGES}), pair as (select s as root, o as node from edge
+      union select pair.root, edge.o from pair join edge on pair.node = edge.s) select root, node from pair"""
+)
+def reachable_pairs(spark, d):
+    """All pairs joined by one or more edges."""
+    n, c, o = (table(spark, d, t) for t in ("nation", "customer", "orders"))
+    edge = lambda df, a, ac, b, bc: df.select(F.concat(F.lit(a), ac).alias("s"), F.concat(F.lit(b), bc).alias("o"))
+    edges = (
+        edge(n, "R", "n_regionkey", "N", "n_nationkey")
+        .unionByName(edge(c, "N", "c_nationkey", "C", "c_custkey"))
+        .unionByName(edge(o, "C", "o_custkey", "O", "o_orderkey"))
+    )
+    return G.reachable(edges)

@@ -93,9 +93,7 @@ SUPPLIER_CURR = """select s_suppkey, nullif(nullif(s_nationkey, 3), 7) as nation
   case when s_acctbal > 5000 then 5000 else s_acctbal end as s_acctbal from supplier"""
 
 
-@query(classify_sql(SUPPLIER_PREV, SUPPLIER_CURR, ["s_suppkey", "nation"], ["s_acctbal"], "supplier_uri"))
-def delta_null_keys(spark, d):
-    """A null key part matches a null key part only."""
+def supplier_versions(spark, d):
     s = table(spark, d, "supplier")
     nation = F.nullif(F.col("s_nationkey"), F.lit(3))
     prev = s.select(
@@ -103,7 +101,13 @@ def delta_null_keys(spark, d):
         *_audit("s_suppkey"),
     )
     curr = s.select("s_suppkey", F.nullif(nation, F.lit(7)).alias("nation"), F.least("s_acctbal", F.lit(5000.0)).alias("s_acctbal"))
-    return classify_delta(prev, curr, ["s_suppkey", "nation"], "supplier_uri")
+    return prev, curr
+
+
+@query(classify_sql(SUPPLIER_PREV, SUPPLIER_CURR, ["s_suppkey", "nation"], ["s_acctbal"], "supplier_uri"))
+def delta_null_keys(spark, d):
+    """A null key part matches a null key part only."""
+    return classify_delta(*supplier_versions(spark, d), ["s_suppkey", "nation"], "supplier_uri")
 
 
 ORDERS_PREV = f"""select o_orderkey, nullif(o_orderpriority, '5-LOW') as priority, o_orderstatus, o_totalprice,
