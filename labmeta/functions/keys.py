@@ -19,14 +19,18 @@ def uuid_from_text(text: Column) -> Column:
     )
 
 
-def seed_text(cols: Sequence[str | Column], salt: str = "", delimiter: str = DELIMITER) -> Column:
+def seed_parts(cols: Sequence[str | Column], delimiter: str = DELIMITER) -> Column:
     """Key parts joined by ``delimiter``; null reads as empty, a delimiter inside a part is escaped."""
     parts = []
     for c in cols:
         part = F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
         part = F.replace(F.replace(part, F.lit("\\"), F.lit("\\\\")), F.lit(delimiter), F.lit("\\" + delimiter))
         parts.append(part)
-    return F.concat_ws(delimiter, *parts, F.lit(salt))
+    return F.concat_ws(delimiter, *parts)
+
+
+def seed_text(cols: Sequence[str | Column], salt: str = "", delimiter: str = DELIMITER) -> Column:
+    return F.concat_ws(delimiter, seed_parts(cols, delimiter), F.lit(salt))
 
 
 def surrogate_uri(base: str, cols: Sequence[str | Column], salt: str = "", delimiter: str = DELIMITER) -> Column:

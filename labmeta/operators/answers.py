@@ -8,14 +8,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labmeta.functions.keys import surrogate_uri
+from labmeta.functions.keys import seed_parts, uri_from_seed
 from labmeta.functions.text import join_path, parent_index
 from labmeta.operators.enrich import union_by_name
 from labmeta.schemas import ANSWER_GROUP_TYPES, OPTION_TYPES
 
-MAX_DEPTH = 8
+MAX_DEPTH = 6
 
-OBJECT, ARRAY, BOOLEAN, SCALAR = "OBJECT", "ARRAY", "BOOLEAN", "SCALAR"
+# JSON kinds of a value; a finished object is a group.
+SCALAR, OBJECT, ARRAY, BOOLEAN, GROUP = range(5)
+# What a row is to the open node it came from.
+_SELF, _MEMBER, _BOX, _ITEM, _PASSED = range(5)
 # Types whose rows repeat once per option in the schema and are reduced to the option chosen.
 SINGLE_CHOICE = tuple(t for t in OPTION_TYPES if t != "selectboxes")
 
@@ -33,30 +36,26 @@ class Naming:
 _LOOKALIKE = r'"[{\[]|"true"|"false"|\\u00[4-7]'
 
 
-def _is_plain(document: Column) -> Column:
-    return ~F.rlike(document, F.lit(_LOOKALIKE))
+def _is_plain(text: Column) -> Column:
+    """True when the kind of every value below can be told from its text, which saves a typed parse."""
+    return ~F.rlike(text, F.lit(_LOOKALIKE))
 
 
 def _kind(text: Column, value: Column) -> Column:
-    """JSON kind of a value. In a plain document the text tells; otherwise the typed value does."""
+    """JSON kind of a value: told by its text if the node is plain, else by the typed value."""
     shape, first = F.schema_of_variant(value), F.substring(text, 1, 1)
-    by_text = (
-        F.when(first == "{", F.lit(OBJECT))
-        .when(first == "[", F.lit(ARRAY))
-        .when(text.isin("true", "false"), F.lit(BOOLEAN))
-        .otherwise(F.lit(SCALAR))
+    looks = F.when(F.col("_plain"), first).otherwise(F.substring(shape, 1, 1))
+    return (
+        F.when(text.isNull(), SCALAR)
+        .when(looks.isin("{", "O"), OBJECT)
+        .when(looks.isin("[", "A"), ARRAY)
+        .when(F.when(F.col("_plain"), text.isin("true", "false")).otherwise(shape == "BOOLEAN"), BOOLEAN)
+        .otherwise(SCALAR)
     )
-    by_shape = (
-        F.when(shape.startswith("OBJECT"), F.lit(OBJECT))
-        .when(shape.startswith("ARRAY"), F.lit(ARRAY))
-        .when(shape == "BOOLEAN", F.lit(BOOLEAN))
-        .otherwise(F.lit(SCALAR))
-    )
-    return F.when(F.col("_plain"), by_text).otherwise(by_shape)
 
 
 def _typed(text: Column, schema: str, when: Column) -> Column:
-    """Values with their JSON types; a plain document is not parsed a second time."""
+    """Values with their JSON types; a plain node is not parsed a second time."""
     return F.when(when & ~F.col("_plain"), F.from_json(text, schema))
 
 
@@ -66,16 +65,14 @@ def _zip(keys: Column, values: Column, typed: Column) -> Column:
 
 
 _NODE = (
-    "question_id", "response_text", "kind", "response_index_in_list", "question_group_id",
+    "question_id", "response_text", "_kind", "response_index_in_list", "question_group_id",
     "response_list_group_uri", "multiselect",
 )
 
 
-def explode_document(docs: DataFrame, document: str = "xnat_custom_fields") -> DataFrame:
-    """One row per top-level key with its value as text, numbered in document order from 0."""
-    keep = [c for c in docs.columns if c != document]
-    text = F.col(document)
-    none = F.lit(None).cast("string")
+def _top_level(docs: DataFrame, keep: Sequence[str], document: str) -> DataFrame:
+    """One node per top-level key, numbered in document order from 0."""
+    text, none = F.col(document), F.lit(None).cast("string")
     parsed = docs.select(*docs.columns, _is_plain(text).alias("_plain")).select(
         *keep,
         "_plain",
@@ -85,10 +82,9 @@ def explode_document(docs: DataFrame, document: str = "xnat_custom_fields") -> D
     entries = _zip(F.map_keys("_object"), F.map_values("_object"), F.map_values("_object_types"))
     return parsed.select(*keep, "_plain", F.posexplode(entries).alias("_pos", "_e")).select(
         *keep,
-        "_plain",
         F.col("_e.key").alias("question_id"),
         F.col("_e.value").alias("response_text"),
-        _kind(F.col("_e.value"), F.col("_e.typed")).alias("kind"),
+        _kind(F.col("_e.value"), F.col("_e.typed")).alias("_kind"),
         F.col("_pos").cast("string").alias("response_index_in_list"),
         none.alias("question_group_id"),
         none.alias("response_list_group_uri"),
@@ -96,23 +92,37 @@ def explode_document(docs: DataFrame, document: str = "xnat_custom_fields") -> D
     )
 
 
+def explode_document(docs: DataFrame, document: str = "xnat_custom_fields") -> DataFrame:
+    """One row per top-level key with its value as text and its ordinal as index."""
+    return _top_level(docs, [c for c in docs.columns if c != document], document).drop("_kind")
+
+
 def level_opener(keep: Sequence[str], subject: str, naming: Naming) -> Callable[[DataFrame], DataFrame]:
     """A step that opens every object and list by one level; finished rows pass through.
 
-    An object stays as a row with null text (kind ``GROUP``); its members take the object's path and number.
-    A false check-box is dropped after numbering and a true one becomes (object, key). A list is replaced by
-    its items, numbered below the list's own index. The step is projections and one generator over built-in
-    functions without lambdas, so all levels run as generated code.
+    An object stays as a row with null text; its members take the object's path and number. A false
+    check-box is dropped after numbering and a true one becomes (object, key). A list is replaced by its
+    items, numbered below the list's own index. The step is projections and one generator over built-in
+    functions without lambdas, so it runs as generated code; each projection is kept small because the JVM
+    does not compile long methods.
     """
     var, text, kind, index, path, list_uri, multi = map(F.col, _NODE)
     is_object, is_array = kind == OBJECT, kind == ARRAY
-    seed = [F.col(subject), path, var, index]
+    is_open = is_object | is_array
+    seed = seed_parts([F.col(subject), path, var, index], naming.delimiter)
+
+    def uri(*parts: Column) -> Column:
+        return uri_from_seed(naming.base, F.concat_ws(naming.delimiter, *parts, F.lit(naming.salt)))
+
+    base = [*keep, *_NODE]
+    closed_text = [F.when(~is_open, text).alias(c) if c == "response_text" else c for c in base]
+    plain = F.when(is_open, _is_plain(text)).alias("_plain")
     parse = [
         F.when(is_object, F.from_json(text, "map<string,string>")).alias("_object"),
         _typed(text, "map<string,variant>", is_object).alias("_object_types"),
         F.when(is_array, F.from_json(text, "array<string>")).alias("_array"),
         _typed(text, "array<variant>", is_array).alias("_array_types"),
-        F.when(is_object, surrogate_uri(naming.base, seed, naming.salt, naming.delimiter)).alias("_object_uri"),
+        F.when(is_open, seed).alias("_seed"),
     ]
     # The object itself comes first, so its members are numbered from 1 here.
     itself = F.array(F.lit(None).cast("string"))
@@ -125,41 +135,50 @@ def level_opener(keep: Sequence[str], subject: str, naming: Naming) -> Callable[
             F.concat(untyped, F.map_values("_object_types")),
         ),
     ).when(is_array, _zip(F.array().cast("array<string>"), F.col("_array"), F.col("_array_types")))
-
-    pos, key, value, child_kind = F.col("_pos"), F.col("_e.key"), F.col("_e.value"), F.col("_child_kind")
-    found = pos.isNotNull()
-    group, item = found & is_object & (pos == 0), found & is_array
-    any_member = found & is_object & (pos > 0)
-    box, member = any_member & (child_kind == BOOLEAN), any_member & (child_kind != BOOLEAN)
-    child = any_member | item
-    ordinal = F.when(is_object, pos - 1).otherwise(pos).cast("string")
-    item_uri = surrogate_uri(naming.base, [*seed, ordinal], naming.salt, naming.delimiter)
+    opened = [
+        F.when(is_object, uri(F.col("_seed"))).alias("_object_uri"),
+        (is_array & (F.size("_array") == 0)).alias("_empty"),
+        entries.alias("_entries"),
+    ]
+    child = [F.col("_e.key").alias("_key"), F.col("_e.value").alias("_value")]
+    child_kind = F.when(F.col("_pos").isNotNull(), _kind(F.col("_e.value"), F.col("_e.typed"))).alias("_child_kind")
+    ordinal = F.when(is_object, F.col("_pos") - 1).otherwise(F.col("_pos")).cast("string").alias("_ordinal")
+    role = (
+        F.when(F.col("_pos").isNull(), _PASSED)
+        .when(is_array, _ITEM)
+        .when(F.col("_pos") == 0, _SELF)
+        .when(F.col("_child_kind") == BOOLEAN, _BOX)
+        .otherwise(_MEMBER)
+        .alias("_role")
+    )
+    is_ = lambda *roles: F.col("_role").isin(*roles)
+    kept = ~(F.col("_empty") | (is_(_BOX) & (F.col("_value") == "false")))
+    value, key = F.col("_value"), F.col("_key")
     step = [
-        F.when(member, key).otherwise(var).alias("question_id"),
-        F.when(box, key).when(child, value).when(~group, text).alias("response_text"),
-        F.when(group, F.lit("GROUP")).when(box, F.lit(SCALAR)).when(child, child_kind).otherwise(kind).alias("kind"),
-        F.when(child, F.concat(index, F.lit("."), ordinal)).otherwise(index).alias("response_index_in_list"),
-        F.when(member, join_path(path, var)).otherwise(path).alias("question_group_id"),
-        F.when(any_member, F.col("_object_uri")).when(item, item_uri).otherwise(list_uri).alias(
-            "response_list_group_uri"
-        ),
-        F.when(found, box).otherwise(multi).alias("multiselect"),
+        F.when(is_(_MEMBER), key).otherwise(var).alias("question_id"),
+        F.when(is_(_BOX), key).when(is_(_MEMBER, _ITEM), value).otherwise(text).alias("response_text"),
+        F.when(is_(_PASSED), kind).when(is_(_SELF), GROUP).when(is_(_BOX), SCALAR).otherwise(F.col("_child_kind"))
+        .alias("_kind"),
+        F.when(is_(_MEMBER, _BOX, _ITEM), F.concat(index, F.lit("."), F.col("_ordinal"))).otherwise(index)
+        .alias("response_index_in_list"),
+        F.when(is_(_MEMBER), join_path(path, var)).otherwise(path).alias("question_group_id"),
+        F.when(is_(_MEMBER, _BOX), F.col("_object_uri")).when(is_(_ITEM), uri(F.col("_seed"), F.col("_ordinal")))
+        .otherwise(list_uri).alias("response_list_group_uri"),
+        F.when(is_(_PASSED, _SELF), multi).otherwise(is_(_BOX)).alias("multiselect"),
     ]
-    empty_list = is_array & ~found & (F.size("_array") == 0)
-    dropped = empty_list | (box & (value == "false"))
-    zipped, numbered = entries.alias("_entries"), F.posexplode_outer("_entries").alias("_pos", "_e")
-    typed_child = F.when(found, _kind(value, F.col("_e.typed"))).alias("_child_kind")
-    kept = ~F.coalesce(dropped, F.lit(False))
-    base = [*keep, "_plain", *_NODE]
+    carried = ["_plain", "_object_uri", "_seed", "_empty"]
+    numbered = F.posexplode_outer("_entries").alias("_pos", "_e")
 
     def open_level(nodes: DataFrame) -> DataFrame:
         return (
-            nodes.select(*base, *parse)
-            .select(*base, "_object_uri", "_array", zipped)
-            .select(*base, "_object_uri", "_array", numbered)
-            .select(*base, "_object_uri", "_array", "_pos", "_e", typed_child)
+            nodes.select(*base, plain)
+            .select(*closed_text, "_plain", *parse)
+            .select(*base, "_plain", "_seed", *opened)
+            .select(*base, *carried, numbered)
+            .select(*base, *carried, "_pos", *child, child_kind, ordinal)
+            .select(*base, *carried, "_key", "_value", "_child_kind", "_ordinal", role)
             .filter(kept)
-            .select(*keep, "_plain", *step)
+            .select(*keep, *step)
         )
 
     return open_level
@@ -174,15 +193,16 @@ def flatten_answers(
 ) -> DataFrame:
     """Documents to answer rows: one narrow pipeline, one generator per level, no shuffle and no union.
 
-    A document nested deeper than ``max_depth`` fails the job rather than losing answers.
+    A document nested deeper than ``max_depth``, or a value that cannot be opened, fails the job rather than
+    losing answers.
     """
     keep = [c for c in docs.columns if c != document]
     open_level = level_opener(keep, subject, naming)
-    nodes = explode_document(docs, document)
+    nodes = _top_level(docs, keep, document)
     for _ in range(max_depth):
         nodes = open_level(nodes)
     text = F.when(
-        F.col("kind").isin(OBJECT, ARRAY),
+        F.col("_kind").isin(OBJECT, ARRAY),
         F.raise_error(F.lit(f"answers nested deeper than {max_depth} levels")).cast("string"),
     ).otherwise(F.col("response_text"))
     return nodes.select(

@@ -34,6 +34,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/labmeta-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a freshly read table at least one partition per core before heavy per-row work.
+
+    Only for a plain scan (the partition count is read from its plan). Large tables are split by
+    ``spark.sql.files.maxPartitionBytes`` and stay as they are; a small file would else be one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass
 class Warehouse:
     """Each publish writes a new directory and then one commit row; readers see committed directories only.

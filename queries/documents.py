@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from labmeta.operators import linked as Li
+from labmeta.sources.tables import spread
 from queries.registry import query, table
 
 CTX = Li.METADATA_CONTEXT
@@ -142,7 +143,7 @@ LABEL = "'Session - ' || l_orderkey || '; Acquisition Scan ID - ' || l_linenumbe
     )} as body from lineitem"""
 )
 def linked_acquisitions(spark, d):
-    rows = table(spark, d, "lineitem").select(
+    rows = spread(table(spark, d, "lineitem")).select(
         F.concat_ws(":", F.lit("urn:scan"), "l_orderkey", "l_linenumber").alias("acquisition_uri"),
         F.col("l_orderkey").cast("string").alias("session_id"), F.col("l_linenumber").cast("string").alias("acquisition_id"),
         F.nullif(F.col("l_linestatus"), F.lit("O")).alias("series_description"),

@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from labmeta.operators import forms as Fm
+from labmeta.sources.tables import spread
 from queries.registry import query, table
 
 
 def part_documents(spark, d):
-    p = table(spark, d, "part")
+    p = spread(table(spark, d, "part"))
     required = F.when(F.col("p_size") > 20, "true").otherwise("false")
     body = F.concat(
         F.lit('{"components":[{"title":"Form '), F.col("p_partkey"),

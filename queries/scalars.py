@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from labmeta.functions import text as X
 from labmeta.operators import align as Al
 from labmeta.operators import cohort as Co
+from labmeta.sources.tables import spread
 from queries.registry import query, table
 
 LINE_SCHEMA = T.StructType(
@@ -168,7 +169,7 @@ DECODED = f"replace({DECODED}, chr(1), '&')"
     from pages p left join kept k on p.page_id = k.page_id group by p.page_id"""
 )
 def stripped_html(spark, d):
-    return table(spark, d, "pages").select("page_id", X.strip_html(F.col("html")).alias("text"))
+    return spread(table(spark, d, "pages")).select("page_id", X.strip_html(F.col("html")).alias("text"))
 
 
 @query("select n_nationkey as key, n_name as label, 'study' as kind, 1 as version from nation")
