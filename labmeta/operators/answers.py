@@ -44,11 +44,11 @@ def _is_plain(text: Column) -> Column:
 def _kind(text: Column, value: Column) -> Column:
     """JSON kind of a value: told by its text if the node is plain, else by the typed value."""
     shape, first = F.schema_of_variant(value), F.substring(text, 1, 1)
-    looks = F.when(F.col("_plain"), first).otherwise(F.substring(shape, 1, 1))
+    looks = F.when(F.col("_plain"), first).otherwise(F.translate(F.substring(shape, 1, 1), "OA", "{["))
     return (
         F.when(text.isNull(), SCALAR)
-        .when(looks.isin("{", "O"), OBJECT)
-        .when(looks.isin("[", "A"), ARRAY)
+        .when(looks == "{", OBJECT)
+        .when(looks == "[", ARRAY)
         .when(F.when(F.col("_plain"), text.isin("true", "false")).otherwise(shape == "BOOLEAN"), BOOLEAN)
         .otherwise(SCALAR)
     )
