@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from labmeta.functions.keys import seed_parts, uri_from_seed
 from labmeta.functions.text import join_path, parent_index
-from labmeta.operators.enrich import union_by_name
 from labmeta.schemas import ANSWER_GROUP_TYPES, OPTION_TYPES
 
 MAX_DEPTH = 6
@@ -288,16 +287,11 @@ def join_answers(answers: DataFrame, schema: DataFrame, scope: Sequence[str] = _
     All others keep every answer row and match (question, path), once per option of the question.
     """
     on = [*scope, "question_id", "question_group_id"]
-    single = _side(schema.filter(~F.col("question_type").eqNullSafe(F.lit("selectboxes"))), on)
-    boxes = _side(schema.filter(F.col("question_type") == "selectboxes"), on)
-    drop = [f"_schema_{c}" for c in on]
-    one = answers.filter(~F.col("multiselect")).join(single, _same(on), "left").drop(*drop)
-    many = (
-        answers.filter("multiselect")
-        .join(boxes, _same(on) & (F.col("response_text") == F.col("response_code_display")), "inner")
-        .drop(*drop)
-    )
-    return one.unionByName(many)
+    boxes = F.coalesce(F.col("question_type") == "selectboxes", F.lit(False))
+    chosen = F.col("response_text") == F.col("response_code_display")
+    fits = F.when(F.col("multiselect"), boxes & chosen).otherwise(~boxes)
+    joined = answers.join(_side(schema, on), _same(on) & fits, "left").drop(*[f"_schema_{c}" for c in on])
+    return joined.filter(~F.col("multiselect") | F.col("src_system").isNotNull())
 
 
 def keep_selected(joined: DataFrame, types: Sequence[str] = SINGLE_CHOICE) -> DataFrame:
@@ -306,16 +300,18 @@ def keep_selected(joined: DataFrame, types: Sequence[str] = SINGLE_CHOICE) -> Da
     return joined.filter(~F.coalesce(wrong, F.lit(False)))
 
 
-def datamap_answers(
-    joined: DataFrame, answer_columns: Sequence[str], datamaps: DataFrame, scope: Sequence[str] = _SCOPE
-) -> DataFrame:
+def datamap_answers(joined: DataFrame, datamaps: DataFrame, scope: Sequence[str] = _SCOPE) -> DataFrame:
     """Answers without a question take their form's attributes by group path; the rest pass through."""
-    known = joined.filter(F.col("src_system").isNotNull())
-    typed = joined.filter(F.col("src_system").isNull() & F.col("question_group_id").isNotNull())
     on = [*scope, "question_group_id"]
-    side = _side(datamaps, on)
-    found = typed.select(*answer_columns).join(side, _same(on), "left").drop(*[f"_schema_{c}" for c in on])
-    return union_by_name(known, found)
+    attributes = [c for c in datamaps.columns if c not in on]
+    side = _side(datamaps, on).withColumnsRenamed({c: f"_map_{c}" for c in attributes})
+    same = F.col("src_system").isNull() & F.col("question_group_id").isNotNull() & _same(on)
+    return joined.join(side, same, "left").select(
+        [
+            F.coalesce(F.col(c), F.col(f"_map_{c}")).alias(c) if c in attributes else F.col(c)
+            for c in joined.columns
+        ]
+    )
 
 
 def drop_inactive(joined: DataFrame) -> DataFrame:
