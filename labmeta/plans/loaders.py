@@ -46,12 +46,17 @@ def load_table(
     return wh.publish(name, load if scope is None else replace_scope(stored, load, scope))
 
 
-def load_studies(wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None) -> DataFrame:
-    return load_table(wh, "research_study", L.read_projects(wh.spark, path, wh.src_system), proc_dt, scope)
+def load_studies(
+    wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None, lines: bool = False
+) -> DataFrame:
+    """``lines``: one XML document per line instead of one per file."""
+    return load_table(wh, "research_study", L.read_projects(wh.spark, path, wh.src_system, lines), proc_dt, scope)
 
 
-def load_subjects(wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None) -> DataFrame:
-    rows = E.lookup_study(L.read_subjects(wh.spark, path, wh.src_system), wh.read("research_study"))
+def load_subjects(
+    wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None, lines: bool = False
+) -> DataFrame:
+    rows = E.lookup_study(L.read_subjects(wh.spark, path, wh.src_system, lines), wh.read("research_study"))
     return load_table(wh, "research_subject", rows, proc_dt, scope)
 
 

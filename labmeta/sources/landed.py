@@ -1,6 +1,6 @@
 """Readers of landed raw files.
 
-A landing job drops what the imaging server returned. Projects and subjects are XML files. Everything else
+A landing job drops what the imaging server returned. Projects and subjects are XML documents. Everything else
 is JSON Lines, one envelope per line: the identifiers of the request and the returned ``body``, as nested
 JSON or as text. Lines are split across tasks, so one large study does not land in one task. Nothing is
 inferred: every reader passes its schema.
@@ -40,9 +40,9 @@ def _strings(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _xml(spark: SparkSession, path: str, tag: str, fields: Sequence[str]) -> DataFrame:
-    """Files are split at the record element, so a file may hold any number of records."""
-    reader = spark.read.format("xml").option("rowTag", tag).option("multiLine", "false")
+def _xml(spark: SparkSession, path: str, tag: str, fields: Sequence[str], lines: bool) -> DataFrame:
+    """XML documents, one per file, or with ``lines`` one per line of files that are split across tasks."""
+    reader = spark.read.format("xml").option("rowTag", tag).option("multiLine", not lines)
     return reader.schema(_strings(fields)).load(path)
 
 
@@ -51,8 +51,8 @@ def read_envelopes(spark: SparkSession, path: str, ids: Sequence[str]) -> DataFr
     return spark.read.schema(_strings([*ids, "body"])).json(path)
 
 
-def read_projects(spark: SparkSession, path: str, src_system: str) -> DataFrame:
-    df = _xml(spark, path, "xnat:Project", PROJECT_FIELDS)
+def read_projects(spark: SparkSession, path: str, src_system: str, lines: bool = False) -> DataFrame:
+    df = _xml(spark, path, "xnat:Project", PROJECT_FIELDS, lines)
     return blanks_to_null(
         df.select(
             F.lit(src_system).alias("src_system"),
@@ -67,8 +67,8 @@ def read_projects(spark: SparkSession, path: str, src_system: str) -> DataFrame:
     )
 
 
-def read_subjects(spark: SparkSession, path: str, src_system: str) -> DataFrame:
-    df = _xml(spark, path, "xnat:Subject", SUBJECT_FIELDS)
+def read_subjects(spark: SparkSession, path: str, src_system: str, lines: bool = False) -> DataFrame:
+    df = _xml(spark, path, "xnat:Subject", SUBJECT_FIELDS, lines)
     return blanks_to_null(
         df.select(
             F.lit(src_system).alias("src_system"),

@@ -42,7 +42,7 @@ def project_files(spark, d):
       from nation join region on n_regionkey = r_regionkey"""
 )
 def read_projects(spark, d):
-    return L.read_projects(spark, project_files(spark, d), "lab")
+    return L.read_projects(spark, project_files(spark, d), "lab", lines=True)
 
 
 def subject_files(spark, d):
@@ -65,7 +65,7 @@ _CF = """case when c_mktsegment = 'BUILDING' then '{}' else '{"segment": "' || c
     f"""select 'lab' as src_system, c_name as research_subject_id, cast(c_nationkey as varchar) as research_study_id, {_CF} as xnat_custom_fields from customer"""
 )
 def read_subjects(spark, d):
-    return L.read_subjects(spark, subject_files(spark, d), "lab")
+    return L.read_subjects(spark, subject_files(spark, d), "lab", lines=True)
 
 
 _SESSION_TYPE = "case o_orderstatus when 'F' then 'Lab:AlphaSessionData' when 'O' then 'lab:betaSessionData' else 'xnat:imageSessionData' end"
@@ -267,9 +267,9 @@ def loaded_subjects(spark, d):
     """Landed XML to the subject table, twice; the second load changes nothing."""
     wh = Warehouse(spark, shared_folder(spark), NAMING, "lab")
     projects, subjects = project_files(spark, d), subject_files(spark, d)
-    loaders.load_studies(wh, projects, PROC_DT)
-    loaders.load_subjects(wh, subjects, PROC_DT)
-    loaders.load_subjects(wh, subjects, "2024-07-01 00:00:00")
+    loaders.load_studies(wh, projects, PROC_DT, lines=True)
+    loaders.load_subjects(wh, subjects, PROC_DT, lines=True)
+    loaders.load_subjects(wh, subjects, "2024-07-01 00:00:00", lines=True)
     return wh.read("research_subject").select(
         "research_subject_id", "research_study_id", "research_study_title", "research_study_uri", "research_subject_uri",
         "xnat_custom_fields", "_createdat", "_updatedat", "_rev",
