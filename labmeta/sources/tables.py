@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -22,15 +23,20 @@ _COMMITS = "table string, version bigint, path string"
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the shared folder that the session names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own; on a cluster the setting is required,
+    since executors and driver do not share local disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="labmeta-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        known = context._jsc.sc().getCheckpointDir()
+        if known.isDefined():
+            root = known.get()
+        elif context.master.startswith("local[") or context.master == "local":
+            root = tempfile.mkdtemp(prefix="labmeta-")
+            context.setCheckpointDir(root)
+        else:
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/labmeta-{uuid.uuid4().hex}"
 
 
