@@ -13,7 +13,7 @@ import os
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, int] = {}
         self.flat, self.starts, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
 
@@ -55,9 +56,24 @@ class WordIds:
         return raw.split()
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.array([i for x in ids for i in x], np.uint32), counts
+        """Ids of words. Words of Latin letters, digits and marks are cut into the tokenizer's own units, which go
+        straight to its merge model; all others go through the whole tokenizer."""
+        out: list[list[int]] = []
+        odd = []
+        for word in words:
+            text = word.decode()
+            if _PLAIN.fullmatch(text) and b"<|" not in word:
+                ids = []
+                for unit in _UNITS.findall(text.lower()):
+                    ids += [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(_BYTE_CHARS))]
+                out.append(ids)
+            else:
+                odd.append((len(out), text))
+                out.append([])
+        for (at, _), e in zip(odd, self.tokenizer.encode_batch_fast([t for _, t in odd], add_special_tokens=False), strict=True):
+            out[at] = e.ids
+        counts = np.fromiter(map(len, out), np.int64, len(out))
+        return np.array([i for ids in out for i in ids], np.uint32), counts
 
     def _learn(self, words: list[bytes]) -> None:
         ids, counts = self._encode(words)
@@ -75,12 +91,14 @@ class WordIds:
         """The ids of all texts, flat, and the number of ids of each."""
         words = [self.words(t) for t in texts]
         every = [w for x in words for w in x]
-        fresh = list(set(every) - self.known.keys())
+        codes = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
+        lacking = np.flatnonzero(codes < 0).tolist()
+        fresh = list({every[i] for i in lacking})
         if fresh and self.n < KNOWN_WORDS:
             room = KNOWN_WORDS - self.n
             self._learn(fresh[:room])
             fresh = fresh[room:]
-        codes = np.fromiter(map(self.known.get, every, [-1] * len(every)), np.int64, len(every))
+            codes[lacking] = [self.known.get(every[i], -1) for i in lacking]
         flat, starts = self.flat, self.starts[: self.n + 1]
         lengths = np.zeros(len(every), np.int64)
         seen = codes >= 0
@@ -102,6 +120,11 @@ class WordIds:
 
 _FINAL = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D]|$)")
 _ODD = re.compile(rb"[^a-z\s][.,](?:\s|$)")
+#: Latin letters without the signs among them, ASCII digits and marks but the apostrophe.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
+_UNITS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+#: The printable stand-ins for bytes in byte-level vocabularies: bytes without a glyph count up from 256.
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 _loaded: dict[str, WordIds] = {}
 
 
