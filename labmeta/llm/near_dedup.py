@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labmeta.llm.wordhash import Block, _rolled, blocks, mix
+from labmeta.llm.wordhash import Block, rolled, blocks, mix
 
 TREES, DEPTH = 16, 6
 HASHES = TREES * DEPTH
@@ -45,7 +45,7 @@ def shingle_sets(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
     texts = block.texts[starts]
     short = np.flatnonzero((block.counts > 0) & (block.counts < size))
     if len(short):
-        hashes = np.concatenate([hashes, _rolled(block.hashes, block.offsets[short], block.offsets[short + 1])])
+        hashes = np.concatenate([hashes, rolled(block.hashes, block.offsets[short], block.offsets[short + 1])])
         texts = np.concatenate([texts, short])
     order = np.lexsort((hashes, texts))
     hashes, texts = hashes[order], texts[order]

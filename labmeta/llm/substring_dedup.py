@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labmeta.llm.wordhash import blocks
+from labmeta.llm.wordhash import blocks, mix, rolled
 
 PERIOD = 13
 COVER = (0, 1, 3, 9)
 _PLACE = np.dtype([("doc", "<i8"), ("pos", "<i4")])
 _NO_ID = -(1 << 63)
+#: Anchors only rule windows out, so 52 bits do; fewer bytes are shuffled.
+_ANCHOR_SHIFT = np.uint64(12)
 
 
 def _packed(keys: list[np.ndarray], docs: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, list]:
@@ -43,18 +45,11 @@ def _packed(keys: list[np.ndarray], docs: np.ndarray, pos: np.ndarray) -> tuple[
     return order[heads], more
 
 
-def _row(keys: np.ndarray, low: np.ndarray | None, docs: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """Distinct keys as rows. ``part`` and ``high`` are parts of the first key, ``low`` is the second key."""
-    names = [keys] if low is None else [keys, low]
-    at, more = _packed(names, docs, pos)
-    key = keys[at]
-    columns = {
-        "part": pa.array((key >> np.uint64(44)).astype(np.int32)),
-        "high": pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)) if low is None
-        else pa.array(key.view(np.int64)),
-    }
-    if low is not None:
-        columns["low"] = pa.array(low[at].view(np.int32))
+def _row(keys: list[np.ndarray], docs: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    """Distinct keys as rows; ``low`` is the second key."""
+    at, more = _packed(keys, docs, pos)
+    names = dict(zip(("key", "low"), (k[at] for k in keys), strict=False))
+    columns = {n: pa.array(k.view(f"i{k.itemsize}")) for n, k in names.items()}
     columns |= {"doc": pa.array(docs[at]), "pos": pa.array(pos[at]), "more": pa.array(more, pa.binary())}
     return pa.RecordBatch.from_pydict(columns)
 
@@ -72,10 +67,10 @@ def _anchors(size: int):
                 texts = block.texts[starts]
                 pos = (starts - block.offsets[texts]).astype(np.int32)
                 keep = covered[pos % PERIOD] & (block.counts[texts] >= size)
-                found.append((hashes[keep], ids[block.first + texts[keep]], pos[keep]))
+                found.append((hashes[keep] >> _ANCHOR_SHIFT, ids[block.first + texts[keep]], pos[keep]))
             if found:
                 keys, docs, pos = map(np.concatenate, zip(*found, strict=True))
-                yield _row(keys, None, docs, pos)
+                yield _row([keys], docs, pos)
 
     return run
 
@@ -173,7 +168,7 @@ def _extended(size: int):
                     found.append((hashes, second, ids[block.first + texts], (starts - block.offsets[texts]).astype(np.int32)))
             if found:
                 keys, low, docs, pos = map(np.concatenate, zip(*found, strict=True))
-                yield _row(keys, low, docs, pos)
+                yield _row([keys, low], docs, pos)
 
     return run
 
@@ -185,11 +180,14 @@ def _cut(size: int):
         for batch in batches:
             starts, rows = _flat(batch.column("places"))
             words, removed, kept = [], [], []
+            copy = batch.column("copy").to_pylist()
             at = np.searchsorted(rows, np.arange(batch.num_rows + 1))
             for i, text in enumerate(batch.column("text")):
                 every = (text.as_py() or "").encode().split()
                 drop = starts[at[i] : at[i + 1]]
-                if len(drop):
+                if copy[i]:
+                    left = []
+                elif len(drop):
                     cover = np.zeros(len(every) + size + 1, np.int32)
                     drop = drop[drop + size <= len(every)]
                     np.add.at(cover, drop, 1)
@@ -209,6 +207,31 @@ def _cut(size: int):
     return run
 
 
+def _sequences(size: int):
+    """The hashes of whole word sequences, for texts of ``size`` words or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column("text")):
+                long = np.flatnonzero(block.counts >= size)
+                ends = block.offsets[long], block.offsets[long + 1]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc").take(pa.array(block.first + long)),
+                     pa.array(rolled(block.hashes, *ends).view(np.int64)), pa.array(rolled(mix(block.hashes), *ends).view(np.int64))],
+                    ["doc", "d1", "d2"],
+                )
+
+    return run
+
+
+def _copies(texts: DataFrame, size: int) -> DataFrame:
+    """Ids of texts whose whole word sequence is that of a text with a smaller id: all their words go, and what they
+    hold starts earlier in that text, so the other steps can do without them."""
+    known = texts.mapInArrow(_sequences(size), "doc bigint, d1 bigint, d2 bigint")
+    first = known.groupBy("d1", "d2").agg(F.min("doc").alias("first"))
+    return known.join(first, ["d1", "d2"]).filter("doc > first").select("doc").distinct()
+
+
 def _by_text(places: DataFrame) -> DataFrame:
     return places.groupBy("doc").agg(F.collect_list("pos").alias("places"))
 
@@ -224,19 +247,16 @@ def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
     if size < PERIOD + 1:
         raise ValueError(f"a window needs {PERIOD + 1} words at least")
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), F.col("text"))
-    key = "part int, high int, doc bigint, pos int, more binary"
-    anchors = texts.mapInArrow(_anchors(size), key)
-    shared = (
-        anchors.repartition("part").sortWithinPartitions("part", "high")
-        .mapInArrow(_shared(("part", "high"), True), "doc bigint, pos int")
-    )
-    key = "part int, high bigint, low int, doc bigint, pos int, more binary"
-    windows = texts.join(_by_text(shared), "doc", "left").mapInArrow(_extended(size), key)
-    repeated = (
-        windows.repartition("part").sortWithinPartitions("part", "high", "low", "doc", "pos")
-        .mapInArrow(_shared(("high", "low"), False), "doc bigint, pos int")
-    )
-    out = texts.join(_by_text(repeated), "doc", "left").mapInArrow(
+    copies = _copies(texts, size)
+    own = texts.join(copies, "doc", "left_anti")
+    place = "doc bigint, pos int"
+    anchors = own.mapInArrow(_anchors(size), f"key bigint, {place}, more binary")
+    shared = anchors.repartition("key").sortWithinPartitions("key").mapInArrow(_shared(("key",), True), place)
+    windows = own.join(_by_text(shared), "doc", "left").mapInArrow(_extended(size), f"key bigint, low int, {place}, more binary")
+    order = ("key", "low", "doc", "pos")
+    repeated = windows.repartition("key").sortWithinPartitions(*order).mapInArrow(_shared(order[:2], False), place)
+    marked = texts.join(copies.withColumn("copy", F.lit(True)), "doc", "left")
+    out = marked.join(_by_text(repeated), "doc", "left").mapInArrow(
         _cut(size), "doc bigint, n_words bigint, n_removed bigint, kept_text string"
     )
     return out.select(F.expr(f"nullif(doc, {_NO_ID}L)").alias("doc_id"), "n_words", "n_removed", "kept_text")

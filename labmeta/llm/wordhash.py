@@ -50,7 +50,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
-def _rolled(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def rolled(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of ``values[start:end]`` for each pair, equal for equal contents at any place."""
     powers, inverses = _tables(len(values))
     sums = np.zeros(len(values) + 1, np.uint64)
@@ -81,7 +81,7 @@ class Block:
         starts = np.arange(max(0, n - size + 1))
         ends = np.repeat(self.offsets[1:], self.counts)[: len(starts)]
         starts = starts[starts + size <= ends]
-        return starts, _rolled(self.hashes, starts, starts + size)
+        return starts, rolled(self.hashes, starts, starts + size)
 
 
 def hash_words(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +97,7 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tup
     tails = offsets[1:][offsets[1:] > 0] - 1
     last[tails] = word[tails]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(last) + 1
-    return _rolled((_FOLDED if fold else _TABLE)[data], starts, ends), np.searchsorted(starts, offsets)
+    return rolled((_FOLDED if fold else _TABLE)[data], starts, ends), np.searchsorted(starts, offsets)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
