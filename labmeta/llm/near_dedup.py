@@ -116,74 +116,163 @@ def _forest(pairs: np.ndarray, likeness: np.ndarray) -> list[int]:
     return out
 
 
-def _candidates(cut: float, spanning: bool):
-    """Groups of rows ``at, doc, part, own, sign`` → pairs of different parts whose signatures agree in a share ``cut``.
+def _arrays(table: pa.Table) -> dict[str, np.ndarray]:
+    rows = {k: table.column(k).to_numpy() for k in table.schema.names if k not in ("sign", "text")}
+    rows["sign"] = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint16).reshape(-1, HASHES)
+    return rows
+
+
+def _pairs_within(at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows with the same ``at`` (sorted), in arrays of bounded size."""
+    heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    sizes = np.diff(np.append(heads, len(at)))
+    for size in np.unique(sizes[sizes > 1]).tolist():
+        some = heads[sizes == size]
+        if size <= 2 * CROWD:
+            left, right = np.triu_indices(size, 1)
+            step = max(1, 1_000_000 // size**2)
+            for k in range(0, len(some), step):
+                starts = some[k : k + step, None]
+                yield (starts + left).ravel(), (starts + right).ravel()
+        else:  # row by row
+            for start in some.tolist():
+                for a in range(start, start + size - 1):
+                    b = np.arange(a + 1, start + size)
+                    yield np.full(len(b), a), b
+
+
+def _likely(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, cut: float, num: int, den: int) -> tuple:
+    """The pairs of different parts whose set sizes allow a link and whose signatures agree in a share ``cut``."""
+    n, part, signs = rows["n"], rows["part"], rows["sign"]
+    low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+    keep = (part[a] != part[b]) & (den * low >= num * high)
+    a, b = a[keep], b[keep]
+    shares = [(signs[a[i : i + 20_000]] == signs[b[i : i + 20_000]]).mean(1) for i in range(0, len(a), 20_000)]
+    share = np.concatenate(shares or [np.zeros(0)])
+    good = share >= cut
+    return a[good], b[good], share[good]
+
+
+def _first_tree(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+    """The first tree in which each pair shares a prefix of ``depth``."""
+    keys = rows["sign"].reshape(-1, TREES, DEPTH)[:, :, :depth]
+    out = np.zeros(len(a), np.int64)
+    for i in range(0, len(a), 20_000):
+        out[i : i + 20_000] = (keys[a[i : i + 20_000]] == keys[b[i : i + 20_000]]).all(2).argmax(1)
+    return out
+
+
+def _block_pair(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The group in which a pair is confirmed: its region and the two blocks that its texts fall in."""
+    blocks = rows["blocks"][a].astype(np.uint64)
+    i, j = (mix(rows["doc"][x].view(np.uint64)) % blocks for x in (a, b))
+    i, j = np.minimum(i, j), np.maximum(i, j)
+    return mix(mix(rows["region"][a].view(np.uint64)) + i * blocks + j).view(np.int64)
+
+
+def _forests(cut: float, num: int, den: int):
+    """Groups of rows → of each group, a spanning forest of its likely pairs: one pair a text at most."""
 
-    ``spanning``: of each group only a spanning forest. At least one of a pair is the group's own, not a guest.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches):
+            rows = _arrays(table)
+            for a, b in _pairs_within(rows["at"]):
+                a, b, share = _likely(rows, a, b, cut, num, den)
+                # row indexes differ between groups, so one forest serves all of them
+                chosen = _forest(np.stack([a, b], 1), share)
+                a, b = a[chosen], b[chosen]
+                if len(a):
+                    doc = rows["doc"]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x) for x in (np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b]), rows["tree"][a], rows["at"][a])],
+                        ["a", "b", "tree", "group"],
+                    )
+
+    return run
+
+
+def _open_groups(cut: float, num: int, den: int, depth: int):
+    """Blocks of regions → which texts each pair of blocks needs, for likely pairs that no earlier tree shares.
+
+    At least one of a pair is the block's own text, not a guest. Texts are returned, not pairs: a block pair has two
+    blocks of texts at most, however many pairs they make.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
-            at, doc, part = (table.column(k).to_numpy() for k in ("at", "doc", "part"))
-            own = table.column("own").to_numpy()
-            signs = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint16).reshape(-1, HASHES)
-            heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-            sizes = np.diff(np.append(heads, len(at)))
+            rows = _arrays(table)
             found = []
-            for size in np.unique(sizes[sizes > 1]):
-                some = heads[sizes == size]
-                left, right = np.triu_indices(size, 1) if size <= 2 * CROWD else (None, None)
-                step = max(1, 2_000_000 // int(size) ** 2)
-                for k in range(0, len(some), step):
-                    starts = some[k : k + step]
-                    if left is not None:
-                        a, b = (starts[:, None] + left).ravel(), (starts[:, None] + right).ravel()
-                        found += _compare(a, b, np.repeat(np.arange(len(starts)), len(left)), doc, part, own, signs, cut, spanning)
-                    else:  # a block with many guests, row by row
-                        for a in range(int(starts[0]), int(starts[0] + size) - 1):
-                            b = np.arange(a + 1, int(starts[0] + size))
-                            found += _compare(np.full(len(b), a), b, None, doc, part, own, signs, cut, False)
+            for a, b in _pairs_within(rows["at"]):
+                keep = rows["own"][a] | rows["own"][b]
+                a, b, _ = _likely(rows, a[keep], b[keep], cut, num, den)
+                keep = _first_tree(rows, a, b, depth) == rows["tree"][a]
+                a, b = a[keep], b[keep]
+                if len(a):
+                    group = _block_pair(rows, a, b)
+                    found.append(np.unique(np.stack([np.append(group, group), np.append(a, b)], 1), axis=0))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in map(np.concatenate, zip(*found, strict=True))], ["a", "b"])
+                group, row = np.unique(np.concatenate(found), axis=0).T
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(group.copy()), *(pa.array(rows[k][row]) for k in ("tree", "region", "blocks", "doc", "part"))],
+                    ["at", "tree", "region", "blocks", "doc", "part"],
+                )
 
     return run
 
 
-def _compare(a, b, group, doc, part, own, signs, cut, spanning) -> list[tuple[np.ndarray, np.ndarray]]:
-    keep = (part[a] != part[b]) & (own[a] | own[b])
-    a, b = a[keep], b[keep]
-    share = np.concatenate(
-        [(signs[a[i : i + 20_000]] == signs[b[i : i + 20_000]]).mean(1) for i in range(0, len(a), 20_000)] or [np.zeros(0)]
-    )
-    good = share >= cut
-    a, b, share = a[good], b[good], share[good]
-    if spanning and len(a):
-        # row indexes differ between groups, so one forest serves all of them
-        chosen = _forest(np.stack([a, b], 1), share)
-        a, b = a[chosen], b[chosen]
-    x, y = np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])
-    return [(x, y)] if len(x) else []
+def _confirm_groups(size: int, cut: float, num: int, den: int, depth: int):
+    """Block pairs with signatures and texts → their likely pairs at or over ``num / den`` on full sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches):
+            rows = _arrays(table)
+            sets: list[np.ndarray] = []
+            for block in blocks(table.column("text").combine_chunks(), fold=True):
+                hashes, offsets = shingle_sets(block, size)
+                sets += [hashes[offsets[i] : offsets[i + 1]].copy() for i in range(len(offsets) - 1)]
+            left, right = [], []
+            for a, b in _pairs_within(rows["at"]):
+                a, b, _ = _likely(rows, a, b, cut, num, den)
+                keep = (_first_tree(rows, a, b, depth) == rows["tree"][a]) & (_block_pair(rows, a, b) == rows["at"][a])
+                for x, y in zip(a[keep].tolist(), b[keep].tolist(), strict=True):
+                    if _linked(sets[x], sets[y], num, den):
+                        left.append(rows["doc"][x])
+                        right.append(rows["doc"][y])
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return den * common >= num * (len(both) - common)
 
 
 def _confirm(size: int, num: int, den: int):
-    """Rows ``a, block, b, text`` sorted by group, the leader (``b`` null) first → pairs at or over ``num / den``."""
+    """Rows ``group, a, b, text`` sorted by group, its texts (``b`` null) first → its pairs at or over ``num / den``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leader, key = None, None
+        sets: dict[int, np.ndarray] = {}
+        current = None
         for batch in batches:
-            a, b, part = (batch.column(k).to_pylist() for k in ("a", "b", "block"))
+            group, a, b = (batch.column(k).to_pylist() for k in ("group", "a", "b"))
             left, right = [], []
             for block in blocks(batch.column("text"), fold=True):
                 hashes, offsets = shingle_sets(block, size)
                 for i in range(len(offsets) - 1):
-                    row, own = block.first + i, hashes[offsets[i] : offsets[i + 1]]
+                    row = block.first + i
+                    if group[row] != current:
+                        current = group[row]
+                        sets.clear()
                     if b[row] is None:
-                        leader, key = own.copy(), (a[row], part[row])
-                    elif key == (a[row], part[row]):
-                        common = len(np.intersect1d(leader, own, assume_unique=True))
-                        if den * common >= num * (len(leader) + len(own) - common):
-                            left.append(a[row])
-                            right.append(b[row])
+                        sets[a[row]] = hashes[offsets[i] : offsets[i + 1]].copy()
+                        continue
+                    if _linked(sets[a[row]], sets[b[row]], num, den):
+                        left.append(a[row])
+                        right.append(b[row])
             if left:
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
@@ -191,12 +280,16 @@ def _confirm(size: int, num: int, den: int):
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle sets reach ``num / den``. A leader is sent once for each block of followers."""
-    blocked = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(16)).cast("int").alias("block"))
-    leaders = blocked.select(F.col("a").alias("doc"), "a", "block", F.lit(None).cast("bigint").alias("b")).distinct()
-    rows = leaders.unionByName(blocked.select(F.col("b").alias("doc"), "a", "block", "b")).join(texts, "doc")
-    rows = rows.select("a", "block", "b", "text").repartition("a", "block").sortWithinPartitions("a", "block", "b")
-    return rows.mapInArrow(_confirm(size, num, den), "a bigint, b bigint")
+    """The pairs ``a, b`` whose full shingle sets reach ``num / den``.
+
+    A pair that several trees propose is confirmed in the first of them, in its group, which holds each text once.
+    """
+    pairs = pairs.groupBy("a", "b").agg(F.min(F.struct("tree", "group")).alias("first")).select("a", "b", "first.group")
+    held = pairs.select("group", F.explode(F.array("a", "b")).alias("doc")).distinct().join(texts, "doc")
+    rows = held.select("group", F.col("doc").alias("a"), F.lit(None).cast("bigint").alias("b"), "text")
+    rows = rows.unionByName(pairs.withColumn("text", F.lit(None).cast("string")))
+    sorted_rows = rows.repartition("group").sortWithinPartitions("group", "b", "a")
+    return sorted_rows.mapInArrow(_confirm(size, num, den), "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -234,7 +327,7 @@ def _prefix(key: str, depth: int):
 def _regions(reps: DataFrame, depth: int) -> DataFrame:
     """``tree, key, region, doc, n_here``: texts that share a prefix of ``depth`` with another one in that tree."""
     trees = F.explode(F.array(*[
-        F.struct(F.lit(t).cast("short").alias("tree"), F.substring("sign", 1 + 2 * DEPTH * t, 2 * DEPTH).alias("key"))
+        F.struct(F.lit(t).alias("tree"), F.substring("sign", 1 + 2 * DEPTH * t, 2 * DEPTH).alias("key"))
         for t in range(TREES)
     ]))
     rows = reps.select("doc", trees.alias("t")).select("doc", "t.tree", "t.key", _prefix("t.key", depth).alias("region"))
@@ -243,50 +336,56 @@ def _regions(reps: DataFrame, depth: int) -> DataFrame:
 
 
 def near_links(sets: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Links ``a, b`` that give the components of all pairs of ``sets`` (``doc, sign``) at or over ``num / den``."""
+    """Links ``a, b`` that give the components of all pairs of ``sets`` (``doc, n, sign``) at or over ``num / den``."""
     threshold = num / den
     depth = prefix_depth(threshold)
     cut = threshold - 4 * (threshold * (1 - threshold) / HASHES) ** 0.5
-    signs = sets.select("doc", "sign")
-    regions = _regions(signs, depth).checkpoint()
+    regions = _regions(sets.select("doc", "sign"), depth).checkpoint()
     near = texts.join(regions.select("doc").distinct(), "doc").checkpoint()
+    here = F.xxhash64("tree", "region")
     # Round 1: crowded regions at greater depths, and in blocks where even whole keys are crowded.
     deeper = regions.filter(F.col("n_here") > CROWD)
-    groups = regions.filter(F.col("n_here") <= CROWD).select("doc", F.xxhash64("tree", "region").alias("at"))
+    groups = regions.filter(F.col("n_here") <= CROWD).select("doc", "tree", here.alias("at"))
     for d in range(depth + 1, DEPTH + 1):
-        sub = deeper.withColumn("region", _prefix("key", d))
-        counts = sub.groupBy("tree", "region").agg(F.count("*").alias("n_sub"))
-        sub = sub.join(counts, ["tree", "region"]).withColumn("n_here", F.col("n_sub")).drop("n_sub")
-        fits = sub.filter((F.col("n_here") <= CROWD) & (F.col("n_here") > 1))
-        groups = groups.unionByName(fits.select("doc", F.xxhash64("tree", "region").alias("at")))
+        sub = deeper.withColumn("region", _prefix("key", d)).drop("n_here")
+        counts = sub.groupBy("tree", "region").agg(F.count("*").alias("n_here"))
+        sub = sub.join(counts, ["tree", "region"])
+        groups = groups.unionByName(sub.filter(f"n_here between 2 and {CROWD}").select("doc", "tree", here.alias("at")))
         deeper = sub.filter(F.col("n_here") > CROWD)
     block = F.pmod(F.xxhash64("doc", "tree"), F.ceil(F.col("n_here") / CROWD))
-    groups = groups.unionByName(deeper.select("doc", F.xxhash64("tree", "region", block).alias("at")))
+    groups = groups.unionByName(deeper.select("doc", "tree", F.xxhash64("tree", "region", block).alias("at")))
 
-    def pairs(rows: DataFrame, spanning: bool) -> DataFrame:
-        sorted_rows = rows.join(signs, "doc").select("at", "doc", "part", "own", "sign").repartition("at").sortWithinPartitions("at", "doc")
-        return sorted_rows.mapInArrow(_candidates(cut, spanning), "a bigint, b bigint").distinct()
+    def grouped(rows: DataFrame, *columns: str) -> DataFrame:
+        rows = rows.join(sets, "doc").select("at", "doc", "n", "part", "tree", *columns, "sign")
+        return rows.repartition("at").sortWithinPartitions("at", "doc")
 
-    first = pairs(groups.select("at", "doc", F.col("doc").alias("part"), F.lit(True).alias("own")), True)
+    first = grouped(groups.withColumn("part", F.col("doc"))).mapInArrow(
+        _forests(cut, num, den), "a bigint, b bigint, tree int, group bigint"
+    )
     links = confirmed(first, near, size, num, den).checkpoint()
     # Round 2: what shares a region at the shortest prefix and is not joined yet.
     parts = components(links)
-    member = regions.select("tree", "region", "doc", "n_here").join(parts, F.col("doc") == F.col("node"), "left").select(
-        "tree", "region", "doc", "n_here", F.coalesce("component", "doc").alias("part")
-    ).checkpoint()
+    member = regions.select("tree", here.alias("region"), "doc", "n_here").join(
+        parts, F.col("doc") == F.col("node"), "left"
+    ).select("tree", "region", "doc", "n_here", F.coalesce("component", "doc").alias("part")).checkpoint()
     split = member.groupBy("tree", "region", "part").agg(F.count("*").alias("n")).groupBy("tree", "region").agg(
         F.max_by("part", "n").alias("largest"), F.count("*").alias("n_parts")
     ).filter("n_parts > 1").drop("n_parts")
-    open_ = member.join(split, ["tree", "region"])
-    n_blocks = F.ceil(F.col("n_here") / CROWD)
-    own_block = F.pmod(F.xxhash64("doc"), n_blocks)
-    everywhere = F.sequence(F.lit(0).cast("bigint"), n_blocks - 1)
-    spread = F.when((F.col("part") != F.col("largest")) & (n_blocks > 1), everywhere).otherwise(F.array(own_block))
-    open_ = open_.withColumn("home", own_block).withColumn("block", F.explode(spread)).select(
-        F.xxhash64("tree", "region", "block").alias("at"), "doc", "part", (F.col("home") == F.col("block")).alias("own")
+    open_ = member.join(split, ["tree", "region"]).withColumn("blocks", F.ceil(F.col("n_here") / CROWD).cast("int"))
+    open_ = open_.withColumn("home", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
+    guest = (F.col("part") != F.col("largest")) & (F.col("blocks") > 1)
+    open_ = open_.withColumn("block", F.explode(F.when(guest, everywhere).otherwise(F.array("home")))).select(
+        F.xxhash64("tree", "region", "block").alias("at"), "doc", "part", (F.col("home") == F.col("block")).alias("own"),
+        "tree", "region", "blocks",
+    )
+    needed = grouped(open_, "own", "region", "blocks").mapInArrow(
+        _open_groups(cut, num, den, depth), "at bigint, tree int, region bigint, blocks int, doc bigint, part bigint"
+    ).distinct()
+    second = grouped(needed.join(near, "doc"), "region", "blocks", "text").mapInArrow(
+        _confirm_groups(size, cut, num, den, depth), "a bigint, b bigint"
     )
-    second = confirmed(pairs(open_, False), near, size, num, den).checkpoint()
-    return links.unionByName(second)
+    return links.unionByName(second.checkpoint())
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -295,15 +394,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     Two texts are linked if ``den`` times their common distinct shingles of ``size`` words (A-Z folded) is at least ``num``
     times all of them. ``component_id`` is the smallest id reachable, ``class_id`` the smallest id with exactly the same
     set. A text with fewer words than ``size`` has one shingle; a null text or one without words has none and is linked
-    with nothing. Equal rows share all values; of rows that share an id but not their words, the one with the
-    smallest set address is compared. A null id counts as the smallest. Other columns are ignored.
+    with nothing. Equal rows share all values; of rows that share an id but not their words, one is compared. A null id counts as the smallest. Other columns are ignored.
     """
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), F.col("text"))
     sets = texts.mapInArrow(_signatures(size), "doc bigint, n bigint, d1 bigint, d2 bigint, sign binary").checkpoint()
     classes = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc").alias("rep"))
     one = classes.groupBy("rep").agg(F.min(F.struct("d1", "d2")).alias("d"))
     reps = sets.join(one.select(F.col("rep").alias("doc"), "d.d1", "d.d2"), ["doc", "d1", "d2"], "left_semi")
-    links = near_links(reps.select("doc", "sign").dropDuplicates(["doc"]), texts, size, num, den)
+    links = near_links(reps.select("doc", "n", "sign").dropDuplicates(["doc"]), texts, size, num, den)
     parts = components(links).select(F.col("node").alias("rep"), "component")
     named = classes.join(parts, "rep", "left").select("d1", "d2", "rep", F.coalesce("component", "rep").alias("component"))
     out = sets.select("doc", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
