@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labmeta.llm import fingerprints as fp
-from labmeta.llm import near_dedup, packing, secret_scan, substring_dedup
+from labmeta.llm import language_mix, line_crf, near_dedup, packing, secret_scan, substring_dedup
 from labmeta.llm.registry import query, table
 from labmeta.sources.tables import shared_folder
 
@@ -53,6 +53,35 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    left = language_mix.remainder("doc_id", 4)
+    found = language_mix.identify(docs, docs.filter(left != 2))
+    return found.select("doc_id", (left == 2).alias("held_out"), "lang_pred", "score")
+
+
+def quality_weights(spark: SparkSession, sf_dir: str, docs: DataFrame):
+    """Weights learned from the labelled documents whose id's remainder is not 0."""
+    labels = table(spark, sf_dir, "labels").filter(language_mix.remainder("doc_id", 5) != 0)
+    labelled = docs.join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
+    return line_crf.learn(labelled.select(F.col("doc_id").alias("key"), "text", "label"))
+
+
+#: Documents of a lower score are rejected.
+ACCEPTED = 0.3
+
+
+@query()
+def op5_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = line_crf.with_quality(docs.select("doc_id", "text"), quality_weights(spark, sf_dir, docs))
+    return scored.select(
+        "doc_id", (language_mix.remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= ACCEPTED, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query(f"""
   with w as (select doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) as w from documents),
   win as (select doc_id, i, array_to_string(w[i:i + 19], ' ') as s
