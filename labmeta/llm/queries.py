@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labmeta.llm import fingerprints as fp
-from labmeta.llm import language_mix, line_crf, near_dedup, packing, secret_scan, substring_dedup
+from labmeta.llm import decontam, language_mix, line_crf, near_dedup, packing, secret_scan, substring_dedup, token_rollup
 from labmeta.llm.registry import query, table
 from labmeta.sources.tables import shared_folder
 
@@ -131,3 +131,41 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fp.as_text("kept").alias("fingerprint"),
         fp.as_text("edited_kept").alias("edited_fingerprint"), "near_edited", "near_next",
     )
+
+
+@query()
+def op6_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TOKENS = """
+  select *, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as words,
+    len(regexp_extract_all(text, '[A-Za-z]+|[0-9]|[^A-Za-z0-9\\x20\\x09-\\x0D]+')) as pieces"""
+
+
+@query(rf"""
+  with now as (
+    select d.doc_id, source, lang, case when l.toxic = 1 then regexp_replace(coalesce(text, ''), '[0-9]+', '', 'g')
+      else coalesce(text, '') end as text
+    from documents d left join labels l on l.doc_id = d.doc_id where coalesce(l.quality, 1) <> 0),
+  counted as ({_TOKENS} from now),
+  every as (select source, lang, 'words-1' as version, words as n, length(text) as c from counted
+            union all select source, lang, 'pieces-1', pieces, length(text) from counted)
+  select source, lang, version, count(*) as n_docs, cast(sum(n) as bigint) as n_tokens, cast(sum(c) as bigint) as n_chars
+  from every group by all""")
+def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; those of bad quality are withdrawn; toxic ones are revised (no digits); one batch comes twice;
+    then a second tokenizer version counts all that is left."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    first = {"words-1": token_rollup.word_tokens}
+    fresh = docs.select(F.lit("upsert").alias("op"), "doc_id", "source", "lang", "text")
+    marked = docs.join(labels.filter("quality = 0 or toxic = 1").select("doc_id", "quality"), "doc_id")
+    changes = marked.select(
+        F.when(F.col("quality") == 0, "delete").otherwise("upsert").alias("op"), "doc_id", "source", "lang",
+        F.regexp_replace("text", "[0-9]+", "").alias("text"),
+    )
+    rollup = token_rollup.Rollup(spark, shared_folder(spark)).apply(1, fresh, first)
+    rollup = rollup.apply(2, changes, first).apply(2, changes, first)
+    revised = changes.select("doc_id").distinct()
+    recount = fresh.join(revised, "doc_id", "left_anti").unionByName(changes.filter("op = 'upsert'"))
+    return rollup.apply(3, recount, {"pieces-1": token_rollup.piece_tokens}).totals()
