@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labmeta.llm import fingerprints as fp
-from labmeta.llm import decontam, language_mix, line_crf, near_dedup, packing, secret_scan, substring_dedup, token_rollup
+from labmeta.llm import decontam, gated_lm, language_mix, line_crf, near_dedup, packing, secret_scan, substring_dedup, token_rollup
 from labmeta.llm.registry import query, table
 from labmeta.sources.tables import shared_folder
 
@@ -53,6 +53,13 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out_of_sample = language_mix.remainder("doc_id", 10) == 0
+    scored = gated_lm.score_documents(table(spark, sf_dir, "documents"), ~out_of_sample)
+    return scored.withColumn("held_out", out_of_sample)
+
+
 @query()
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -97,13 +104,17 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@query()
-def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokenizer() -> str:
+    """The path of the tokenizer file in the installed package, which executors have too."""
     import public_tokenizers
 
-    return packing.pack_documents(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), packing.CAPACITY, F.crc32("ids").alias("ids_crc32")
-    )
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, tokenizer(), packing.CAPACITY, F.crc32("ids").alias("ids_crc32"))
 
 
 @query(f"""

@@ -123,3 +123,37 @@ def secrets_of(docs: DataFrame, root: str, rules: str = RULES, ledger: Ledger |
         F.expr(f"nullif(path, {-(1 << 63)}L)").alias("doc_id"),
         F.coalesce("found", F.expr(f"cast(array() as {_FOUND})")).alias("found"),
     )
+
+
+MASK = "[SECRET]"
+
+
+def mask(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text with every span, or run of overlapping spans, replaced by ``MASK``."""
+    out, last = [], 0
+    for start, end in sorted(spans):
+        if start >= last:
+            out += [text[last:start], MASK]
+        last = max(last, end)
+    return "".join(out) + text[last:]
+
+
+def _masker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [
+            mask(text, [(s["start"], s["end"]) for s in found]) if found else text
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("_found").to_pylist(), strict=True)
+        ]
+        names = [n for n in batch.schema.names if n != "_found"]
+        columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def masked(docs: DataFrame, root: str, rules: str = RULES, ledger: Ledger | None = None) -> DataFrame:
+    """``docs`` with all secrets in ``text`` masked. Other columns and rows without secrets stay as they are."""
+    ledger = ledger or Ledger(docs.sparkSession, root)
+    ledger = ledger.scan(f"batch-{len(ledger.batches)}", addressed(docs), rules)
+    findings = ledger.read(rules).filter(F.size("found") > 0).dropDuplicates(["blob"])
+    findings = findings.select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
+    joined = docs.join(findings, F.sha2(F.coalesce(F.col("text"), F.lit("")), 256) == F.col("_blob"), "left").drop("_blob")
+    return joined.mapInArrow(_masker, docs.schema)
