@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 CAPACITY = 4096
 END = 1
 #: Words kept with their ids in one Python worker.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 1_000_000
 #: Branch-and-bound nodes of one sequence after which its incumbent is taken.
 NODES = 2_000
 
