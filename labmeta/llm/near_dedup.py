@@ -23,8 +23,10 @@ from labmeta.llm.wordhash import Block, rolled, blocks, mix
 
 TREES, DEPTH = 16, 6
 HASHES = TREES * DEPTH
-#: A region of more texts is taken at a greater depth, or in blocks of about this size.
+#: A region of more texts is taken at a greater depth, in the first round also in blocks of about this size.
 CROWD = 128
+#: Blocks of the second round; two of them are compared in one group.
+BLOCK = 512
 _MISS = 2e-5
 _NO_ID = -(1 << 63)
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
@@ -191,11 +193,19 @@ def _forests(cut: float, num: int, den: int):
     return run
 
 
+def _once(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of two own texts of a block, or of an own one and a guest. Guests are never of the region's largest part, so
+    a pair of two texts that are guests to each other is taken in the block of the smaller id."""
+    own, main, doc = rows["own"], rows["main"], rows["doc"]
+    x, y = np.where(own[a], a, b), np.where(own[a], b, a)
+    keep = own[x] & (own[y] | main[x] | (doc[x] < doc[y]))
+    return a[keep], b[keep]
+
+
 def _open_groups(cut: float, num: int, den: int, depth: int):
     """Blocks of regions → which texts each pair of blocks needs, for likely pairs that no earlier tree shares.
 
-    At least one of a pair is the block's own text, not a guest. Texts are returned, not pairs: a block pair has two
-    blocks of texts at most, however many pairs they make.
+    Texts are returned, not pairs: a block pair has two blocks of texts at most, however many pairs they make.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,8 +213,7 @@ def _open_groups(cut: float, num: int, den: int, depth: int):
             rows = _arrays(table)
             found = []
             for a, b in _pairs_within(rows["at"]):
-                keep = rows["own"][a] | rows["own"][b]
-                a, b, _ = _likely(rows, a[keep], b[keep], cut, num, den)
+                a, b, _ = _likely(rows, *_once(rows, a, b), cut, num, den)
                 keep = _first_tree(rows, a, b, depth) == rows["tree"][a]
                 a, b = a[keep], b[keep]
                 if len(a):
@@ -371,15 +380,15 @@ def near_links(sets: DataFrame, texts: DataFrame, size: int, num: int, den: int)
     split = member.groupBy("tree", "region", "part").agg(F.count("*").alias("n")).groupBy("tree", "region").agg(
         F.max_by("part", "n").alias("largest"), F.count("*").alias("n_parts")
     ).filter("n_parts > 1").drop("n_parts")
-    open_ = member.join(split, ["tree", "region"]).withColumn("blocks", F.ceil(F.col("n_here") / CROWD).cast("int"))
+    open_ = member.join(split, ["tree", "region"]).withColumn("blocks", F.ceil(F.col("n_here") / BLOCK).cast("int"))
     open_ = open_.withColumn("home", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
     guest = (F.col("part") != F.col("largest")) & (F.col("blocks") > 1)
     open_ = open_.withColumn("block", F.explode(F.when(guest, everywhere).otherwise(F.array("home")))).select(
         F.xxhash64("tree", "region", "block").alias("at"), "doc", "part", (F.col("home") == F.col("block")).alias("own"),
-        "tree", "region", "blocks",
+        (F.col("part") == F.col("largest")).alias("main"), "tree", "region", "blocks",
     )
-    needed = grouped(open_, "own", "region", "blocks").mapInArrow(
+    needed = grouped(open_, "own", "main", "region", "blocks").mapInArrow(
         _open_groups(cut, num, den, depth), "at bigint, tree int, region bigint, blocks int, doc bigint, part bigint"
     ).distinct()
     second = grouped(needed.join(near, "doc"), "region", "blocks", "text").mapInArrow(
