@@ -308,20 +308,24 @@ def components(links: DataFrame) -> DataFrame:
     Nodes of many links are never gathered: minima are aggregated and joined back.
     """
 
-    def state(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+        edges = edges.checkpoint()
+        return edges, tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
-    known = state(edges)
+    pairs = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges, known = kept(pairs.distinct())
     while known[0]:
+        few = known[0] // 20_000 + 2  # as many tasks as the links need, not as many as the documents do
+        edges = edges.coalesce(few)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        edges = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        joined = edges.join(least, "a")
-        edges = joined.select("a", F.col("m").alias("b")).unionByName(joined.filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        edges = edges.distinct().checkpoint()
-        now = state(edges)
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.coalesce(few).distinct().coalesce(few)
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        joined = large.join(least, "a").coalesce(few)
+        up, across = joined.select("a", F.col("m").alias("b")), joined.filter("b > m")
+        small = up.unionByName(across.select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct().coalesce(few)
+        edges, now = kept(small)
         if now == known:
             break
         known = now
@@ -329,6 +333,20 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
+def joined_components(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``parts`` (``node, component``) after more ``links``: components of components, and of nodes not in ``parts``."""
+    end = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part"))
+    named = links.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
+        "a", "b", F.coalesce("a_part", "a").alias("x"), F.coalesce("b_part", "b").alias("y")
+    ).checkpoint()
+    top = components(named.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    top = top.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    fresh = named.select(F.explode(F.array(F.struct("a", "x"), F.struct(F.col("b").alias("a"), F.col("y").alias("x")))).alias("e"))
+    fresh = fresh.select(F.col("e.a").alias("node"), F.col("e.x").alias("component"))
+    every = parts.unionByName(fresh).distinct()
+    return every.join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+
+
 def _prefix(key: str, depth: int):
     return F.substring(key, 1, 2 * depth)
 
@@ -344,8 +362,8 @@ def _regions(reps: DataFrame, depth: int) -> DataFrame:
     return rows.join(many, ["tree", "region"])
 
 
-def near_links(sets: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Links ``a, b`` that give the components of all pairs of ``sets`` (``doc, n, sign``) at or over ``num / den``."""
+def linked_parts(sets: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """``node, component`` of all pairs of ``sets`` (``doc, n, sign``) at or over ``num / den``."""
     threshold = num / den
     depth = prefix_depth(threshold)
     cut = threshold - 4 * (threshold * (1 - threshold) / HASHES) ** 0.5
@@ -373,7 +391,7 @@ def near_links(sets: DataFrame, texts: DataFrame, size: int, num: int, den: int)
     )
     links = confirmed(first, near, size, num, den).checkpoint()
     # Round 2: what shares a region at the shortest prefix and is not joined yet.
-    parts = components(links)
+    parts = components(links).checkpoint()
     member = regions.select("tree", here.alias("region"), "doc", "n_here").join(
         parts, F.col("doc") == F.col("node"), "left"
     ).select("tree", "region", "doc", "n_here", F.coalesce("component", "doc").alias("part")).checkpoint()
@@ -394,7 +412,7 @@ def near_links(sets: DataFrame, texts: DataFrame, size: int, num: int, den: int)
     second = grouped(needed.join(near, "doc"), "region", "blocks", "text").mapInArrow(
         _confirm_groups(size, cut, num, den, depth), "a bigint, b bigint"
     )
-    return links.unionByName(second.checkpoint())
+    return joined_components(parts, second)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -410,8 +428,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     classes = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc").alias("rep"))
     one = classes.groupBy("rep").agg(F.min(F.struct("d1", "d2")).alias("d"))
     reps = sets.join(one.select(F.col("rep").alias("doc"), "d.d1", "d.d2"), ["doc", "d1", "d2"], "left_semi")
-    links = near_links(reps.select("doc", "n", "sign").dropDuplicates(["doc"]), texts, size, num, den)
-    parts = components(links).select(F.col("node").alias("rep"), "component")
+    parts = linked_parts(reps.select("doc", "n", "sign").dropDuplicates(["doc"]), texts, size, num, den)
+    parts = parts.select(F.col("node").alias("rep"), "component")
     named = classes.join(parts, "rep", "left").select("d1", "d2", "rep", F.coalesce("component", "rep").alias("component"))
     out = sets.select("doc", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
     class_id = F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc"))
