@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from labmeta.llm.wordhash import hash_words, runs, utf8
 
 #: Labelled documents that the weights are learned from at most, lines of each learning chain, and learning steps.
-LEARNING_DOCS, CHAIN, STEPS = 8_000, 400, 250
+LEARNING_DOCS, CHAIN, STEPS = 4_000, 400, 250
 _RATE, _DECAY = 0.05, 1e-4
 _KINDS = {
     "upper": range(65, 91), "lower": range(97, 123), "digit": range(48, 58), "wide": range(128, 256), "exclaim": b"!",
@@ -172,14 +172,16 @@ def _learner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([w.tolist()]), pa.array([pair.ravel().tolist()])], ["w", "pair"])
 
 
-def learn(labelled: DataFrame, most: int = LEARNING_DOCS) -> tuple[np.ndarray, np.ndarray] | None:
-    """Weights from ``most`` rows of ``key, text, label`` at most (those of the smallest key hashes); None without rows.
+def learn(docs: DataFrame, labels: DataFrame, most: int = LEARNING_DOCS) -> tuple[np.ndarray, np.ndarray] | None:
+    """Weights from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, label``); None without a labelled document.
 
-    The bound is the classifier's only one: it makes learning one small task, whatever the number of labels.
+    Of the labels, ``most`` at most are used, those of the smallest id hashes: the classifier's only bound, which makes
+    learning one small task whatever the number of labels. They are chosen on the labels alone and sent to the documents.
     """
-    rows = labelled.filter("label is not null").select("text", F.col("label").cast("int").alias("label"), F.xxhash64("key").alias("h"))
-    chosen = rows.orderBy("h").limit(most).select("text", "label").coalesce(1)
-    found = chosen.mapInArrow(_learner, "w array<double>, pair array<double>").first()
+    labels = labels.filter("label is not null and doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("label").cast("int"))
+    chosen = labels.orderBy(F.xxhash64("_id"), "label").limit(most)
+    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "label").repartition(1)
+    found = rows.mapInArrow(_learner, "w array<double>, pair array<double>").first()
     return (np.array(found["w"]), np.array(found["pair"]).reshape(2, 2)) if found else None
 
 

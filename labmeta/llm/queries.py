@@ -71,8 +71,7 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_weights(spark: SparkSession, sf_dir: str, docs: DataFrame):
     """Weights learned from the labelled documents whose id's remainder is not 0."""
     labels = table(spark, sf_dir, "labels").filter(language_mix.remainder("doc_id", 5) != 0)
-    labelled = docs.join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
-    return line_crf.learn(labelled.select(F.col("doc_id").alias("key"), "text", "label"))
+    return line_crf.learn(docs.select("doc_id", "text"), labels.select("doc_id", F.col("quality").alias("label")))
 
 
 #: Documents of a lower score are rejected.
