@@ -167,15 +167,19 @@ def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in; those of bad quality are withdrawn; toxic ones are revised (no digits); one batch comes twice;
     then a second tokenizer version counts all that is left."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    first = {"words-1": token_rollup.word_tokens}
-    fresh = docs.select(F.lit("upsert").alias("op"), "doc_id", "source", "lang", "text")
-    marked = docs.join(labels.filter("quality = 0 or toxic = 1").select("doc_id", "quality"), "doc_id")
-    changes = marked.select(
-        F.when(F.col("quality") == 0, "delete").otherwise("upsert").alias("op"), "doc_id", "source", "lang",
-        F.regexp_replace("text", "[0-9]+", "").alias("text"),
+    first, second = {"words-1": token_rollup.word_tokens}, {"pieces-1": token_rollup.piece_tokens}
+    no_digits = docs.withColumn("text", F.regexp_replace("text", "[0-9]+", ""))
+    marks = labels.filter("quality = 0 or toxic = 1").select(
+        "doc_id", F.when(F.col("quality") == 0, "delete").otherwise("upsert").alias("op")
     )
-    rollup = token_rollup.Rollup(spark, shared_folder(spark)).apply(1, fresh, first)
-    rollup = rollup.apply(2, changes, first).apply(2, changes, first)
-    revised = changes.select("doc_id").distinct()
-    recount = fresh.join(revised, "doc_id", "left_anti").unionByName(changes.filter("op = 'upsert'"))
-    return rollup.apply(3, recount, {"pieces-1": token_rollup.piece_tokens}).totals()
+
+    def fresh(versions) -> DataFrame:
+        return token_rollup.counted(docs, versions).withColumn("op", F.lit("upsert"))
+
+    def changes(versions) -> DataFrame:
+        return token_rollup.counted(no_digits, versions).join(marks, "doc_id")
+
+    rollup = token_rollup.Rollup(spark, shared_folder(spark)).apply(1, fresh(first))
+    rollup = rollup.apply(2, changes(first)).apply(2, changes(first))
+    left = fresh(second).join(marks.select("doc_id"), "doc_id", "left_anti").unionByName(changes(second).filter("op = 'upsert'"))
+    return rollup.apply(3, left).totals()

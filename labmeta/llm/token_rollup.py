@@ -7,7 +7,7 @@ they are stored, so totals are sums of small batch folders and no document is co
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,6 +32,16 @@ def piece_tokens(text: Column) -> Column:
 VERSIONS: dict[str, Callable[[Column], Column]] = {"words-1": word_tokens, "pieces-1": piece_tokens}
 
 
+def counted(docs: DataFrame, versions: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """``doc_id, source, lang, text`` (its hash), ``n_chars`` and a column of token counts for each version; a null text
+    counts 0. Counting comes before any shuffle, so texts are never moved."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "source", "lang", F.xxhash64(text).alias("text"),
+        F.char_length(text).cast("bigint").alias("n_chars"), *[f(text).alias(v) for v, f in (versions or VERSIONS).items()],
+    )
+
+
 @dataclass
 class Rollup:
     """Batches below ``root``: ``totals/<batch>`` (signed sums) and ``states/<batch>`` (what each changed document counts now).
@@ -58,22 +68,17 @@ class Rollup:
             rows = rows.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").drop("_n")
         return rows.filter("live").drop("batch", "live")
 
-    def apply(self, batch: int, changes: DataFrame, versions: dict[str, Callable[[Column], Column]] | None = None) -> Rollup:
-        """Apply ``changes`` (``op, doc_id, source, lang, text``; ``op`` is ``upsert`` or ``delete``), one row for each document.
+    def apply(self, batch: int, changes: DataFrame, versions: Sequence[str] | None = None) -> Rollup:
+        """Apply ``changes``, rows of ``counted`` with ``op`` (``upsert`` or ``delete``), one for each document.
 
         An upsert of a known document is a revision; a delete of an unknown one changes nothing; a null text counts 0. Of
-        rows that repeat a document in one batch, a delete wins, then the greatest text. Null sources and languages are
+        rows that repeat a document in one batch, a delete wins, then the greatest text hash. Null sources and languages are
         groups of their own. A null id is one document.
         """
-        versions = versions or VERSIONS
+        versions = [c for c in changes.columns if c in (versions or VERSIONS)]
         one = Window.partitionBy("doc_id").orderBy(F.when(F.col("op") == "delete", 0).otherwise(1), F.desc("text"), "source", "lang")
-        text = F.coalesce(F.col("text"), F.lit(""))
-        counted = changes.select(
-            "op", F.col("doc_id").cast("bigint").alias("doc_id"), "source", "lang", F.char_length(text).cast("bigint").alias("n_chars"),
-            F.hash(text).alias("text"), *[f(text).alias(v) for v, f in versions.items()],
-        )
-        counted = counted.withColumn("_n", F.row_number().over(one)).filter("_n = 1")
-        per = F.explode(F.array(*[F.struct(F.lit(v).alias("version"), F.col(v).alias("n_tokens")) for v in versions]))
+        counted = changes.withColumn("_n", F.row_number().over(one)).filter("_n = 1")
+        per = F.explode(F.array(*[F.struct(F.lit(v).alias("version"), F.col(f"`{v}`").alias("n_tokens")) for v in versions]))
         now = counted.withColumn("v", per).select(
             "doc_id", "source", "lang", "v.version", F.lit(1).cast("bigint").alias("n_docs"), "v.n_tokens", "n_chars",
             F.lit(batch).cast("bigint").alias("batch"), (F.col("op") != "delete").alias("live"),
