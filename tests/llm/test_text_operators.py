@@ -129,8 +129,18 @@ def test_plan_uses_up_the_histogram():
             for k, c in filling:
                 used[k] = used.get(k, 0) + c * times
         assert used == histogram
-        large = sum(c for k, c in histogram.items() if k > 32)
-        assert n <= max(-(-sum(k * c for k, c in histogram.items()) // 64), large) * 1.02 + 2
+        room: dict[int, int] = {}  # best-fit decreasing: room left -> sequences
+        bins = 0
+        for length in sorted(histogram, reverse=True):
+            for _ in range(histogram[length]):
+                fit = min((r for r, k in room.items() if k and r >= length), default=None)
+                if fit is None:
+                    bins += 1
+                    fit = 64
+                else:
+                    room[fit] -= 1
+                room[fit - length] = room.get(fit - length, 0) + 1
+        assert n <= bins * 1.01 + 1
     assert packing.plan({1: 5000}, 4096) == [([(1, 4096)], 1), ([(1, 904)], 1)]
 
 
