@@ -24,7 +24,9 @@ from pyspark.sql import types as T
 CAPACITY = 4096
 END = 1
 #: Words kept with their ids in one Python worker.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 500_000
+#: Parts of words (runs of letters or marks, digits) kept likewise.
+KNOWN_UNITS = 50_000
 #: Branch-and-bound nodes of one sequence after which its incumbent is taken.
 NODES = 2_000
 
@@ -39,6 +41,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.known: dict[bytes, int] = {}
+        self.units: dict[str, list[int]] = {}
         self.flat, self.starts, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
 
     @staticmethod
@@ -65,7 +68,12 @@ class WordIds:
             if _PLAIN.fullmatch(text) and b"<|" not in word:
                 ids = []
                 for unit in _UNITS.findall(text.lower()):
-                    ids += [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(_BYTE_CHARS))]
+                    own = self.units.get(unit)
+                    if own is None:
+                        own = [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(_BYTE_CHARS))]
+                        if len(self.units) < KNOWN_UNITS:
+                            self.units[unit] = own
+                    ids += own
                 out.append(ids)
             else:
                 odd.append((len(out), text))
