@@ -14,9 +14,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def _with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents whose id is (``left_semi``) or is not (``left_anti``) among ``ids``; a null id counts as an id."""
-    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), how).select(*COLUMNS)
+    """Documents whose id is (``left_semi``) or is not (``left_anti``) among ``ids``, with that id as text in ``_id``; a
+    null id counts as an id."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
+    return docs.select(*COLUMNS, key).join(ids.select(key).distinct(), "_id", how)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,12 +29,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the document with the smallest id; of equal rows, one."""
     kept = near_dedup.near_duplicates(docs, size=5, num=80, den=100).filter("kept")
-    return _with_ids(docs, kept, "left_semi").dropDuplicates(["doc_id", "text"])
+    # Rows are partitioned by ``_id`` for the join, so finding equal ones moves no text again.
+    return _with_ids(docs, kept, "left_semi").dropDuplicates(["_id", "text"]).select(*COLUMNS)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return _with_ids(docs, decontam.leaks(docs, table(spark, sf_dir, "benchmark")), "left_anti")
+    return _with_ids(docs, decontam.leaks(docs, table(spark, sf_dir, "benchmark")), "left_anti").select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
