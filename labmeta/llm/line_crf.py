@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labmeta.llm.held import let_go
 from labmeta.llm.wordhash import hash_words, runs, utf8
 
 #: Labelled documents that the weights are learned from at most, lines of each learning chain, and learning steps.
@@ -187,6 +188,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = LEARNING_DOCS) -> tupl
 
 def _scorer(weights: tuple[np.ndarray, np.ndarray] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             score = scores(batch.column("text"), *weights) if weights else np.full(batch.num_rows, 0.5)
             names = [*batch.schema.names, "score"]

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labmeta.llm.held import let_go
 from labmeta.llm.wordhash import Block, rolled, blocks, mix
 
 TREES, DEPTH = 16, 6
@@ -59,6 +60,7 @@ def shingle_sets(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for block in blocks(batch.column("text"), fold=True):
                 hashes, offsets = shingle_sets(block, size)
@@ -176,6 +178,7 @@ def _forests(cut: float, num: int, den: int):
     """Groups of rows → of each group, a spanning forest of its likely pairs: one pair a text at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for table in _groups(batches):
             rows = _arrays(table)
             for a, b in _pairs_within(rows["at"]):
@@ -264,6 +267,7 @@ def _confirm(size: int, num: int, den: int):
     """Rows ``group, a, b, text`` sorted by group, its texts (``b`` null) first → its pairs at or over ``num / den``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         sets: dict[int, np.ndarray] = {}
         current = None
         for batch in batches:

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labmeta.llm.held import keep
+
 CAPACITY = 4096
 END = 1
 #: Words kept with their ids in one Python worker.
@@ -133,15 +135,11 @@ _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
 _UNITS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 #: The printable stand-ins for bytes in byte-level vocabularies: bytes without a glyph count up from 256.
 _BYTE_CHARS = {b: 256 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
-_loaded: dict[str, WordIds] = {}
 
 
 def _pieces(path: str, capacity: int, texts_at_once: int = 500):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _loaded:
-            _loaded.clear()
-            _loaded[path] = WordIds(path)
-        coder = _loaded[path]
+        coder = keep(("word ids", path), lambda: WordIds(path))
         for batch in batches:
             for at in range(0, batch.num_rows, texts_at_once):
                 part = batch.slice(at, texts_at_once)
