@@ -6,7 +6,7 @@ import html
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,3 +134,21 @@ def strip_html(c: Column) -> Column:
 def label_column(label: str) -> str:
     """Column name for a question label."""
     return label.replace("-", "_").replace(".", "___").replace(" ", "___")
+
+
+def json_depth(text: Column) -> Column:
+    """Objects and lists open at once, at most; brackets inside strings do not count. A null is 0."""
+    bare = F.regexp_replace(F.regexp_replace(text, r"(?s)\\.", ""), '"[^"]*"', "")
+    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]+", ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(seen: Column, mark: Column) -> Column:
+        now = seen["now"] + F.when(mark.isin("{", "["), 1).when(mark.isin("}", "]"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
+
+    return F.coalesce(F.aggregate(marks, start, step, lambda seen: seen["most"]), F.lit(0))
+
+
+def deepest(df: DataFrame, document: str) -> int:
+    """The greatest ``json_depth`` of a column: one aggregate over it, run when called."""
+    return df.agg(F.max(json_depth(F.col(document)))).first()[0] or 0

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labmeta.functions.keys import seed_parts, uri_from_seed
-from labmeta.functions.text import join_path, parent_index
+from labmeta.functions.text import deepest, join_path, parent_index
 from labmeta.schemas import ANSWER_GROUP_TYPES, OPTION_TYPES
 
-MAX_DEPTH = 6
+# Levels opened in one plan; deeper documents go on from a checkpoint.
+LEVELS = 10
 
 # JSON kinds of a value; a finished object is a group.
 SCALAR, OBJECT, ARRAY, BOOLEAN, GROUP = range(5)
@@ -70,12 +71,19 @@ _NODE = (
 
 
 def _top_level(docs: DataFrame, keep: Sequence[str], document: str) -> DataFrame:
-    """One node per top-level key, numbered in document order from 0."""
+    """One node per top-level key, numbered in document order from 0.
+
+    A null, blank or ``null`` document has no keys. Any other that is not a JSON object fails the job.
+    """
     text, none = F.col(document), F.lit(None).cast("string")
+    # It is part of the map that is exploded, so no query can prune it.
+    unreadable = F.when(
+        ~F.trim(text).isin("", "null"), F.raise_error(F.lit("an answer document is not a JSON object")).cast("map<string,string>")
+    )
     parsed = docs.select(*docs.columns, _is_plain(text).alias("_plain")).select(
         *keep,
         "_plain",
-        F.from_json(text, "map<string,string>").alias("_object"),
+        F.coalesce(F.from_json(text, "map<string,string>"), unreadable).alias("_object"),
         _typed(text, "map<string,variant>", F.lit(True)).alias("_object_types"),
     )
     entries = _zip(F.map_keys("_object"), F.map_values("_object"), F.map_values("_object_types"))
@@ -188,27 +196,24 @@ def flatten_answers(
     subject: str = "response_subject_uri",
     document: str = "xnat_custom_fields",
     naming: Naming = Naming(),
-    max_depth: int = MAX_DEPTH,
 ) -> DataFrame:
-    """Documents to answer rows: one narrow pipeline, one generator per level, no shuffle and no union.
+    """Documents to answer rows: a narrow pipeline with one generator per level, no shuffle and no union.
 
-    A document nested deeper than ``max_depth``, or a value that cannot be opened, fails the job rather than
-    losing answers.
+    Levels are opened until none is open: how many that are is taken from the documents first, by one aggregate. A
+    document that is not a JSON object fails the job rather than losing answers.
     """
     keep = [c for c in docs.columns if c != document]
     open_level = level_opener(keep, subject, naming)
     nodes = _top_level(docs, keep, document)
-    for _ in range(max_depth):
+    for level in range(1, deepest(docs, document)):
+        if level % LEVELS == 0:
+            nodes = nodes.checkpoint()
         nodes = open_level(nodes)
-    text = F.when(
-        F.col("_kind").isin(OBJECT, ARRAY),
-        F.raise_error(F.lit(f"answers nested deeper than {max_depth} levels")).cast("string"),
-    ).otherwise(F.col("response_text"))
     return nodes.select(
         *keep,
         "question_id",
         "question_group_id",
-        text.alias("response_text"),
+        "response_text",
         "response_index_in_list",
         "response_list_group_uri",
         "multiselect",

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labmeta.functions.text import join_path
+from labmeta.functions.text import deepest, join_path
 from labmeta.operators.enrich import subject_type_of
 from labmeta.schemas import FORM_GROUP_TYPES
 
-MAX_DEPTH = 12
+# Levels opened in one plan; deeper forms go on from a checkpoint.
+LEVELS = 12
 
 _TREE = "key string, components array<string>, columns array<string>"
 _OPTIONS = "array<struct<label: string, value: string>>"
@@ -50,12 +51,12 @@ def list_forms(documents: DataFrame) -> DataFrame:
     )
 
 
-def walk_items(documents: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def walk_items(documents: DataFrame) -> DataFrame:
     """Every item of every form with its group path, parents before children, in one narrow pipeline.
 
     Below ``components`` the path grows by the item's key; below ``columns``, and below items without a
     key, it stays. Each level emits the item and its children in one generator, so there is no union and
-    no shuffle. A tree deeper than ``max_depth`` fails the job.
+    no shuffle. How many levels there are is taken from the documents first, by one aggregate.
     """
     ids = ["research_study_id", "xnat_data_type", "questionnaire_uuid"]
     nodes = top_forms(documents).select(
@@ -68,7 +69,10 @@ def walk_items(documents: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     def node(item: Column, path: Column, done: bool) -> Column:
         return F.struct(item.alias("item"), path.alias("group_id"), F.lit(done).alias("done"))
 
-    for _ in range(max_depth):
+    # A body holds its top forms three brackets deep, and each level of items adds a list and an object.
+    for level in range(max(1, (deepest(documents, "body") - 3) // 2)):
+        if level and level % LEVELS == 0:
+            nodes = nodes.checkpoint()
         tree = F.when(~F.col("done"), F.from_json("item", _TREE))
         nodes = nodes.withColumn("tree", tree)
         below = F.when(
@@ -83,17 +87,14 @@ def walk_items(documents: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         ).otherwise(self_row)
         nodes = nodes.select(*ids, F.inline(expanded))
 
-    checked = F.when(F.col("done"), F.col("item")).otherwise(
-        F.raise_error(F.lit(f"form tree deeper than {max_depth} levels")).cast("string")
-    )
-    return nodes.select(*ids, "group_id", F.from_json(checked, _ITEM).alias("i")).filter("i.key is not null")
+    return nodes.select(*ids, "group_id", F.from_json("item", _ITEM).alias("i")).filter("i.key is not null")
 
 
-def flatten_questions(documents: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def flatten_questions(documents: DataFrame) -> DataFrame:
     """One row per item with a key."""
     i = F.col("i")
     conditional = F.from_json(i["conditional"], "when string, eq string")
-    return walk_items(documents, max_depth).select(
+    return walk_items(documents).select(
         "research_study_id",
         "xnat_data_type",
         "questionnaire_uuid",
@@ -112,11 +113,11 @@ def flatten_questions(documents: DataFrame, max_depth: int = MAX_DEPTH) -> DataF
     )
 
 
-def flatten_options(documents: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def flatten_options(documents: DataFrame) -> DataFrame:
     """One row per answer option. The option's label is its code and its value is its display text."""
     i = F.col("i")
     options = F.when(i["data"].isNotNull(), i["data"]["values"]).otherwise(i["values"])
-    return walk_items(documents, max_depth).select(
+    return walk_items(documents).select(
         "research_study_id",
         "xnat_data_type",
         "questionnaire_uuid",

@@ -77,6 +77,25 @@ def flatten_options(spark, d):
     return Fm.flatten_options(part_documents(spark, d))
 
 
+@query(
+    """select cast(o_orderkey as varchar) as research_study_id, 'k' as question_id, 'container' as question_type,
+      case when i > 0 then 'k' || repeat('.k', cast(i - 1 as integer)) end as group_id
+      from (select o_orderkey, unnest(range(3 + o_orderkey % 18)) as i from orders)"""
+)
+def flatten_deep_forms(spark, d):
+    """Forms of 3 to 20 nested groups."""
+    depth = (3 + F.col("o_orderkey") % 18).cast("int")
+    body = F.concat(
+        F.lit('{"components":[{"title":"Form","components":['),
+        F.repeat(F.lit('{"key":"k","label":"Group","type":"container","components":['), depth), F.repeat(F.lit("]}"), depth),
+        F.lit("]}]}"),
+    )
+    forms = table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("research_study_id"), F.lit("xnat:subjectData").alias("xnat_data_type"), body.alias("body")
+    )
+    return Fm.flatten_questions(forms).select("research_study_id", "question_id", "question_type", "group_id")
+
+
 @query(
     f"""select questionnaire_uuid, question_id, group_id, case when group_id is null then null
       when contains(group_id, '.') then 'urn:' || questionnaire_uuid || ':grid' else 'urn:' || questionnaire_uuid || ':' || group_id end as group_uri

@@ -66,9 +66,21 @@ def test_list_uris_differ_by_subject_and_item(spark):
     assert not {r["response_list_group_uri"] for r in rows} & {r["response_list_group_uri"] for r in other}
 
 
-def test_too_deep_fails_loudly(spark):
-    with pytest.raises(Exception, match="nested deeper than 2 levels"):
-        A.flatten_answers(frame(spark, {"d": {"a": {"b": {"c": {"d": 1}}}}}), max_depth=2).collect()
+@pytest.mark.parametrize("levels", [1, 2, 9, 10, 11, 23])
+def test_every_level_is_opened(spark, levels):
+    doc = 1
+    for _ in range(levels):
+        doc = {"q": doc}
+    flat = A.flatten_answers(frame(spark, {"deep": doc, "flat": {"a": "}}{[\\\"["}}))
+    assert flat.filter("response_subject_uri = 'deep'").count() == levels
+    assert [r["response_text"] for r in flat.filter("question_id = 'a'").collect()] == ["}}{[\\\"["]
+
+
+@pytest.mark.parametrize("text", ["[1,2]", '{"a": 1', "word", "3"])
+def test_unreadable_document_fails(spark, text):
+    docs = spark.createDataFrame([("s", text)], "response_subject_uri string, xnat_custom_fields string")
+    with pytest.raises(Exception, match="not a JSON object"):
+        A.flatten_answers(docs).count()
 
 
 def test_reuse_list_uri_raises_on_several(spark):

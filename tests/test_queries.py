@@ -10,7 +10,7 @@ SAMPLE = [
     "delta_classify", "delta_apply", "replace_scope_status", "keep_repeated", "changed_rows_since", "align_types",
     "stripped_html", "lookup_chain", "flatten_lines", "answers_with_questions", "flatten_questions", "form_group_uri",
     "linked_acquisition_objects", "linked_answers", "optional_answers", "cohort", "reachable_pairs", "read_subjects",
-    "upsert_resources", "streamed_devices",
+    "upsert_resources", "streamed_devices", "flatten_deep_answers", "flatten_deep_forms", "flatten_options",
 ]
 
 
