@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labmeta.llm.held import let_go
+from labmeta.llm.held import lean
 from labmeta.llm.wordhash import hash_words, runs, utf8
 
 #: Labelled documents that the weights are learned from at most, lines of each learning chain, and learning steps.
@@ -157,7 +157,7 @@ def scores(column: pa.Array, w: np.ndarray, pair: np.ndarray) -> np.ndarray:
     """Length-weighted means of the lines' probabilities of being good."""
     lengths = np.diff(utf8(column)[1])
     out = []
-    for a, b in runs(lengths, 1 << 21):
+    for a, b in runs(lengths):
         features, length, first = line_features(column.slice(a, b - a))
         odds, _ = _passes(features @ w, pair, first)
         weight = np.maximum(length, 1e-9)
@@ -187,8 +187,8 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = LEARNING_DOCS) -> tupl
 
 
 def _scorer(weights: tuple[np.ndarray, np.ndarray] | None):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for batch in batches:
             score = scores(batch.column("text"), *weights) if weights else np.full(batch.num_rows, 0.5)
             names = [*batch.schema.names, "score"]

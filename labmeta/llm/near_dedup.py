@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labmeta.llm.held import let_go
+from labmeta.llm.held import lean
 from labmeta.llm.wordhash import Block, rolled, blocks, mix
 
 TREES, DEPTH = 16, 6
@@ -59,8 +59,8 @@ def shingle_sets(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(size: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for batch in batches:
             for block in blocks(batch.column("text"), fold=True):
                 hashes, offsets = shingle_sets(block, size)
@@ -177,8 +177,8 @@ def _block_pair(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np
 def _forests(cut: float, num: int, den: int):
     """Groups of rows → of each group, a spanning forest of its likely pairs: one pair a text at most."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for table in _groups(batches):
             rows = _arrays(table)
             for a, b in _pairs_within(rows["at"]):
@@ -211,6 +211,7 @@ def _open_groups(cut: float, num: int, den: int, depth: int):
     Texts are returned, not pairs: a block pair has two blocks of texts at most, however many pairs they make.
     """
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
             rows = _arrays(table)
@@ -235,6 +236,7 @@ def _open_groups(cut: float, num: int, den: int, depth: int):
 def _confirm_groups(size: int, cut: float, num: int, den: int, depth: int):
     """Block pairs with signatures and texts → their likely pairs at or over ``num / den`` on full sets."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
             rows = _arrays(table)
@@ -266,8 +268,8 @@ def _linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
 def _confirm(size: int, num: int, den: int):
     """Rows ``group, a, b, text`` sorted by group, its texts (``b`` null) first → its pairs at or over ``num / den``."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         sets: dict[int, np.ndarray] = {}
         current = None
         for batch in batches:

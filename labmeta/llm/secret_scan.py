@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labmeta.llm.held import lean
+
 #: Kinds in the order in which spans of one start are listed. Group 2 of the first must have 8 characters or more.
 KINDS = ("assign", "access", "hex")
 MORE_KINDS = ("pem",)
@@ -49,6 +51,7 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
 _FOUND = "array<struct<start: int, end: int, kind: string>>"
 
 
+@lean
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
     for batch in batches:
@@ -138,6 +141,7 @@ def mask(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out) + text[last:]
 
 
+@lean
 def _masker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [

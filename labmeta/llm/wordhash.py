@@ -38,16 +38,18 @@ _inverses = np.ones(1, np.uint64)
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of an odd base and of its inverse, modulo 2**64."""
+    """Powers 0..n of an odd base and of its inverse, modulo 2**64. Those for a block are kept, not those for longer texts."""
     global _powers, _inverses
-    if len(_powers) <= n:
-        size = max(n + 1, 2 * len(_powers))
-        steps = np.full(size, _BASE, np.uint64)
-        steps[0] = 1
-        _powers = np.multiply.accumulate(steps)
-        steps[1:] = pow(_BASE, -1, 1 << 64)
-        _inverses = np.multiply.accumulate(steps)
-    return _powers, _inverses
+    if len(_powers) > n:
+        return _powers, _inverses
+    steps = np.full(max(n, BLOCK_BYTES) + 1, _BASE, np.uint64)
+    steps[0] = 1
+    powers = np.multiply.accumulate(steps)
+    steps[1:] = pow(_BASE, -1, 1 << 64)
+    inverses = np.multiply.accumulate(steps)
+    if n <= BLOCK_BYTES:
+        _powers, _inverses = powers, inverses
+    return powers, inverses
 
 
 def rolled(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
