@@ -114,7 +114,7 @@ def select_distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def bindings_to_table(results: DataFrame, variables: Sequence[str], body: str = "body") -> DataFrame:
-    """Rows from query-result JSON; a variable without a binding is null."""
-    parsed = F.from_json(body, "results struct<bindings: array<map<string, struct<value: string>>>>")
+    """Rows from query-result JSON; a variable without a binding is null. A cut-off body is an error."""
+    parsed = F.from_json(body, "results struct<bindings: array<map<string, struct<value: string>>>>", {"mode": "FAILFAST"})
     rows = results.select(F.explode(parsed["results"]["bindings"]).alias("b"))
     return rows.select([F.try_element_at("b", F.lit(v))["value"].alias(v) for v in variables])

@@ -66,9 +66,15 @@ def load_sessions(wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | Non
     return load_table(wh, "session", rows, proc_dt, scope)
 
 
-def load_devices(wh: Warehouse, path: str, proc_dt: str) -> DataFrame:
+def load_devices(wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None) -> DataFrame:
+    """Devices of the landed scans; under a scope also those that stored scans of other studies use."""
+    columns = ["src_system", "device_manufacturer", "device_name"]
     scans = L.configured_projects(L.read_scans(wh.spark, path, wh.src_system), wh.read("xnat_config"))
-    rows = E.distinct_rows(scans, ["src_system", "device_manufacturer", "device_name"])
+    rows = E.distinct_rows(scans, columns)
+    if scope is not None:
+        elsewhere = match_keys(wh.read("acquisition"), scope, scope.columns, "left_anti").select("device_uri")
+        used = wh.read("device").join(elsewhere, "device_uri", "left_semi")
+        rows = E.distinct_rows(rows.unionByName(used.select(*columns)), columns)
     return load_table(wh, "device", rows, proc_dt)
 
 
@@ -161,7 +167,7 @@ def load_all(wh: Warehouse, landing: str, proc_dt: str, scope: DataFrame | None
     load_studies(wh, f"{landing}/projects", proc_dt, scope)
     load_subjects(wh, f"{landing}/subjects", proc_dt, scope)
     load_sessions(wh, f"{landing}/sessions", proc_dt, scope)
-    load_devices(wh, f"{landing}/scans", proc_dt)
+    load_devices(wh, f"{landing}/scans", proc_dt, scope)
     load_scans(wh, f"{landing}/scans", proc_dt, scope)
     load_scan_objects(wh, f"{landing}/dicom", f"{landing}/fields", proc_dt, scope)
     load_forms(wh, f"{landing}/forms", proc_dt, scope)

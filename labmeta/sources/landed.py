@@ -3,7 +3,8 @@
 A landing job drops what the imaging server returned. Projects and subjects are XML documents. Everything else
 is JSON Lines, one envelope per line: the identifiers of the request and the returned ``body``, as nested
 JSON or as text. Lines are split across tasks, so one large study does not land in one task. Nothing is
-inferred: every reader passes its schema.
+inferred: every reader passes its schema. A cut-off line, document or body fails the read: if its rows just went
+missing, the next load would delete them.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ SCAN_FIELDS = {
     "series_description": "xnat:imagescandata/series_description",
 }
 
+#: Input that cannot be read is an error.
+STRICT = {"mode": "FAILFAST"}
+
 
 def _strings(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -42,13 +46,13 @@ def _strings(names: Sequence[str]) -> T.StructType:
 
 def _xml(spark: SparkSession, path: str, tag: str, fields: Sequence[str], lines: bool) -> DataFrame:
     """XML documents, one per file, or with ``lines`` one per line of files that are split across tasks."""
-    reader = spark.read.format("xml").option("rowTag", tag).option("multiLine", not lines)
+    reader = spark.read.format("xml").option("rowTag", tag).option("multiLine", not lines).options(**STRICT)
     return reader.schema(_strings(fields)).load(path)
 
 
 def read_envelopes(spark: SparkSession, path: str, ids: Sequence[str]) -> DataFrame:
     """JSON Lines with the given identifier fields and ``body`` as raw JSON text."""
-    return spark.read.schema(_strings([*ids, "body"])).json(path)
+    return spark.read.schema(_strings([*ids, "body"])).options(**STRICT).json(path)
 
 
 def read_projects(spark: SparkSession, path: str, src_system: str, lines: bool = False) -> DataFrame:
@@ -91,7 +95,7 @@ def _typed_records(spark: SparkSession, path: str) -> DataFrame:
         .select(
             F.col("project").alias("research_study_id"),
             "session_type",
-            F.explode(F.from_json("body", "array<map<string,string>>")).alias("m"),
+            F.explode(F.from_json("body", "array<map<string,string>>", STRICT)).alias("m"),
         )
     )
     prefix = F.concat(F.lower("session_type"), F.lit("/"))
@@ -145,14 +149,14 @@ def read_dicom_dump(spark: SparkSession, path: str) -> DataFrame:
         F.col("project").alias("research_study_id"),
         "session_id",
         "acquisition_id",
-        F.get_json_object("body", "$.ResultSet.Result").alias("dicom_header"),
+        F.from_json("body", "ResultSet struct<Result: string>", STRICT)["ResultSet"]["Result"].alias("dicom_header"),
     )
 
 
 def read_scan_fields(spark: SparkSession, path: str) -> DataFrame:
     """Per scan the field map, entities decoded, reduced to the header keys, as JSON text."""
     df = read_envelopes(spark, path, ["project", "subject_id", "session_id", "acquisition_id"])
-    parsed = F.from_json(decode_entities(F.col("body")), "items array<struct<data_fields: map<string,string>>>")
+    parsed = F.from_json(decode_entities(F.col("body")), "items array<struct<data_fields: map<string,string>>>", STRICT)
     fields = header_keys(parsed["items"][0]["data_fields"])
     return df.select(
         F.col("project").alias("research_study_id"),

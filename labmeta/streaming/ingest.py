@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from labmeta.plans.loaders import load_table
+from labmeta.schemas import TABLES
 from labmeta.sources.tables import Warehouse
 
 
@@ -17,17 +18,19 @@ def ingest_stream(
     landed: DataFrame,
     proc_dt: Callable[[int], str],
     checkpoint: str,
-    scope_columns: Sequence[str] = ("research_study_id",),
+    scope_columns: Sequence[str] | None = None,
 ) -> StreamingQuery:
     """Process all files landed since the last run, then stop.
 
-    Each batch holds the complete current rows of the scopes (studies) it mentions: those scopes are
-    compared and replaced, all others stay. A batch replayed after a failure finds its own rows stored and
-    changes nothing, so the load is effectively exactly-once.
+    Rows of a batch are inserted or updated by key, and all other stored rows stay. With ``scope_columns`` each batch
+    must hold the complete current rows of the scopes (such as studies) it mentions: what a scope lacks is deleted.
+    A batch replayed after a failure finds its own rows stored and changes nothing, so the load is effectively
+    exactly-once.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        load_table(wh, name, batch, proc_dt(batch_id), scope=batch.select(*scope_columns).distinct())
+        scope = batch.select(*(scope_columns or TABLES[name].key)).distinct()
+        load_table(wh, name, batch, proc_dt(batch_id), scope=scope)
 
     return (
         landed.writeStream.foreachBatch(step)

@@ -293,6 +293,25 @@ def streamed_devices(spark, d):
     return wh.read("device").select("device_name", "device_manufacturer", "device_uri", "_rev")
 
 
+@query(
+    f"""select s_name as device_name, cast(s_nationkey as varchar) as device_manufacturer, {uri_sql("'lab'", 's_nationkey', 's_name')} as device_uri,
+      cast(1 as integer) as _rev from supplier"""
+)
+def streamed_devices_two_runs(spark, d):
+    """Two runs that each land a part of every manufacturer's devices; the second keeps what the first stored."""
+    folder = shared_folder(spark)
+    wh = Warehouse(spark, f"{folder}/warehouse", NAMING, "lab")
+    s = table(spark, d, "supplier").select(
+        F.lit("lab").alias("src_system"), F.col("s_nationkey").cast("string").alias("device_manufacturer"), F.col("s_name").alias("device_name")
+    )
+    first = F.pmod(F.xxhash64("device_name"), F.lit(2)) == 0
+    for rows in (s.filter(first), s.filter(~first)):
+        rows.write.mode("append").parquet(f"{folder}/landed")
+        stream = spark.readStream.schema(s.schema).parquet(f"{folder}/landed")
+        ingest_stream(wh, "device", stream, lambda _: PROC_DT, f"{folder}/progress").awaitTermination()
+    return wh.read("device").select("device_name", "device_manufacturer", "device_uri", "_rev")
+
+
 def _documents(curr):
     return curr.select(
         F.concat(F.lit("urn:s:"), "s_suppkey", F.coalesce("nation", F.lit(-1))).alias("resource_uri"),
