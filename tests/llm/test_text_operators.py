@@ -253,6 +253,30 @@ def test_language_model(spark, texts):
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in none)
 
 
+@pytest.mark.parametrize("frequent", [0, 40])
+def test_language_model_scores_rows_not_ids(spark, monkeypatch, frequent):
+    import math
+    from collections import Counter
+
+    monkeypatch.setattr(gated_lm, "FREQUENT", frequent)
+    rng = random.Random(4)
+    rows = [(k, " ".join(words(rng, 60, 90))) for k in range(8)]
+    rows += [rows[3], rows[3], (5, "other words under one id"), (None, "w1 w2 first"), (None, "w3 second second"), (None, None)]
+    learned = Counter()
+    for i, t in rows:
+        if i is not None and i % 2:
+            learned.update([*(t or "").split(), "\n"])
+    n = sum(learned.values())
+    want = []
+    for _, t in rows:
+        ws = [*(t or "").split(), "\n"]
+        base = sum(math.log10((learned[w] + 0.1) / (n + 0.1 * (len(learned) + 1))) for w in ws)
+        want.append((len(ws), sum(learned[w] > 0 for w in ws), round(base, 6)))
+    out = gated_lm.score_documents(frame(spark, rows), F.col("doc_id") % 2 == 1).collect()
+    assert sorted((r.n_tokens, r.n_known, round(r.base_score, 6)) for r in out) == sorted(want)
+    assert len({round(r.score, 6) for r in out if r.doc_id == 3}) == 1
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
