@@ -1,17 +1,18 @@
 """Best-fit packing by bin completion over a length histogram.
 
 Which documents share a sequence depends on their lengths only, and there are at most ``capacity`` lengths. So the
-counts per length (at most ``capacity`` rows, whatever the input) decide a packing plan: bin completion takes the
-largest length left, enumerates undominated fillings of the rest of its sequence by branch and bound, and uses the
-best one as often as the counts allow. Documents then find their place from their rank among the pieces of their
-length, in parallel.
+counts per length (at most ``capacity`` rows, whatever the input) decide a packing plan. Best-fit decreasing over the
+counts gives the first plan. If it uses more sequences than the total needs, bin completion looks for a better one: it
+branches over the undominated fillings of the largest length left, adds up their waste, turns back where that leaves no
+room for a better plan, and ends at a plan that fits the total or with its budget of steps. Documents then find their
+place from their rank among the pieces of their length, in parallel.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import accumulate, repeat
 
@@ -29,8 +30,11 @@ END = 1
 KNOWN_WORDS = 500_000
 #: Parts of words (runs of letters or marks, digits) kept likewise.
 KNOWN_UNITS = 50_000
-#: Branch-and-bound nodes of one sequence after which its incumbent is taken.
-NODES = 2_000
+#: Branch-and-bound nodes within one sequence, and steps between sequences beyond the first descent, after which the
+#: best that is known is taken.
+NODES, STEPS = 2_000, 2_000
+#: A plan: ``[(length, how many), …]`` of one sequence, and the number of such sequences.
+Plan = list[tuple[list[tuple[int, int]], int]]
 
 
 class WordIds:
@@ -206,32 +210,147 @@ def _complete(lengths: list[int], counts: list[int], room: int) -> list[tuple[in
     return list(best[0][1])
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[tuple[int, int]], int]]:
+def best_fit(histogram: dict[int, int], capacity: int) -> Plan:
+    """Best-fit decreasing. Equal sequences are taken together, so the work does not depend on the counts.
+
+    The fullest sequence that holds a length stays the fullest until it holds no more of it, so it takes all it can.
+    """
+    rooms: dict[int, list[tuple[tuple[tuple[int, int], ...], int]]] = {}
+    order: list[int] = []  # the keys of ``rooms``, ascending
+    for length in sorted((k for k, n in histogram.items() if n), reverse=True):
+        n = histogram[length]
+        placed = []
+        at = bisect_left(order, length)
+        while n:
+            new = at == len(order)
+            room = capacity if new else order[at]
+            each = room // length
+            filling, times = ((), -(-n // each)) if new else rooms[room].pop()
+            whole = min(times, n // each)
+            rest = n - whole * each if whole < times else 0
+            for some, number in ((each, whole), (rest, int(rest > 0)), (0, times - whole - (rest > 0))):
+                if number:
+                    placed.append((room - some * length, (*filling, (length, some)) if some else filling, number))
+            n -= whole * each + rest
+            if not new and not rooms[room]:
+                del rooms[room], order[at]
+        for room, filling, number in placed:
+            if room not in rooms:
+                rooms[room] = []
+                insort(order, room)
+            rooms[room].append((filling, number))
+    return [(list(filling), number) for room in order for filling, number in rooms[room]]
+
+
+def _fillings(lengths: list[int], counts: list[int], room: int, spare: int) -> Iterator[list[tuple[int, int]]]:
+    """Fillings of ``room`` that waste ``spare`` at most, the one of least waste first. Left out are fillings with room for
+    a length that is left, in place of one of theirs or beside them: they are dominated by those that hold it."""
+    first = _complete(lengths, counts, room)
+    if room - sum(k * n for k, n in first) <= spare:
+        yield first
+    descending = [-x for x in lengths]
+    nodes = NODES
+
+    def dominated(waste: int, taken: dict[int, int]) -> bool:
+        for x in (0, *taken):
+            for i in range(bisect_left(descending, -(x + waste)), bisect_left(descending, -x)):
+                if counts[i] > taken.get(lengths[i], 0):
+                    return True
+        return False
+
+    def search(at: int, room: int, taken: tuple[tuple[int, int], ...]) -> Iterator[list[tuple[int, int]]]:
+        nonlocal nodes
+        nodes -= 1
+        if room <= spare and not dominated(room, dict(taken)):
+            yield list(taken)
+        for i in range(max(at, bisect_left(descending, -room)), len(lengths)):
+            for n in range(min(counts[i], room // lengths[i]), 0, -1):
+                if nodes <= 0:
+                    return
+                yield from search(i + 1, room - n * lengths[i], (*taken, (lengths[i], n)))
+
+    for found in search(0, room, ()):
+        if found != first:
+            yield found
+
+
+def _completed(histogram: dict[int, int], capacity: int, bins: int) -> Plan | None:
+    """The best plan of fewer than ``bins`` sequences that bin completion finds. Equal sequences are first taken as often as
+    the counts allow, then less often."""
+    lengths = sorted((k for k, n in histogram.items() if n), reverse=True)
+    left = {k: histogram[k] for k in lengths}
+    total = sum(k * n for k, n in left.items())
+    least = -(-total // capacity)
+    waste, used, chosen, best = 0, 0, [], None
+
+    def choices() -> Iterator[tuple[dict[int, int], int, int]]:
+        largest = next(k for k in lengths if left[k])
+        spare = lambda: (bins - 1) * capacity - total - waste
+        if spare() < 0:
+            return
+        some = [k for k in lengths if left[k] - (k == largest)]
+        seen = []
+        for filling in _fillings(some, [left[k] - (k == largest) for k in some], capacity - largest, spare()):
+            need = {largest: 1}
+            for k, n in filling:
+                need[k] = need.get(k, 0) + n
+            each = capacity - sum(k * n for k, n in need.items())
+            times = min(left[k] // n for k, n in need.items())
+            if each * times > spare():
+                times = max(spare(), 0) // each
+            if times:
+                seen.append((need, times, each))
+                yield need, times, each
+        for need, most, each in seen:
+            for times in range(most - 1, 0, -1):
+                if each * times <= spare():
+                    yield need, times, each
+
+    def turn_back() -> None:
+        nonlocal waste, used
+        need, times, each = chosen.pop()
+        for k, n in need.items():
+            left[k] += n * times
+        waste, used = waste - each * times, used - times
+
+    steps = 2 * len(lengths) + STEPS
+    open_ = [choices()]
+    while open_ and steps and bins > least:
+        step = next(open_[-1], None)
+        steps -= 1
+        if step is None:
+            open_.pop()
+            if chosen:
+                turn_back()
+            continue
+        need, times, each = step
+        for k, n in need.items():
+            left[k] -= n * times
+        waste, used = waste + each * times, used + times
+        chosen.append(step)
+        if any(left.values()):
+            open_.append(choices())
+        else:
+            if used < bins:
+                bins, best = used, [(list(need.items()), times) for need, times, _ in chosen]
+            turn_back()
+    return best
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     """``([(length, how many), …] of one sequence, number of such sequences)``: uses up the histogram (length → count).
 
-    Its work and size depend on the number of different lengths, not on the counts: each filling is used until one of
-    its lengths runs out.
+    It never uses more sequences than best-fit decreasing. Its work and size depend on the number of different lengths,
+    not on the counts.
     """
-    lengths = np.array(sorted((k for k, n in histogram.items() if n), reverse=True), np.int64)
-    left = np.array([histogram[k] for k in lengths.tolist()], np.int64)
-    if len(lengths) and not 0 < lengths[-1] <= lengths[0] <= capacity:
+    some = [k for k, n in histogram.items() if n]
+    if some and not 0 < min(some) <= max(some) <= capacity:
         raise ValueError("a length is outside the capacity")
-    out = []
-    while len(lengths):
-        largest = int(lengths[0])
-        left[0] -= 1
-        some = left > 0
-        need = {largest: 1}
-        for k, n in _complete(lengths[some].tolist(), left[some].tolist(), capacity - largest):
-            need[k] = need.get(k, 0) + n
-        left[0] += 1
-        keys, each = np.array(list(need)), np.array(list(need.values()))
-        at = np.searchsorted(-lengths, -keys)
-        times = int((left[at] // each).min())
-        left[at] -= each * times
-        lengths, left = lengths[left > 0], left[left > 0]
-        out.append((list(need.items()), times))
-    return out
+    first = best_fit(histogram, capacity)
+    bins = sum(times for _, times in first)
+    if bins * capacity - sum(k * n for k, n in histogram.items()) < capacity:
+        return first
+    return _completed(histogram, capacity, bins) or first
 
 
 def _places(chosen: list[tuple[list[tuple[int, int]], int]]) -> dict[str, np.ndarray]:

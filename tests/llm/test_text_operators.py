@@ -144,6 +144,45 @@ def test_plan_uses_up_the_histogram():
     assert packing.plan({1: 5000}, 4096) == [([(1, 4096)], 1), ([(1, 904)], 1)]
 
 
+def bins_of(chosen, histogram, capacity):
+    used = {}
+    for filling, times in chosen:
+        assert times > 0 and sum(k * c for k, c in filling) <= capacity
+        for k, c in filling:
+            used[k] = used.get(k, 0) + c * times
+    assert used == {k: n for k, n in histogram.items() if n}
+    return sum(times for _, times in chosen)
+
+
+def test_plan_is_never_worse_than_best_fit_decreasing():
+    for times in (1, 1000):
+        histogram = {k: n * times for k, n in {15: 1, 14: 1, 13: 1, 12: 1, 11: 2, 8: 1, 4: 1}.items()}
+        assert bins_of(packing.plan(histogram, 30), histogram, 30) <= 3 * times
+    rng = random.Random(6)
+    better = 0
+    for _ in range(150):
+        capacity = rng.choice([20, 30, 64])
+        items = [rng.randrange(capacity // 6, capacity // 2 + 2) for _ in range(rng.randrange(4, 11))]
+        rooms = []
+        for x in sorted(items, reverse=True):
+            fit = min((r for r in rooms if r >= x), default=None)
+            if fit is not None:
+                rooms.remove(fit)
+            rooms.append((capacity if fit is None else fit) - x)
+        histogram = {x: items.count(x) for x in items}
+
+        def fits(left, rooms):
+            return not left or any(
+                fits(left[1:], [*rooms[:i], r - left[0], *rooms[i + 1 :]]) for i, r in enumerate(rooms) if r >= left[0] and r not in rooms[:i]
+            )
+
+        best = next(n for n in range(1, 12) if fits(sorted(items, reverse=True), [capacity] * n))
+        assert bins_of(packing.best_fit(histogram, capacity), histogram, capacity) == len(rooms)
+        assert bins_of(packing.plan(histogram, capacity), histogram, capacity) == best
+        better += best < len(rooms)
+    assert better  # some of them need the search
+
+
 def test_secret_ledger(spark):
     key, hexes = "AKIA" + "Q" * 16, "0123456789abcdef" * 3
     rows = [(1, f"é password: '{hexes}' x"), (2, f"é password: '{hexes}' x"), (3, None), (4, ""), (5, f"token=short {key}"),
