@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labmeta.llm import decontam, line_crf, near_dedup, packing, secret_scan
@@ -13,6 +13,11 @@ from labmeta.sources.tables import shared_folder
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _row_key(text: Column) -> list[Column]:
+    """A document's id as text (a null id counts as one) and the hash of its text: ids repeat, or are missing."""
+    return [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), text.alias("_text")]
+
+
 def _with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Documents whose id is (``left_semi``) or is not (``left_anti``) among ``ids``, with that id as text in ``_id``; a
     null id counts as an id."""
@@ -34,8 +39,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return _with_ids(docs, decontam.leaks(docs, table(spark, sf_dir, "benchmark")), "left_anti").select(*COLUMNS)
+    """Documents that hold no benchmark item; of rows that share an id or have none, only those that hold one go."""
+    text = F.sha2(F.col("text"), 256)
+    found = decontam.leaks(docs.withColumn("text_hash", text), table(spark, sf_dir, "benchmark"), keep=("text_hash",))
+    leaking = found.select(*_row_key(F.col("text_hash"))).distinct()
+    keyed = docs.select(*COLUMNS, *_row_key(F.coalesce(text, F.lit(""))))
+    return keyed.join(leaking, ["_id", "_text"], "left_anti").select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

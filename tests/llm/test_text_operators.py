@@ -316,6 +316,19 @@ def test_language_model_scores_rows_not_ids(spark, monkeypatch, frequent):
     assert len({round(r.score, 6) for r in out if r.doc_id == 3}) == 1
 
 
+def test_leaks_go_by_rows_not_ids(spark, monkeypatch):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    item = " ".join(words(rng, 40, 5000))
+    leaking = lambda k: " ".join([*words(rng, k, 5000), item, "end"])
+    rows = [(None, leaking(20)), (None, "clean words"), (None, None), (1, leaking(30)), (1, "clean under id 1"), (2, leaking(9)), (3, "")]
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: spark.createDataFrame([(1, item)], "item_id bigint, text string"))
+    docs = frame(spark, rows).withColumn("n_chars", F.length("text").cast("bigint"))
+    left = {(r.doc_id, r.text) for r in corpus_pipeline.benchmark_leaks(spark, docs, "").collect()}
+    assert left == {(None, "clean words"), (None, None), (1, "clean under id 1"), (3, "")}
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
