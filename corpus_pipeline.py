@@ -18,13 +18,6 @@ def _row_key(text: Column) -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), text.alias("_text")]
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents whose id is (``left_semi``) or is not (``left_anti``) among ``ids``, with that id as text in ``_id``; a
-    null id counts as an id."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
-    return docs.select(*COLUMNS, key).join(ids.select(key).distinct(), "_id", how)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line model accepts."""
     scored = line_crf.with_quality(docs.select(*COLUMNS), quality_weights(spark, sf_dir, docs))
@@ -33,9 +26,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the document with the smallest id; of equal rows, one."""
-    kept = near_dedup.near_duplicates(docs, size=5, num=80, den=100).filter("kept")
-    # Rows are partitioned by ``_id`` for the join, so finding equal ones moves no text again.
-    return _with_ids(docs, kept, "left_semi").dropDuplicates(["_id", "text"]).select(*COLUMNS)
+    kept = near_dedup.near_duplicates(docs, size=5, num=80, den=100, with_hash=True).filter("kept")
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    joined = docs.select(*COLUMNS, *_row_key(text)).join(kept.select(*_row_key(F.col("text_hash"))).distinct(), ["_id", "_text"], "left_semi")
+    # Rows are partitioned by both keys for the join, so finding equal ones moves no text again.
+    return joined.dropDuplicates(["_id", "_text"]).select(*COLUMNS)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

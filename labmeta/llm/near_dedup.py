@@ -76,10 +76,10 @@ def _signatures(size: int):
                     first[some] = np.add.reduceat(mix(hashes), heads)
                     second[some] = np.add.reduceat(mix(hashes ^ _FACTORS[0]), heads)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc").slice(block.first, len(n)), pa.array(n.astype(np.int64)),
+                    [*(batch.column(k).slice(block.first, len(n)) for k in ("row", "text_hash")), pa.array(n.astype(np.int64)),
                      pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
                      pa.array([s.tobytes() for s in signs], pa.binary())],
-                    ["doc", "n", "d1", "d2", "sign"],
+                    ["row", "text_hash", "n", "d1", "d2", "sign"],
                 )
 
     return run
@@ -368,13 +368,15 @@ def _regions(reps: DataFrame, depth: int) -> DataFrame:
     return rows.join(many, ["tree", "region"])
 
 
-def linked_parts(sets: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """``node, component`` of all pairs of ``sets`` (``doc, n, sign``) at or over ``num / den``."""
+def linked_parts(sets: DataFrame, places: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """``node, component`` of all pairs of ``sets`` (``doc, n, sign``) at or over ``num / den``. ``places`` (``doc, row,
+    text_hash``) names a text of each set, to be found in ``texts`` (``row, text_hash, text``, in which rows may repeat)."""
     threshold = num / den
     depth = prefix_depth(threshold)
     cut = threshold - 4 * (threshold * (1 - threshold) / HASHES) ** 0.5
     regions = _regions(sets.select("doc", "sign"), depth).checkpoint()
-    near = texts.join(regions.select("doc").distinct(), "doc").checkpoint()
+    near = texts.join(places.join(regions.select("doc").distinct(), "doc"), ["row", "text_hash"])
+    near = near.dropDuplicates(["row", "text_hash"]).select("doc", "text").checkpoint()
     here = F.xxhash64("tree", "region")
     # Round 1: crowded regions at greater depths, and in blocks where even whole keys are crowded.
     deeper = regions.filter(F.col("n_here") > CROWD)
@@ -421,27 +423,39 @@ def linked_parts(sets: DataFrame, texts: DataFrame, size: int, num: int, den: in
     return joined_components(parts, second)
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, with_hash: bool = False) -> DataFrame:
     """``doc_id, n_shingles, class_id, component_id, kept``: one row for each row of ``docs``.
 
     Two texts are linked if ``den`` times their common distinct shingles of ``size`` words (A-Z folded) is at least ``num``
     times all of them. ``component_id`` is the smallest id reachable, ``class_id`` the smallest id with exactly the same
-    set. A text with fewer words than ``size`` has one shingle; a null text or one without words has none and is linked
-    with nothing. Equal rows share all values; of rows that share an id but not their words, one is compared. A null id counts as the smallest. Other columns are ignored.
+    set. A text with fewer words than ``size`` has one shingle; a null text or one without words has none, is linked with
+    nothing and kept. Rows are told apart by id and text: rows may share an id or have none, equal ones share all values, and
+    of each component the rows of the smallest id are kept, of these those of one text. A null id counts as the smallest.
+    Other columns are ignored; ``with_hash`` adds ``text_hash`` (``xxhash64`` of the text, a null one as empty).
+
+    Sets, not ids, are compared: their 64-bit digest ``d1`` is the node of the forest.
     """
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), F.col("text"))
-    sets = texts.mapInArrow(_signatures(size), "doc bigint, n bigint, d1 bigint, d2 bigint, sign binary").checkpoint()
-    classes = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc").alias("rep"))
-    one = classes.groupBy("rep").agg(F.min(F.struct("d1", "d2")).alias("d"))
-    reps = sets.join(one.select(F.col("rep").alias("doc"), "d.d1", "d.d2"), ["doc", "d1", "d2"], "left_semi")
-    parts = linked_parts(reps.select("doc", "n", "sign").dropDuplicates(["doc"]), texts, size, num, den)
-    parts = parts.select(F.col("node").alias("rep"), "component")
-    named = classes.join(parts, "rep", "left").select("d1", "d2", "rep", F.coalesce("component", "rep").alias("component"))
-    out = sets.select("doc", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
-    class_id = F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc"))
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))
+    texts = docs.select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
+        F.col("text"),
+    )
+    schema = "row bigint, text_hash bigint, n bigint, d1 bigint, d2 bigint, sign binary"
+    sets = texts.mapInArrow(_signatures(size), schema).checkpoint()
+    key = ["d1", "d2", "row", "text_hash"]
+    classes = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min(F.struct("row", "text_hash")).alias("first"))
+    places = classes.select(F.col("d1").alias("doc"), "first.row", "first.text_hash")
+    reps = sets.join(classes.select("d1", "d2", "first.*"), key, "left_semi").dropDuplicates(key)
+    parts = linked_parts(reps.select(F.col("d1").alias("doc"), "n", "sign"), places, texts, size, num, den)
+    parts = parts.withColumnRenamed("node", "d1").join(classes.select("d1", "first"), "d1")
+    top = parts.groupBy("component").agg(F.min("first").alias("top"))
+    named = classes.join(parts.join(top, "component").select("d1", "top"), "d1", "left")
+    named = named.select("d1", "d2", "first", F.coalesce("top", "first").alias("top"))
+    out = sets.drop("sign").join(named, ["d1", "d2"], "left")
+    class_id = F.when(F.col("n") > 0, F.col("first.row")).otherwise(F.col("row"))
+    component = F.when(F.col("n") > 0, F.col("top.row")).otherwise(F.col("row"))
+    kept = (F.col("n") == 0) | ((F.col("row") == F.col("top.row")) & (F.col("text_hash") == F.col("top.text_hash")))
     clean = lambda c: F.nullif(c, F.lit(_NO_ID))
     return out.select(
-        clean(F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"), clean(class_id).alias("class_id"),
-        clean(component).alias("component_id"), (F.col("doc") == component).alias("kept"),
+        clean(F.col("row")).alias("doc_id"), F.col("n").alias("n_shingles"), clean(class_id).alias("class_id"),
+        clean(component).alias("component_id"), kept.alias("kept"), *(["text_hash"] if with_hash else []),
     )

@@ -144,6 +144,24 @@ def test_plan_uses_up_the_histogram():
     assert packing.plan({1: 5000}, 4096) == [([(1, 4096)], 1), ([(1, 904)], 1)]
 
 
+def test_near_duplicates_compare_texts_not_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    near = lambda t, at: " ".join("changed" if i == at else w for i, w in enumerate(t.split()))
+    a, b, c, d = (" ".join(words(rng, 90, 5000)) for _ in range(4))
+    rows = [(5, a), (5, b), (3, near(a, 0)), (None, c), (7, c), (8, near(c, 89)), (None, d), (None, near(d, 0)), (9, near(d, 89)), (None, None), (4, "")]
+    docs = frame(spark, rows)
+    out = {(r.doc_id, r.text_hash): r for r in near_dedup.near_duplicates(docs, 5, 80, 100, with_hash=True).collect()}
+    hashes = {(r.doc_id, r.text): r.h for r in docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    got = [(out[i, hashes[i, t]].component_id, out[i, hashes[i, t]].kept) for i, t in rows]
+    assert got[:6] == [(3, False), (5, True), (3, True), (None, True), (None, False), (None, False)]
+    assert sorted(got[6:8]) == [(None, False), (None, True)] and got[8:] == [(None, False), (None, True), (4, True)]
+    whole = docs.withColumn("n_chars", F.length("text").cast("bigint"))
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, whole, "").collect()]
+    assert len(left) == 6 and {(5, b), (3, near(a, 0)), (None, c), (None, None), (4, "")} < set(left)
+
+
 def bins_of(chosen, histogram, capacity):
     used = {}
     for filling, times in chosen:
