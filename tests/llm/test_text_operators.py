@@ -334,6 +334,39 @@ def test_language_model_scores_rows_not_ids(spark, monkeypatch, frequent):
     assert len({round(r.score, 6) for r in out if r.doc_id == 3}) == 1
 
 
+def test_language_model_learns_all_words_from_all_rows(spark, monkeypatch):
+    # Far down in the vocabulary, a word foretells the next one: only weights of their own can tell.
+    rng = random.Random(11)
+    pairs = [(f"a{k}", f"b{k}") for k in range(1500)]
+    text = lambda: " ".join(w for _ in range(60) for w in rng.choice(pairs))
+    rows = [(k, text()) for k in range(1200)]
+    docs = frame(spark, rows).repartition(4)
+    seen = spark.sparkContext.accumulator(0)
+    real = gated_lm.Learner.learn
+
+    def counted(self, codes, *rest):
+        seen.add(int((codes == -2).sum()))
+        return real(self, codes, *rest)
+
+    monkeypatch.setattr(gated_lm.Learner, "learn", counted)
+    fit = gated_lm._fit
+    monkeypatch.setattr(gated_lm, "_fit", lambda *a: _with_learner(fit(*a), counted))
+    out = gated_lm.score_documents(docs, F.col("doc_id") % 4 != 0).collect()
+    assert seen.value == 900
+    left_out = [r for r in out if r.doc_id % 4 == 0]
+    assert len(out) == 1200 and sum(r.score for r in left_out) > sum(r.base_score for r in left_out) * 0.93
+    vocab = gated_lm.vocabulary(gated_lm.word_counts(docs), 1200)
+    assert vocab.words == 3000 and vocab.word_classes == 55
+
+
+def _with_learner(run, learn):
+    def task(batches):
+        gated_lm.Learner.learn = learn
+        yield from run(batches)
+
+    return task
+
+
 def test_leaks_go_by_rows_not_ids(spark, monkeypatch):
     import corpus_pipeline
 
