@@ -23,20 +23,21 @@ from labmeta.llm.wordhash import blocks, mix, rolled
 
 PERIOD = 13
 COVER = (0, 1, 3, 9)
-_PLACE = np.dtype([("doc", "<i8"), ("pos", "<i4")])
+#: A document is told by its id and the hash of its text: ids may repeat or be missing.
+_PLACE = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("pos", "<i4")])
 _NO_ID = -(1 << 63)
 #: Anchors only rule windows out, so 52 bits do; fewer bytes are shuffled.
 _ANCHOR_SHIFT = np.uint64(12)
 
 
-def _packed(keys: list[np.ndarray], docs: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, list]:
+def _packed(keys: list[np.ndarray], docs: np.ndarray, tags: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, list]:
     """The first place (by text, then start) of each distinct key, and all its other places as bytes (None: none)."""
-    order = np.lexsort((pos, docs, *reversed(keys)))
+    order = np.lexsort((pos, tags, docs, *reversed(keys)))
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
     places = np.empty(len(order), _PLACE)
-    places["doc"], places["pos"] = docs[order], pos[order]
+    places["doc"], places["tag"], places["pos"] = docs[order], tags[order], pos[order]
     heads = np.flatnonzero(new)
     tails = np.append(heads[1:], len(order))
     more = [None] * len(heads)
@@ -45,12 +46,12 @@ def _packed(keys: list[np.ndarray], docs: np.ndarray, pos: np.ndarray) -> tuple[
     return order[heads], more
 
 
-def _row(keys: list[np.ndarray], docs: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+def _row(keys: list[np.ndarray], docs: np.ndarray, tags: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
     """Distinct keys as rows; ``low`` is the second key."""
-    at, more = _packed(keys, docs, pos)
+    at, more = _packed(keys, docs, tags, pos)
     names = dict(zip(("key", "low"), (k[at] for k in keys), strict=False))
     columns = {n: pa.array(k.view(f"i{k.itemsize}")) for n, k in names.items()}
-    columns |= {"doc": pa.array(docs[at]), "pos": pa.array(pos[at]), "more": pa.array(more, pa.binary())}
+    columns |= {"doc": pa.array(docs[at]), "tag": pa.array(tags[at]), "pos": pa.array(pos[at]), "more": pa.array(more, pa.binary())}
     return pa.RecordBatch.from_pydict(columns)
 
 
@@ -60,17 +61,18 @@ def _anchors(size: int):
         covered[list(COVER)] = True
         width = size - PERIOD + 1
         for batch in batches:
-            ids = batch.column("doc").to_numpy(zero_copy_only=False)
+            ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("doc", "tag"))
             found = []
             for block in blocks(batch.column("text")):
                 starts, hashes = block.windows(width)
                 texts = block.texts[starts]
                 pos = (starts - block.offsets[texts]).astype(np.int32)
                 keep = covered[pos % PERIOD] & (block.counts[texts] >= size)
-                found.append((hashes[keep] >> _ANCHOR_SHIFT, ids[block.first + texts[keep]], pos[keep]))
+                row = block.first + texts[keep]
+                found.append((hashes[keep] >> _ANCHOR_SHIFT, ids[row], tags[row], pos[keep]))
             if found:
-                keys, docs, pos = map(np.concatenate, zip(*found, strict=True))
-                yield _row([keys], docs, pos)
+                keys, *places = map(np.concatenate, zip(*found, strict=True))
+                yield _row([keys], *places)
 
     return run
 
@@ -93,7 +95,9 @@ def _shared(keys: tuple[str, ...], all_places: bool):
             for k in keys:
                 v = rows.column(k).to_numpy()
                 same &= v[1:] == v[:-1]
-            doc, pos = rows.column("doc").to_numpy(), rows.column("pos").to_numpy()
+            place = np.empty(rows.num_rows, _PLACE)
+            for k in _PLACE.names:
+                place[k] = rows.column(k).to_numpy()
             more = rows.column("more")
             many = np.array(more.is_valid())
             extra = many.copy()
@@ -109,26 +113,23 @@ def _shared(keys: tuple[str, ...], all_places: bool):
             else:
                 new = np.append(True, ~same)
                 group, heads = np.cumsum(new) - 1, np.flatnonzero(new)
-                best_doc, best_pos = doc[heads].copy(), pos[heads].copy()
+                best = place[heads]
                 if held is not None:
-                    best_doc[0], best_pos[0] = first
-                own = (doc != best_doc[group]) | (pos != best_pos[group])
+                    best[0] = first
+                own = place != best[group]
                 if held is not None:
                     own[0] = False
-                first = (best_doc[-1], best_pos[-1])
-            out = [np.rec.fromarrays([doc[own], pos[own]], dtype=_PLACE)]
+                first = best[-1]
+            out = [place[own]]
             for i in np.flatnonzero(extra):
                 places = np.frombuffer(more[int(i)].as_py(), _PLACE)
                 if not all_places:
-                    g = group[i]
-                    places = places[(places["doc"] != best_doc[g]) | (places["pos"] != best_pos[g])]
+                    places = places[places != best[group[i]]]
                 out.append(places)
             held = rows.slice(rows.num_rows - 1)
-            places = np.concatenate([np.asarray(x, _PLACE) for x in out])
+            places = np.concatenate(out)
             if len(places):
-                yield pa.RecordBatch.from_pydict(
-                    {"doc": pa.array(places["doc"].copy()), "pos": pa.array(places["pos"].copy())}
-                )
+                yield pa.RecordBatch.from_pydict({k: pa.array(places[k].copy()) for k in _PLACE.names})
 
     return run
 
@@ -144,14 +145,13 @@ def _extended(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc").to_numpy(zero_copy_only=False)
+            ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("doc", "tag"))
             anchors, rows = _flat(batch.column("places"))
             found = []
             for block in blocks(batch.column("text")):
                 own = slice(*np.searchsorted(rows, [block.first, block.first + len(block.counts)]))
                 text = rows[own] - block.first
-                fits = anchors[own] < block.counts[text]  # a row that shares its id with another text
-                text, at = text[fits], anchors[own][fits] + block.offsets[text[fits]]
+                at = anchors[own] + block.offsets[text]
                 near = np.zeros(len(block.hashes) + 1, np.int32)
                 low = np.maximum(at - PERIOD + 1, block.offsets[text])
                 np.add.at(near, low, 1)
@@ -165,10 +165,11 @@ def _extended(size: int):
                     second = other[np.searchsorted(half, starts + size // 2)]
                     second = (second >> np.uint64(32)).astype(np.uint32)
                     texts = block.texts[starts]
-                    found.append((hashes, second, ids[block.first + texts], (starts - block.offsets[texts]).astype(np.int32)))
+                    row = block.first + texts
+                    found.append((hashes, second, ids[row], tags[row], (starts - block.offsets[texts]).astype(np.int32)))
             if found:
-                keys, low, docs, pos = map(np.concatenate, zip(*found, strict=True))
-                yield _row([keys, low], docs, pos)
+                keys, low, *places = map(np.concatenate, zip(*found, strict=True))
+                yield _row([keys, low], *places)
 
     return run
 
@@ -189,7 +190,6 @@ def _cut(size: int):
                     left = []
                 elif len(drop):
                     cover = np.zeros(len(every) + size + 1, np.int32)
-                    drop = drop[drop + size <= len(every)]
                     np.add.at(cover, drop, 1)
                     np.add.at(cover, drop + size, -1)
                     keep = np.cumsum(cover)[: len(every)] == 0
@@ -216,47 +216,50 @@ def _sequences(size: int):
                 long = np.flatnonzero(block.counts >= size)
                 ends = block.offsets[long], block.offsets[long + 1]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc").take(pa.array(block.first + long)),
+                    [*(batch.column(k).take(pa.array(block.first + long)) for k in ("doc", "tag")),
                      pa.array(rolled(block.hashes, *ends).view(np.int64)), pa.array(rolled(mix(block.hashes), *ends).view(np.int64))],
-                    ["doc", "d1", "d2"],
+                    ["doc", "tag", "d1", "d2"],
                 )
 
     return run
 
 
 def _copies(texts: DataFrame, size: int) -> DataFrame:
-    """Ids of texts whose whole word sequence is that of a text with a smaller id: all their words go, and what they
-    hold starts earlier in that text, so the other steps can do without them."""
-    known = texts.mapInArrow(_sequences(size), "doc bigint, d1 bigint, d2 bigint")
-    first = known.groupBy("d1", "d2").agg(F.min("doc").alias("first"))
-    return known.join(first, ["d1", "d2"]).filter("doc > first").select("doc").distinct()
+    """Documents whose whole word sequence is that of an earlier one (by id, then text hash): all their words go, and what
+    they hold starts earlier in that one, so the other steps can do without them."""
+    known = texts.mapInArrow(_sequences(size), "doc bigint, tag bigint, d1 bigint, d2 bigint")
+    first = known.groupBy("d1", "d2").agg(F.min(F.struct("doc", "tag")).alias("first"))
+    return known.join(first, ["d1", "d2"]).filter(F.struct("doc", "tag") > F.col("first")).select("doc", "tag").distinct()
 
 
 def _by_text(places: DataFrame) -> DataFrame:
-    return places.groupBy("doc").agg(F.collect_list("pos").alias("places"))
+    return places.groupBy("doc", "tag").agg(F.collect_list("pos").alias("places"))
 
 
 def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text``: each text without the words of windows that occur earlier.
 
     A window is ``size`` (at least 14) consecutive words of one document. It occurs earlier if the same words start in
-    a document of smaller id or before it in the same one. Windows are judged on the input. A null text has no words;
-    texts shorter than a window stay whole; a null id counts as the smallest. Rows of one id are taken as one document:
-    equal rows both stay or both go. Other columns of the input are ignored.
+    an earlier document or before it in the same one. Documents are ordered by id, then by a hash of the text: rows that
+    share an id, or have none, but not their text are documents of their own; equal rows are one, which both stay or both go.
+    Windows are judged on the input. A null text has no words; texts shorter than a window stay whole; a null id counts as the
+    smallest. Other columns of the input are ignored.
     """
     if size < PERIOD + 1:
         raise ValueError(f"a window needs {PERIOD + 1} words at least")
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), F.col("text"))
+    tag = F.xxhash64(F.coalesce("text", F.lit("")))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), tag.alias("tag"), F.col("text"))
+    document = ["doc", "tag"]
     copies = _copies(texts, size)
-    own = texts.join(copies, "doc", "left_anti")
-    place = "doc bigint, pos int"
+    own = texts.join(copies, document, "left_anti")
+    place = "doc bigint, tag bigint, pos int"
     anchors = own.mapInArrow(_anchors(size), f"key bigint, {place}, more binary")
     shared = anchors.repartition("key").sortWithinPartitions("key").mapInArrow(_shared(("key",), True), place)
-    windows = own.join(_by_text(shared), "doc", "left").mapInArrow(_extended(size), f"key bigint, low int, {place}, more binary")
-    order = ("key", "low", "doc", "pos")
+    windows = own.join(_by_text(shared), document, "left").mapInArrow(_extended(size), f"key bigint, low int, {place}, more binary")
+    order = ("key", "low", "doc", "tag", "pos")
     repeated = windows.repartition("key").sortWithinPartitions(*order).mapInArrow(_shared(order[:2], False), place)
-    marked = texts.join(copies.withColumn("copy", F.lit(True)), "doc", "left")
-    out = marked.join(_by_text(repeated), "doc", "left").mapInArrow(
+    marked = texts.join(copies.withColumn("copy", F.lit(True)), document, "left")
+    out = marked.join(_by_text(repeated), document, "left").mapInArrow(
         _cut(size), "doc bigint, n_words bigint, n_removed bigint, kept_text string"
     )
     return out.select(F.expr(f"nullif(doc, {_NO_ID}L)").alias("doc_id"), "n_words", "n_removed", "kept_text")

@@ -65,32 +65,38 @@ class Rollup:
         latest = Window.partitionBy("doc_id", "version").orderBy(F.desc("batch"))
         rows = self._read("states", STATES, own)
         if len(own) > 1:
-            rows = rows.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").drop("_n")
+            rows = rows.withColumn("_n", F.rank().over(latest)).filter("_n = 1").drop("_n")
         return rows.filter("live").drop("batch", "live")
 
     def apply(self, batch: int, changes: DataFrame, versions: Sequence[str] | None = None) -> Rollup:
-        """Apply ``changes``, rows of ``counted`` with ``op`` (``upsert`` or ``delete``), one for each document.
+        """Apply ``changes``, rows of ``counted`` with ``op`` (``upsert`` or ``delete``).
 
         An upsert of a known document is a revision; a delete of an unknown one changes nothing; a null text counts 0. Of
-        rows that repeat a document in one batch, a delete wins, then the greatest text hash. Null sources and languages are
-        groups of their own. A null id is one document.
+        rows that share an id in one batch, all count together as what the id counts now; a delete among them wins. Null sources and languages are
+        groups of their own.
+
+        Rows without an id are documents of their own that no later row can name: each upsert adds to the totals, without a
+        state, and a delete of them changes nothing.
         """
         versions = [c for c in changes.columns if c in (versions or VERSIONS)]
-        one = Window.partitionBy("doc_id").orderBy(F.when(F.col("op") == "delete", 0).otherwise(1), F.desc("text"), "source", "lang")
-        counted = changes.withColumn("_n", F.row_number().over(one)).filter("_n = 1")
+        deleted = F.col("op") == "delete"
+        counted = changes.filter("doc_id is not null").withColumn("_d", F.max(deleted).over(Window.partitionBy("doc_id")))
+        counted = counted.filter(deleted | ~F.col("_d"))
         per = F.explode(F.array(*[F.struct(F.lit(v).alias("version"), F.col(f"`{v}`").alias("n_tokens")) for v in versions]))
-        now = counted.withColumn("v", per).select(
-            "doc_id", "source", "lang", "v.version", F.lit(1).cast("bigint").alias("n_docs"), "v.n_tokens", "n_chars",
-            F.lit(batch).cast("bigint").alias("batch"), (F.col("op") != "delete").alias("live"),
+        measures = ("source", "lang", "v.version", F.lit(1).cast("bigint").alias("n_docs"), "v.n_tokens", "n_chars")
+        nameless = changes.filter("doc_id is null and op <> 'delete'").withColumn("v", per).select(*measures)
+        now = counted.withColumn("v", per).select("doc_id", *measures, (~deleted).alias("live"))
+        now = now.groupBy("doc_id", *GROUP, "live").agg(*[F.sum(c).alias(c) for c in COUNTS]).select(
+            "doc_id", *GROUP, *COUNTS, F.lit(batch).cast("bigint").alias("batch"), "live"
         )
         now.write.mode("overwrite").parquet(f"{self.root}/states/{batch}")
         now = self._read("states", STATES, (batch,))
         keys = now.select(F.col("doc_id").alias("_id"), F.col("version").alias("_v"))
         old = self.states(before=batch)
-        gone = old.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_v")), "left_semi")
+        gone = old.join(keys, (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_v")), "left_semi")
         added = now.filter("live").select(*GROUP, *COUNTS)
         taken = gone.select(*GROUP, *[(-F.col(c)).alias(c) for c in COUNTS])
-        sums = added.unionByName(taken).groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in COUNTS])
+        sums = added.unionByName(taken).unionByName(nameless).groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in COUNTS])
         sums.write.mode("overwrite").parquet(f"{self.root}/totals/{batch}")
         return Rollup(self.spark, self.root, tuple(sorted({*self.batches, batch})))
 

@@ -62,6 +62,21 @@ def test_substring_dedup(spark, texts):
     assert substring_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_substring_dedup_tells_texts_of_one_id_apart(spark):
+    rng = random.Random(12)
+    passage = words(rng, 50, 9000)
+    with_it = lambda k: " ".join([*words(rng, k, 9000), *passage, *words(rng, 30, 9000)])
+    clean = lambda: " ".join(words(rng, 200, 9000))
+    rows = [(None, with_it(100)), (None, with_it(100)), (None, clean()), (3, with_it(40)), (3, clean()), (4, clean())]
+    rows += [(6, rows[5][1]), (6, clean()), (6, rows[5][1])]
+    out = substring_dedup.remove_repeats(frame(spark, rows)).collect()
+    got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in out)
+    want = [(0, 180, 0), (0, 180, 50), (0, 200, 0), (3, 120, 50), (3, 200, 0), (4, 200, 0), (6, 200, 0), (6, 200, 200), (6, 200, 200)]
+    assert got == want
+    kept = {r.kept_text for r in out}
+    assert all(rows[i][1] in kept for i in (2, 4, 5, 7))
+
+
 def shingles(text, size):
     w = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
     return {tuple(w)} if 0 < len(w) < size else {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
@@ -272,6 +287,25 @@ def test_rollup(spark):
     assert {r.version: r.n_tokens for r in first.totals().collect()} == {"words-1": 6, "pieces-1": 7}
 
 
+def test_rollup_counts_every_row_without_an_id(spark):
+    docs = frame(spark, [(1, "a b"), (None, "x"), (None, "x"), (None, "y z")])
+    up = token_rollup.counted(docs).withColumn("op", F.lit("upsert"))
+    rollup = token_rollup.Rollup(spark, shared_folder(spark)).apply(1, up).apply(1, up)
+    rollup = rollup.apply(2, token_rollup.counted(frame(spark, [(None, "x"), (1, "c")])).withColumn("op", F.lit("delete")))
+    assert {r.version: (r.n_docs, r.n_tokens) for r in rollup.totals().collect()} == {"words-1": (3, 4), "pieces-1": (3, 4)}
+    assert rollup.states().count() == 0
+
+
+def test_rollup_counts_every_row_of_a_repeated_id(spark):
+    docs = token_rollup.counted(frame(spark, [(1, "a b"), (1, "c"), (1, "c"), (2, "d"), (2, "e")]).withColumn("lang", F.col("text")))
+    rollup = token_rollup.Rollup(spark, shared_folder(spark)).apply(1, docs.withColumn("op", F.lit("upsert")))
+    total = lambda r: {x.version: (x.n, x.t) for x in r.totals().groupBy("version").agg(F.sum("n_docs").alias("n"), F.sum("n_tokens").alias("t")).collect()}
+    assert total(rollup)["words-1"] == (5, 6)
+    change = docs.filter("text is not null").withColumn("op", F.when(F.col("doc_id") == 1, "delete").otherwise("upsert"))
+    twice = rollup.apply(2, change).apply(2, change).apply(3, change.filter("doc_id = 2").limit(1))
+    assert total(twice)["words-1"] == (1, 1)
+
+
 def test_language_and_quality(spark):
     rng = random.Random(2)
     make = lambda parts, n: " ".join(rng.choice(parts) + rng.choice(parts) for _ in range(n))
