@@ -1,4 +1,4 @@
-"""The ten operators over whole tables, with their SQL where it can be written."""
+"""The operators over whole tables, with their SQL where it can be written."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labmeta.llm import fingerprints as fp
-from labmeta.llm import decontam, gated_lm, language_mix, line_crf, near_dedup, packing, secret_scan, substring_dedup, token_rollup
+from labmeta.llm import alignment, column_suffix, decontam, fim, gated_lm, language_mix, line_crf, near_dedup, packing, secret_scan
+from labmeta.llm import substring_dedup, token_rollup
 from labmeta.llm.registry import query, table
 from labmeta.sources.tables import shared_folder
 
@@ -183,3 +184,41 @@ def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = rollup.apply(2, changes(first)).apply(2, changes(first))
     left = fresh(second).join(marks.select("doc_id"), "doc_id", "left_anti").unionByName(changes(second).filter("op = 'upsert'"))
     return rollup.apply(3, left).totals()
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return alignment.align_documents(table(spark, sf_dir, "documents"), *paths, digest)
+
+
+@query(r"""
+  with d as (select doc_id, coalesce(text, '') as text, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+  u as (select *, case when text = '' then [] else regexp_extract_all(text, '[^\n]*\n|[^\n]+') end as w,
+    cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+    cast('0x' || substr(h, 25, 8) as bigint) as h4 from d),
+  c as (select *, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) as a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') then 'plain'
+      when h4 % 100 < 50 then 'spm' else 'psm' end as form from u),
+  p as (select *, array_to_string(w[1:a], '') as prefix, array_to_string(w[a + 1:b], '') as middle,
+    array_to_string(w[b + 1:], '') as suffix from c)
+  select doc_id, cast(len(w) as bigint) as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+    case when form <> 'plain' then length(middle) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+      else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+    sha256(text) as restored_sha256 from p""")
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@query()
+def op13_column_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = column_suffix.remove_repeated_bytes(table(spark, sf_dir, "documents"), 400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
