@@ -27,8 +27,10 @@ from labmeta.llm.wordhash import runs, utf8
 from labmeta.sources.tables import shared_folder
 
 #: Bytes of text in a block (or one longer text), and words kept by a worker between blocks.
-BLOCK_BYTES, KNOWN_WORDS = 12 << 20, 200_000
+BLOCK_BYTES, KNOWN_WORDS = 8 << 20, 300_000
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
+#: Bits of a link; those above tell texts of a part of a block apart.
+_LINK_BITS = 40
 _FALLBACK = re.compile(r"<0x([0-9A-F]{2})>")
 _ROW = "block bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, links binary, times binary"
 
@@ -52,9 +54,10 @@ class Pair:
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=b)
         chars = _byte_chars()
-        self.a_bytes = {
-            i: bytes(chars[c] for c in t) if all(c in chars for c in t) else t.encode() for t, i in self.a.get_vocab().items()
-        }
+        vocabulary = self.a.get_vocab()
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.a_bytes[i] = bytes(chars[c] for c in token) if all(c in chars for c in token) else token.encode()
         self.n_b = self.b.vocab_size()
         pieces = [self.b.id_to_piece(i) for i in range(self.n_b)]
         if any("▁" in p.lstrip("▁") for p in pieces):
@@ -63,141 +66,180 @@ class Pair:
         self.b_bytes = [
             bytes([int(m[1], 16)]) if m else p.replace("▁", " ").encode() for m, p in zip(fallback, pieces, strict=True)
         ]
-
-    def tokens(self, words: list[str]) -> Iterator[tuple[list[int], list[int], list[int], list[int]] | None]:
-        """For each word, preceded by a space: ids and byte ends of both; None if their bytes are not the word's."""
-        every = self.a.encode_batch([" " + w for w in words], add_special_tokens=False)
-        protos = self.b.encode(words, return_type="proto")
-        for word, left, right in zip(words, every, protos, strict=True):
-            data = (" " + word).encode()
-            a_at = np.cumsum([0, 1, *[len(c.encode()) for c in word]]).tolist()
-            a, b = left.ids, [p.id for p in right.pieces]
-            a_ends = _refined(data, [self.a_bytes[i] for i in a], [a_at[e] for _, e in left.offsets])
-            b_ends = _refined(data, [self.b_bytes[i] for i in b], [p.end + 1 for p in right.pieces])
-            yield None if a_ends is None or b_ends is None else (a, a_ends, b, b_ends)
-
-
-def _refined(data: bytes, tokens: list[bytes], coarse: list[int]) -> list[int] | None:
-    """Where each token ends. A coarse end stands if the token is all that lies before it; inside a character, or where the
-    span is empty, the token's own bytes tell. None: the tokens are not the text."""
-    ends, at = [], 0
-    for token, end in zip(tokens, coarse, strict=True):
-        if data[at:end] != token:
-            end = at + len(token)
-            if data[at:end] != token:
-                return None
-        ends.append(end)
-        at = end
-    return ends if at == len(data) else None
-
-
-def groups(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> list[tuple[list[int], list[int]]]:
-    """The ids of both between offsets where both have a token's end."""
-    out, i, j, first_i, first_j = [], 0, 0, 0, 0
-    while i < len(a) and j < len(b):
-        if a_ends[i] == b_ends[j]:
-            out.append((a[first_i : i + 1], b[first_j : j + 1]))
-            i, j = i + 1, j + 1
-            first_i, first_j = i, j
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
-            j += 1
-    return out
-
-
-def as_text(parts: list[tuple[list[int], list[int]]]) -> str:
-    return ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in parts)
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
+        if len(self.a_bytes) * self.n_b >= 1 << _LINK_BITS:
+            raise ValueError("links of these two vocabularies need too many bits")
+
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids and byte ends of both over a space and ``text``; None if their bytes are not those."""
+        data = (" " + text).encode()
+        left = self.a.encode(" " + text, add_special_tokens=False)
+        right = self.b.encode(text, return_type="proto").pieces
+        a, b = left.ids, [p.id for p in right]
+        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        leads = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+        ends = np.append(leads, len(data))[np.fromiter([end for _, end in left.offsets], np.int64, len(a))]
+        # Tokens within a character share its span; of those only the last ends where the span ends.
+        a_ends = _refined(ends, np.append(ends[1:] == ends[:-1], False), self.a_sizes[a])
+        # Spans lack the added space. Fallback tokens but the last of a character have empty ones.
+        ends = np.fromiter([p.end for p in right], np.int64, len(b)) + 1
+        b_ends = _refined(ends, np.append(False, ends[1:] == ends[:-1]), self.b_sizes[b])
+        return a, a_ends, b, b_ends
+
+
+def _refined(coarse: np.ndarray, unsure: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where each token ends: at the end of its span, or where that does not tell, as many bytes on as it decodes to."""
+    exact = np.cumsum(sizes)
+    ends = np.where(unsure, exact, coarse)
+    return ends if np.array_equal(ends, exact) else exact
 
 
 class Words:
-    """Alignments of words: their numbers, their groups as text, and their links (``a * n_b + b``) with how often."""
+    """Alignments of words: how many tokens of both, groups and links they have, their groups as text, and their links.
+
+    A link is ``a * n_b + b``. Those of word ``i`` are ``links[starts[i]:starts[i + 1]]``.
+    """
 
     def __init__(self, a: str, b: str):
         self.pair = Pair(a, b)
+        #: Ids of both, as text before each of the four marks that can follow in ``groups``.
+        ids = [*range(len(self.pair.a_bytes)), *range(self.pair.n_b)]
+        self.spelled = np.array([[f"{i}{mark}" for i in ids] for mark in ("", ",", "|", ";")], object)
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.text: list[str | None] = []
-        #: tokens of both, groups, links
-        self.sizes: list[tuple[int, int, int, int]] = []
-        self.links: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
+        self.sizes, self.links, self.starts = np.zeros((1 << 12, 4), np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 12, np.int64)
+        self.used = np.zeros(1 << 12, np.int64)
+
+    def make_room(self) -> None:
+        """Between blocks: with more than ``KNOWN_WORDS``, forget those used once; if that does not halve them, all."""
+        if len(self.text) <= KNOWN_WORDS:
+            return
+        words, text, sizes, links, starts = list(self.known), self.text, self.sizes, self.links, self.starts
+        kept = np.flatnonzero(self.used[: len(text)] > 1)
+        self.clear()
+        if 2 * len(kept) <= KNOWN_WORDS:
+            self.known = {words[i]: at for at, i in enumerate(kept.tolist())}
+            first, times = starts[kept], starts[kept + 1] - starts[kept]
+            step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            self._add([text[i] for i in kept.tolist()], sizes[kept], links[np.repeat(first, times) + step])
+
+    def _add(self, text: list[str | None], sizes: np.ndarray, links: np.ndarray) -> None:
+        n, end = len(self.text), len(self.text) + len(text)
+        while end + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+            self.used = np.concatenate([self.used, np.zeros_like(self.used)])
+        first = self.starts[n]
+        while first + len(links) > len(self.links):
+            self.links = np.concatenate([self.links, np.zeros_like(self.links)])
+        self.links[first : first + len(links)] = links
+        self.starts[n + 1 : end + 1] = first + np.cumsum(sizes[:, 3])
+        self.sizes[n:end] = sizes
+        self.text += text
 
     def learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.pair.tokens(words), strict=True):
-            parts = groups(*found) if found else []
-            links = np.array([x * self.pair.n_b + y for a, b in parts for x in a for y in b], np.int64)
-            distinct, times = np.unique(links, return_counts=True)
-            self.known[word] = len(self.text)
-            self.text.append(as_text(parts) if found else None)
-            self.sizes.append((len(found[0]), len(found[2]), len(parts), len(links)) if found else (0, 0, 0, 0))
-            self.links.append(distinct)
-            self.times.append(times)
+        """Align all words in one text; if tokens do not give that back, halve it until the word that does not is alone."""
+        found = self.pair.tokens(" ".join(words)) if words != [""] else None
+        if found is None:
+            if len(words) == 1:
+                self._add([None], np.zeros((1, 4), np.int64), np.zeros(0, np.int64))
+            else:
+                self.learn(words[: len(words) // 2])
+                self.learn(words[len(words) // 2 :])
+            return
+        a, a_ends, b, b_ends = found
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        word_ends = np.cumsum([1 + len(w.encode()) for w in words])
+        group_word = np.searchsorted(word_ends, cuts)
+        if not np.array_equal(cuts[np.append(np.flatnonzero(np.diff(group_word)), len(cuts) - 1)], word_ends):
+            raise ValueError("a token goes beyond a word")
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        n_a, n_b = np.bincount(a_group, minlength=len(cuts)), np.bincount(b_group, minlength=len(cuts))
+        times = n_b[a_group]
+        first_b = np.cumsum(n_b) - n_b
+        step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        links = np.repeat(a, times) * self.pair.n_b + b[np.repeat(first_b[a_group], times) + step]
+        per_word = lambda x: np.bincount(group_word, x, minlength=len(words)).astype(np.int64)
+        sizes = np.stack([per_word(n_a), per_word(n_b), per_word(np.ones(len(cuts))), per_word(n_a * n_b)], axis=1)
+        # All tokens in the order of the text, A's before B's in a group, each with the mark that follows it.
+        group = np.concatenate([a_group, b_group])
+        order = np.argsort(group, kind="stable")
+        group, side = group[order], (order >= len(a)).astype(np.int64)
+        mark = np.ones(len(order), np.int64)
+        mark[:-1][side[1:] > side[:-1]] = 2
+        mark[:-1][group[1:] > group[:-1]] = 3
+        word = group_word[group]
+        last = np.append(np.flatnonzero(np.diff(word)), len(word) - 1)
+        mark[last] = 0
+        spelled = self.spelled[mark, np.concatenate([a, b + len(self.pair.a_bytes)])[order]].tolist()
+        ends = (last + 1).tolist()
+        self._add(["".join(spelled[x:y]) for x, y in zip([0, *ends], ends)], sizes, links)
 
     def codes(self, words: list[str]) -> np.ndarray:
         out = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         lacking = np.flatnonzero(out < 0).tolist()
         if lacking:
             fresh = list(dict.fromkeys(words[i] for i in lacking))
-            for at in range(0, len(fresh), 5000):
-                self.learn(fresh[at : at + 5000])
+            self.known.update(zip(fresh, range(len(self.text), len(self.text) + len(fresh)), strict=True))
+            for first, last in runs(np.fromiter(map(len, fresh), np.int64, len(fresh)), 1 << 16):
+                self.learn(fresh[first:last])
             out[lacking] = [self.known[words[i]] for i in lacking]
+        self.used[: len(self.text)] += np.bincount(out, minlength=len(self.text))
         return out
 
+    def of_texts(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Sizes and groups of each text; the text, link and number of each of their distinct links, sorted by both."""
+        split = [_SPLIT.split(t) if t else [] for t in texts]
+        codes = self.codes([w for s in split for w in s])
+        ends = np.cumsum([0, *map(len, split)]).tolist()
+        groups, whole = [], np.zeros(len(texts), bool)
+        every = list(map(self.text.__getitem__, codes.tolist()))
+        for i, (low, high) in enumerate(zip(ends, ends[1:])):
+            parts = every[low:high]
+            whole[i] = bool(parts) and None not in parts
+            groups.append(";".join(parts) if whole[i] else "")
+        text = np.repeat(np.arange(len(texts)), np.diff(ends))
+        own = whole[text]
+        text, codes = text[own], codes[own]
+        sizes = np.stack([np.bincount(text, self.sizes[codes, k], minlength=len(texts)) for k in range(4)], axis=1).astype(np.int64)
+        first, times = self.starts[codes], self.starts[codes + 1] - self.starts[codes]
+        step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        keys, number = np.unique(np.repeat(text, times) << _LINK_BITS | self.links[np.repeat(first, times) + step], return_counts=True)
+        return sizes, groups, keys >> _LINK_BITS, keys & (1 << _LINK_BITS) - 1, number
+
 
 def _block(words: Words, texts: list[str], block: int, ids: pa.Array) -> Iterator[pa.RecordBatch]:
     """Rows of a block's texts, then one row (without sizes) with all distinct links and how many texts hold each."""
-    if len(words.text) > KNOWN_WORDS:
-        words.clear()
-    split = [_SPLIT.split(t) if t else [] for t in texts]
-    codes = words.codes([w for s in split for w in s])
-    ends = np.cumsum([0, *map(len, split)])
-    del split
-    sizes = np.array(words.sizes, np.int64).reshape(-1, 4)
-    counts, text = np.zeros((len(texts), 4), np.int64), []
-    own, docs, pairs, times = [], [], [], []
-    for i, (low, high) in enumerate(zip(ends, ends[1:])):
-        found = codes[low:high]
-        parts = [words.text[c] for c in found.tolist()]
-        if not parts or None in parts:
-            text.append("")
-            continue
-        text.append(";".join(parts))
-        counts[i] = sizes[found].sum(axis=0)
-        distinct, often = np.unique(found, return_counts=True)
-        links = [words.links[c] for c in distinct.tolist()]
-        flat = np.concatenate(links)
-        total = np.concatenate([words.times[c] for c in distinct.tolist()]) * np.repeat(often, [len(x) for x in links])
-        order = np.argsort(flat, kind="stable")
-        flat, total = flat[order], total[order]
-        heads = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
-        own.append(len(heads))
-        docs.append(i)
-        pairs.append(flat[heads])
-        times.append(np.add.reduceat(total, heads) if len(heads) else total)
-    every = np.concatenate(pairs) if pairs else np.zeros(0, np.int64)
-    distinct, rank, held = np.unique(every, return_inverse=True, return_counts=True)
-    link_rows: list[bytes | None] = [None] * len(texts)
-    time_rows: list[bytes | None] = [None] * len(texts)
-    at = 0
-    for i, n, t in zip(docs, own, times, strict=True):
-        link_rows[i] = packed(np.diff(rank[at : at + n], prepend=0))
-        time_rows[i] = packed(t)
-        at += n
-    for first, last in runs(np.array([len(t) + 16 for t in text]), 4 << 20):
+    words.make_room()
+    found = []
+    for first, last in runs(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 19):
+        sizes, groups, text, link, number = words.of_texts(texts[first:last])
+        found.append((sizes, groups, text + first, link, number))
+    sizes = np.concatenate([f[0] for f in found])
+    groups = [g for f in found for g in f[1]]
+    text, link, number = (np.concatenate([f[k] for f in found]) for k in (2, 3, 4))
+    distinct, rank, held = np.unique(link, return_inverse=True, return_counts=True)
+    ends = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
+    links = [packed(np.diff(rank[x:y], prepend=0)) if y > x else None for x, y in zip(ends, ends[1:])]
+    times = [packed(number[x:y]) if y > x else None for x, y in zip(ends, ends[1:])]
+    names = [c.split()[0] for c in _ROW.split(", ")]
+    for first, last in runs(np.fromiter(map(len, groups), np.int64, len(groups)) + 16, 4 << 20):
         part = slice(first, last)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(last - first, block)), ids.slice(first, last - first), *[pa.array(counts[part, k]) for k in range(4)],
-             pa.array(text[part], pa.string()), pa.array(link_rows[part], pa.binary()), pa.array(time_rows[part], pa.binary())],
-            [c.split()[0] for c in _ROW.split(", ")],
+            [pa.array(np.full(last - first, block)), ids.slice(first, last - first), *[pa.array(sizes[part, k]) for k in range(4)],
+             pa.array(groups[part], pa.string()), pa.array(links[part], pa.binary()), pa.array(times[part], pa.binary())],
+            names,
         )
     nothing = pa.nulls(1, pa.int64())
     yield pa.RecordBatch.from_arrays(
         [pa.array([block], pa.int64()), *[nothing] * 5, pa.nulls(1, pa.string()), pa.array([distinct.tobytes()], pa.binary()),
          pa.array([held.tobytes()], pa.binary())],
-        [c.split()[0] for c in _ROW.split(", ")],
+        names,
     )
 
 
@@ -283,6 +325,8 @@ def align_documents(docs: DataFrame, a: str, b: str, *columns: Column) -> DataFr
     give its bytes back, has no tokens: zeros and an empty string. Repeated rows are documents of their own and count; ids
     may be missing or repeat. An empty table gives an empty result. Other columns of the input are ignored.
     """
+    from sentencepiece import SentencePieceProcessor
+
     spark = docs.sparkSession
     folder = f"{shared_folder(spark)}/aligned"
     columns = columns or (F.col("groups"),)
@@ -293,7 +337,7 @@ def align_documents(docs: DataFrame, a: str, b: str, *columns: Column) -> DataFr
     rows = spark.read.parquet(folder)
     spread = rows.filter("whole").select("block", "links", "times").mapInArrow(_spread, "link bigint, block bigint, docs bigint")
     counted = spread.withColumn("total", F.sum("docs").over(Window.partitionBy("link"))).withColumn(
-        "token", F.floor(F.col("link") / Pair(a, b).n_b)
+        "token", F.expr(f"link div {SentencePieceProcessor(model_file=b).vocab_size()}")
     )
     # One row for each token of A at most, so its size is bound by that vocabulary.
     highest = counted.groupBy("token").agg(F.max("total").alias("highest"))
