@@ -310,9 +310,11 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 400) -> DataFrame:
         .filter("total > 1")
         .select("anchor", (F.col("_low") != F.col("_high")).alias("mixed"), (F.col("total") > HOT).alias("hot"))
     )
-    folder = f"{shared_folder(spark)}/anchors"
-    rows.join(verdict, "anchor").write.option("compression", "zstd").parquet(folder)
-    shared = spark.read.parquet(folder)
+    folder = shared_folder(spark)
+    # Written first: joined as it is aggregated, the rows of a hot anchor could not be split among tasks.
+    verdict.write.parquet(f"{folder}/verdict")
+    rows.join(spark.read.parquet(f"{folder}/verdict"), "anchor").write.option("compression", "zstd").parquet(f"{folder}/anchors")
+    shared = spark.read.parquet(f"{folder}/anchors")
 
     mixed = shared.filter("mixed")
     one = (
