@@ -25,19 +25,28 @@ PERIOD = 13
 COVER = (0, 1, 3, 9)
 #: A document is told by its id and the hash of its text: ids may repeat or be missing.
 _PLACE = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("pos", "<i4")])
+#: Where an anchor stands, by one hash of id and text: should two documents share it, both get the anchors of both, which
+#: rules less out and loses nothing.
+_SPOT = np.dtype([("own", "<i8"), ("pos", "<i4")])
 _NO_ID = -(1 << 63)
 #: Anchors only rule windows out, so 52 bits do; fewer bytes are shuffled.
 _ANCHOR_SHIFT = np.uint64(12)
 
 
-def _packed(keys: list[np.ndarray], docs: np.ndarray, tags: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, list]:
-    """The first place (by text, then start) of each distinct key, and all its other places as bytes (None: none)."""
-    order = np.lexsort((pos, tags, docs, *reversed(keys)))
+def _places(dtype: np.dtype, *columns: np.ndarray) -> np.ndarray:
+    out = np.empty(len(columns[0]), dtype)
+    for name, column in zip(dtype.names, columns, strict=True):
+        out[name] = column
+    return out
+
+
+def _packed(keys: list[np.ndarray], places: np.ndarray) -> tuple[np.ndarray, list]:
+    """The first place (by its fields) of each distinct key, and all its other places as bytes (None: none)."""
+    order = np.lexsort((*(places[k] for k in reversed(places.dtype.names)), *reversed(keys)))
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
-    places = np.empty(len(order), _PLACE)
-    places["doc"], places["tag"], places["pos"] = docs[order], tags[order], pos[order]
+    places = places[order]
     heads = np.flatnonzero(new)
     tails = np.append(heads[1:], len(order))
     more = [None] * len(heads)
@@ -46,12 +55,12 @@ def _packed(keys: list[np.ndarray], docs: np.ndarray, tags: np.ndarray, pos: np.
     return order[heads], more
 
 
-def _row(keys: list[np.ndarray], docs: np.ndarray, tags: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+def _row(keys: list[np.ndarray], places: np.ndarray) -> pa.RecordBatch:
     """Distinct keys as rows; ``low`` is the second key."""
-    at, more = _packed(keys, docs, tags, pos)
+    at, more = _packed(keys, places)
     names = dict(zip(("key", "low"), (k[at] for k in keys), strict=False))
     columns = {n: pa.array(k.view(f"i{k.itemsize}")) for n, k in names.items()}
-    columns |= {"doc": pa.array(docs[at]), "tag": pa.array(tags[at]), "pos": pa.array(pos[at]), "more": pa.array(more, pa.binary())}
+    columns |= {k: pa.array(places[k][at]) for k in places.dtype.names} | {"more": pa.array(more, pa.binary())}
     return pa.RecordBatch.from_pydict(columns)
 
 
@@ -61,7 +70,7 @@ def _anchors(size: int):
         covered[list(COVER)] = True
         width = size - PERIOD + 1
         for batch in batches:
-            ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("doc", "tag"))
+            own = batch.column("own").to_numpy(zero_copy_only=False)
             found = []
             for block in blocks(batch.column("text")):
                 starts, hashes = block.windows(width)
@@ -69,15 +78,15 @@ def _anchors(size: int):
                 pos = (starts - block.offsets[texts]).astype(np.int32)
                 keep = covered[pos % PERIOD] & (block.counts[texts] >= size)
                 row = block.first + texts[keep]
-                found.append((hashes[keep] >> _ANCHOR_SHIFT, ids[row], tags[row], pos[keep]))
+                found.append((hashes[keep] >> _ANCHOR_SHIFT, own[row], pos[keep]))
             if found:
                 keys, *places = map(np.concatenate, zip(*found, strict=True))
-                yield _row([keys], *places)
+                yield _row([keys], _places(_SPOT, *places))
 
     return run
 
 
-def _shared(keys: tuple[str, ...], all_places: bool):
+def _shared(keys: tuple[str, ...], kind: np.dtype, all_places: bool):
     """Rows sorted by key → places of keys that occur more than once. Only one row is held between batches; ``first`` is
     what else is known of its key: whether it was returned, or the first place of its key.
 
@@ -95,9 +104,7 @@ def _shared(keys: tuple[str, ...], all_places: bool):
             for k in keys:
                 v = rows.column(k).to_numpy()
                 same &= v[1:] == v[:-1]
-            place = np.empty(rows.num_rows, _PLACE)
-            for k in _PLACE.names:
-                place[k] = rows.column(k).to_numpy()
+            place = _places(kind, *(rows.column(k).to_numpy() for k in kind.names))
             more = rows.column("more")
             many = np.array(more.is_valid())
             extra = many.copy()
@@ -122,14 +129,14 @@ def _shared(keys: tuple[str, ...], all_places: bool):
                 first = best[-1]
             out = [place[own]]
             for i in np.flatnonzero(extra):
-                places = np.frombuffer(more[int(i)].as_py(), _PLACE)
+                places = np.frombuffer(more[int(i)].as_py(), kind)
                 if not all_places:
                     places = places[places != best[group[i]]]
                 out.append(places)
             held = rows.slice(rows.num_rows - 1)
             places = np.concatenate(out)
             if len(places):
-                yield pa.RecordBatch.from_pydict({k: pa.array(places[k].copy()) for k in _PLACE.names})
+                yield pa.RecordBatch.from_pydict({k: pa.array(places[k].copy()) for k in kind.names})
 
     return run
 
@@ -151,9 +158,9 @@ def _extended(size: int):
             for block in blocks(batch.column("text")):
                 own = slice(*np.searchsorted(rows, [block.first, block.first + len(block.counts)]))
                 text = rows[own] - block.first
-                at = anchors[own] + block.offsets[text]
+                at = np.minimum(anchors[own] + block.offsets[text], len(block.hashes) - 1)
                 near = np.zeros(len(block.hashes) + 1, np.int32)
-                low = np.maximum(at - PERIOD + 1, block.offsets[text])
+                low = np.minimum(np.maximum(at - PERIOD + 1, block.offsets[text]), at)
                 np.add.at(near, low, 1)
                 np.add.at(near, at + 1, -1)
                 starts, hashes = block.windows(size)
@@ -169,7 +176,7 @@ def _extended(size: int):
                     found.append((hashes, second, ids[row], tags[row], (starts - block.offsets[texts]).astype(np.int32)))
             if found:
                 keys, low, *places = map(np.concatenate, zip(*found, strict=True))
-                yield _row([keys, low], *places)
+                yield _row([keys, low], _places(_PLACE, *places))
 
     return run
 
@@ -232,8 +239,8 @@ def _copies(texts: DataFrame, size: int) -> DataFrame:
     return known.join(first, ["d1", "d2"]).filter(F.struct("doc", "tag") > F.col("first")).select("doc", "tag").distinct()
 
 
-def _by_text(places: DataFrame) -> DataFrame:
-    return places.groupBy("doc", "tag").agg(F.collect_list("pos").alias("places"))
+def _by_text(places: DataFrame, *document: str) -> DataFrame:
+    return places.groupBy(*document).agg(F.collect_list("pos").alias("places"))
 
 
 def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
@@ -251,15 +258,15 @@ def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), tag.alias("tag"), F.col("text"))
     document = ["doc", "tag"]
     copies = _copies(texts, size)
-    own = texts.join(copies, document, "left_anti")
-    place = "doc bigint, tag bigint, pos int"
-    anchors = own.mapInArrow(_anchors(size), f"key bigint, {place}, more binary")
-    shared = anchors.repartition("key").sortWithinPartitions("key").mapInArrow(_shared(("key",), True), place)
-    windows = own.join(_by_text(shared), document, "left").mapInArrow(_extended(size), f"key bigint, low int, {place}, more binary")
+    own = texts.join(copies, document, "left_anti").withColumn("own", F.xxhash64(*document))
+    place, spot = "doc bigint, tag bigint, pos int", "own bigint, pos int"
+    anchors = own.select("own", "text").mapInArrow(_anchors(size), f"key bigint, {spot}, more binary")
+    shared = anchors.repartition("key").sortWithinPartitions("key").mapInArrow(_shared(("key",), _SPOT, True), spot)
+    windows = own.join(_by_text(shared, "own"), "own", "left").mapInArrow(_extended(size), f"key bigint, low int, {place}, more binary")
     order = ("key", "low", "doc", "tag", "pos")
-    repeated = windows.repartition("key").sortWithinPartitions(*order).mapInArrow(_shared(order[:2], False), place)
+    repeated = windows.repartition("key").sortWithinPartitions(*order).mapInArrow(_shared(order[:2], _PLACE, False), place)
     marked = texts.join(copies.withColumn("copy", F.lit(True)), document, "left")
-    out = marked.join(_by_text(repeated), document, "left").mapInArrow(
+    out = marked.join(_by_text(repeated, *document), document, "left").mapInArrow(
         _cut(size), "doc bigint, n_words bigint, n_removed bigint, kept_text string"
     )
     return out.select(F.expr(f"nullif(doc, {_NO_ID}L)").alias("doc_id"), "n_words", "n_removed", "kept_text")
