@@ -16,33 +16,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labmeta.llm.wordhash import blocks, mix, rolled
 
 PERIOD = 13
 COVER = (0, 1, 3, 9)
-#: A document is told by its id and the hash of its text: ids may repeat or be missing.
-_PLACE = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("pos", "<i4")])
-#: Where an anchor stands, by one hash of id and text: should two documents share it, both get the anchors of both, which
-#: rules less out and loses nothing.
-_SPOT = np.dtype([("own", "<i8"), ("pos", "<i4")])
+#: A document is told by its id and the hash of its text, since ids may repeat or be missing; places hold its number in that order.
+_PLACE = np.dtype([("num", "<i8"), ("pos", "<i4")])
 _NO_ID = -(1 << 63)
 #: Anchors only rule windows out, so 52 bits do; fewer bytes are shuffled.
 _ANCHOR_SHIFT = np.uint64(12)
 
 
-def _places(dtype: np.dtype, *columns: np.ndarray) -> np.ndarray:
-    out = np.empty(len(columns[0]), dtype)
-    for name, column in zip(dtype.names, columns, strict=True):
-        out[name] = column
+def _places(num: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    out = np.empty(len(num), _PLACE)
+    out["num"], out["pos"] = num, pos
     return out
 
 
 def _packed(keys: list[np.ndarray], places: np.ndarray) -> tuple[np.ndarray, list]:
     """The first place (by its fields) of each distinct key, and all its other places as bytes (None: none)."""
-    order = np.lexsort((*(places[k] for k in reversed(places.dtype.names)), *reversed(keys)))
+    order = np.lexsort((places["pos"], places["num"], *reversed(keys)))
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
@@ -60,7 +56,7 @@ def _row(keys: list[np.ndarray], places: np.ndarray) -> pa.RecordBatch:
     at, more = _packed(keys, places)
     names = dict(zip(("key", "low"), (k[at] for k in keys), strict=False))
     columns = {n: pa.array(k.view(f"i{k.itemsize}")) for n, k in names.items()}
-    columns |= {k: pa.array(places[k][at]) for k in places.dtype.names} | {"more": pa.array(more, pa.binary())}
+    columns |= {k: pa.array(places[k][at]) for k in _PLACE.names} | {"more": pa.array(more, pa.binary())}
     return pa.RecordBatch.from_pydict(columns)
 
 
@@ -70,7 +66,7 @@ def _anchors(size: int):
         covered[list(COVER)] = True
         width = size - PERIOD + 1
         for batch in batches:
-            own = batch.column("own").to_numpy(zero_copy_only=False)
+            num = batch.column("num").to_numpy(zero_copy_only=False)
             found = []
             for block in blocks(batch.column("text")):
                 starts, hashes = block.windows(width)
@@ -78,15 +74,15 @@ def _anchors(size: int):
                 pos = (starts - block.offsets[texts]).astype(np.int32)
                 keep = covered[pos % PERIOD] & (block.counts[texts] >= size)
                 row = block.first + texts[keep]
-                found.append((hashes[keep] >> _ANCHOR_SHIFT, own[row], pos[keep]))
+                found.append((hashes[keep] >> _ANCHOR_SHIFT, num[row], pos[keep]))
             if found:
                 keys, *places = map(np.concatenate, zip(*found, strict=True))
-                yield _row([keys], _places(_SPOT, *places))
+                yield _row([keys], _places(*places))
 
     return run
 
 
-def _shared(keys: tuple[str, ...], kind: np.dtype, all_places: bool):
+def _shared(keys: tuple[str, ...], all_places: bool):
     """Rows sorted by key → places of keys that occur more than once. Only one row is held between batches; ``first`` is
     what else is known of its key: whether it was returned, or the first place of its key.
 
@@ -104,7 +100,7 @@ def _shared(keys: tuple[str, ...], kind: np.dtype, all_places: bool):
             for k in keys:
                 v = rows.column(k).to_numpy()
                 same &= v[1:] == v[:-1]
-            place = _places(kind, *(rows.column(k).to_numpy() for k in kind.names))
+            place = _places(*(rows.column(k).to_numpy() for k in _PLACE.names))
             more = rows.column("more")
             many = np.array(more.is_valid())
             extra = many.copy()
@@ -129,14 +125,14 @@ def _shared(keys: tuple[str, ...], kind: np.dtype, all_places: bool):
                 first = best[-1]
             out = [place[own]]
             for i in np.flatnonzero(extra):
-                places = np.frombuffer(more[int(i)].as_py(), kind)
+                places = np.frombuffer(more[int(i)].as_py(), _PLACE)
                 if not all_places:
                     places = places[places != best[group[i]]]
                 out.append(places)
             held = rows.slice(rows.num_rows - 1)
             places = np.concatenate(out)
             if len(places):
-                yield pa.RecordBatch.from_pydict({k: pa.array(places[k].copy()) for k in kind.names})
+                yield pa.RecordBatch.from_pydict({k: pa.array(places[k].copy()) for k in _PLACE.names})
 
     return run
 
@@ -152,15 +148,15 @@ def _extended(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("doc", "tag"))
+            num = batch.column("num").to_numpy(zero_copy_only=False)
             anchors, rows = _flat(batch.column("places"))
             found = []
             for block in blocks(batch.column("text")):
                 own = slice(*np.searchsorted(rows, [block.first, block.first + len(block.counts)]))
                 text = rows[own] - block.first
-                at = np.minimum(anchors[own] + block.offsets[text], len(block.hashes) - 1)
+                at = anchors[own] + block.offsets[text]
                 near = np.zeros(len(block.hashes) + 1, np.int32)
-                low = np.minimum(np.maximum(at - PERIOD + 1, block.offsets[text]), at)
+                low = np.maximum(at - PERIOD + 1, block.offsets[text])
                 np.add.at(near, low, 1)
                 np.add.at(near, at + 1, -1)
                 starts, hashes = block.windows(size)
@@ -173,10 +169,10 @@ def _extended(size: int):
                     second = (second >> np.uint64(32)).astype(np.uint32)
                     texts = block.texts[starts]
                     row = block.first + texts
-                    found.append((hashes, second, ids[row], tags[row], (starts - block.offsets[texts]).astype(np.int32)))
+                    found.append((hashes, second, num[row], (starts - block.offsets[texts]).astype(np.int32)))
             if found:
                 keys, low, *places = map(np.concatenate, zip(*found, strict=True))
-                yield _row([keys, low], _places(_PLACE, *places))
+                yield _row([keys, low], _places(*places))
 
     return run
 
@@ -239,8 +235,26 @@ def _copies(texts: DataFrame, size: int) -> DataFrame:
     return known.join(first, ["d1", "d2"]).filter(F.struct("doc", "tag") > F.col("first")).select("doc", "tag").distinct()
 
 
-def _by_text(places: DataFrame, *document: str) -> DataFrame:
-    return places.groupBy(*document).agg(F.collect_list("pos").alias("places"))
+def _numbered(texts: DataFrame) -> DataFrame:
+    """``doc, tag, num``: the documents in order, numbered from 0.
+
+    Ranges of the order are sorted alone and written once, since ranges are drawn from a sample; each starts after the rows of
+    those before it. Only the sizes of ranges are summed in one task, and broadcast.
+    """
+    document = ["doc", "tag"]
+    ranges = texts.select(*document).distinct().repartitionByRange(*document).sortWithinPartitions(*document).select(
+        *document, F.monotonically_increasing_id().alias("_id")
+    ).checkpoint()
+    part = F.shiftright("_id", 33)
+    sizes = ranges.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    num = F.col("_start") + F.col("_id").bitwiseAND((1 << 33) - 1)
+    return ranges.withColumn("_part", part).join(F.broadcast(starts), "_part").select(*document, num.alias("num"))
+
+
+def _by_text(places: DataFrame, names: DataFrame) -> DataFrame:
+    return places.groupBy("num").agg(F.collect_list("pos").alias("places")).join(names, "num").drop("num")
 
 
 def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
@@ -258,15 +272,17 @@ def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), tag.alias("tag"), F.col("text"))
     document = ["doc", "tag"]
     copies = _copies(texts, size)
-    own = texts.join(copies, document, "left_anti").withColumn("own", F.xxhash64(*document))
-    place, spot = "doc bigint, tag bigint, pos int", "own bigint, pos int"
-    anchors = own.select("own", "text").mapInArrow(_anchors(size), f"key bigint, {spot}, more binary")
-    shared = anchors.repartition("key").sortWithinPartitions("key").mapInArrow(_shared(("key",), _SPOT, True), spot)
-    windows = own.join(_by_text(shared, "own"), "own", "left").mapInArrow(_extended(size), f"key bigint, low int, {place}, more binary")
-    order = ("key", "low", "doc", "tag", "pos")
-    repeated = windows.repartition("key").sortWithinPartitions(*order).mapInArrow(_shared(order[:2], _PLACE, False), place)
+    # Texts meet everything by id and text hash, so they are shuffled once; numbers are what anchors and windows carry.
+    names = _numbered(texts)
+    own = texts.join(copies, document, "left_anti").join(names, document)
+    place = "num bigint, pos int"
+    anchors = own.mapInArrow(_anchors(size), f"key bigint, {place}, more binary")
+    shared = anchors.repartition("key").sortWithinPartitions("key").mapInArrow(_shared(("key",), True), place)
+    windows = own.join(_by_text(shared, names), document, "left").mapInArrow(_extended(size), f"key bigint, low int, {place}, more binary")
+    order = ("key", "low", "num", "pos")
+    repeated = windows.repartition("key").sortWithinPartitions(*order).mapInArrow(_shared(order[:2], False), place)
     marked = texts.join(copies.withColumn("copy", F.lit(True)), document, "left")
-    out = marked.join(_by_text(repeated, *document), document, "left").mapInArrow(
+    out = marked.join(_by_text(repeated, names), document, "left").mapInArrow(
         _cut(size), "doc bigint, n_words bigint, n_removed bigint, kept_text string"
     )
     return out.select(F.expr(f"nullif(doc, {_NO_ID}L)").alias("doc_id"), "n_words", "n_removed", "kept_text")
