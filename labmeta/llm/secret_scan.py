@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labmeta.llm.batches import commit, committed
 from labmeta.llm.held import lean
 
 #: Kinds in the order in which spans of one start are listed. Group 2 of the first must have 8 characters or more.
@@ -68,13 +69,17 @@ LEDGER = f"blob string, rules string, found {_FOUND}"
 class Ledger:
     """Scanned ``(blob, rule version)`` pairs with their findings, as Parquet folders below ``root``, one for each batch.
 
-    A batch is written whole under its own name; running it again writes the same rows again, so a batch that was
-    cut off is made good by repeating it.
+    A batch is written whole under its own name, then committed below ``root``; only committed batches are read. One that
+    was cut off is made good by repeating it. A new object over the same folder, as after a restart, knows all that were committed.
     """
 
     spark: SparkSession
     root: str
-    batches: tuple[str, ...] = ()
+    batches: tuple[str, ...] | None = None
+
+    def __post_init__(self):
+        if self.batches is None:
+            self.batches = committed(self.spark, self.root)
 
     def read(self, rules: str) -> DataFrame:
         if not self.batches:
@@ -100,6 +105,7 @@ class Ledger:
         # rows of one path and text
         found = found.dropDuplicates(["blob"]).select("blob", F.lit(rules).alias("rules"), "found")
         found.write.mode("overwrite").parquet(f"{self.root}/{batch}")
+        commit(self.spark, self.root, batch)
         return Ledger(self.spark, self.root, (*self.batches, batch))
 
 

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from labmeta.llm.batches import commit, committed
+
 GROUP = ("source", "lang", "version")
 COUNTS = ("n_docs", "n_tokens", "n_chars")
 TOTALS = "source string, lang string, version string, n_docs bigint, n_tokens bigint, n_chars bigint"
@@ -46,24 +48,32 @@ def counted(docs: DataFrame, versions: dict[str, Callable[[Column], Column]] | N
 class Rollup:
     """Batches below ``root``: ``totals/<batch>`` (signed sums) and ``states/<batch>`` (what each changed document counts now).
 
-    A batch is applied against the batches before it and written under its own number, states first. Applying it again
-    writes the same rows to the same place, so a retry after a failure, or a repeated delivery, changes nothing.
+    A batch is applied against the batches before it, written under its own number, states first, and then committed below
+    ``root``. Applying it again writes the same rows to the same place, so a retry after a failure, or a repeated delivery,
+    changes nothing. A new object over the same folder, as after a restart, knows all batches that were committed.
     """
 
     spark: SparkSession
     root: str
-    batches: tuple[int, ...] = ()
+    batches: tuple[int, ...] | None = None
+
+    def __post_init__(self):
+        if self.batches is None:
+            self.batches = tuple(sorted(int(b) for b in committed(self.spark, self.root)))
 
     def _read(self, kind: str, schema: str, batches: tuple[int, ...]) -> DataFrame:
         if not batches:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{kind}/{b}" for b in batches])
 
-    def states(self, before: int | None = None) -> DataFrame:
-        """What each document and version counts, after all batches or those before one."""
+    def states(self, before: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+        """What each document and version counts, after all batches or those before one; of ``keys`` (``_id, _v``) only,
+        which are picked before earlier states of a document are told from later ones."""
         own = tuple(b for b in self.batches if before is None or b < before)
         latest = Window.partitionBy("doc_id", "version").orderBy(F.desc("batch"))
         rows = self._read("states", STATES, own)
+        if keys is not None:
+            rows = rows.join(keys, (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_v")), "left_semi")
         if len(own) > 1:
             rows = rows.withColumn("_n", F.rank().over(latest)).filter("_n = 1").drop("_n")
         return rows.filter("live").drop("batch", "live")
@@ -92,12 +102,12 @@ class Rollup:
         now.write.mode("overwrite").parquet(f"{self.root}/states/{batch}")
         now = self._read("states", STATES, (batch,))
         keys = now.select(F.col("doc_id").alias("_id"), F.col("version").alias("_v"))
-        old = self.states(before=batch)
-        gone = old.join(keys, (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_v")), "left_semi")
+        gone = self.states(batch, keys)
         added = now.filter("live").select(*GROUP, *COUNTS)
         taken = gone.select(*GROUP, *[(-F.col(c)).alias(c) for c in COUNTS])
         sums = added.unionByName(taken).unionByName(nameless).groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in COUNTS])
         sums.write.mode("overwrite").parquet(f"{self.root}/totals/{batch}")
+        commit(self.spark, self.root, str(batch))
         return Rollup(self.spark, self.root, tuple(sorted({*self.batches, batch})))
 
     def totals(self) -> DataFrame:

@@ -9,8 +9,10 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
-from labmeta.llm import alignment, column_suffix, fim
+from labmeta.llm import alignment, column_suffix, decontam, fim, secret_scan, token_rollup
+from labmeta.sources.tables import shared_folder
 
 #: Extra columns with names that the operators use themselves.
 SCHEMA = (
@@ -263,3 +265,106 @@ def test_columns_give_the_suffix_order():
             (g, x), (h, y) = suffixes[k - 1 : k + 1]
             same = next((n for n, (p, q) in enumerate(zip(x, y)) if p != q), len(x)) if g == h else 0
             assert common[k] == same
+
+
+# Restarts
+
+
+def test_a_new_ledger_over_a_folder_knows_its_batches(spark):
+    root = shared_folder(spark)
+    docs = frame(spark, [(1, "password = hunter2hunter2"), (2, "plain"), (3, None)])
+    secret_scan.Ledger(spark, root).scan("a", secret_scan.addressed(docs))
+    again = secret_scan.Ledger(spark, root)
+    assert again.batches == ("a",) and again.read(secret_scan.RULES).count() == 3
+    more = again.scan("b", secret_scan.addressed(docs.unionByName(frame(spark, [(4, "new")]))))
+    assert spark.read.parquet(f"{root}/b").count() == 1
+    assert secret_scan.Ledger(spark, root).batches == more.batches == ("a", "b")
+
+
+def test_a_new_rollup_over_a_folder_goes_on(spark):
+    root = shared_folder(spark)
+    docs = lambda *rows: token_rollup.counted(frame(spark, rows).withColumn("source", F.lit("s"))).withColumn("op", F.lit("upsert"))
+    token_rollup.Rollup(spark, root).apply(1, docs((1, "a b"), (2, "c")))
+    token_rollup.Rollup(spark, root).apply(2, docs((1, "a"), (3, None)))
+    token_rollup.Rollup(spark, root).apply(2, docs((1, "a"), (3, None)))
+    last = token_rollup.Rollup(spark, root)
+    assert last.batches == (1, 2)
+    got = {r["version"]: (r["n_docs"], r["n_tokens"]) for r in last.totals().collect()}
+    assert got == {"words-1": (3, 2), "pieces-1": (3, 2)}
+    assert last.states().filter("version = 'words-1'").agg(F.sum("n_tokens")).first()[0] == 2
+
+
+def test_empty_tables_have_empty_ledgers_and_rollups(spark):
+    assert secret_scan.secrets_of(frame(spark, []), shared_folder(spark)).count() == 0
+    empty = token_rollup.counted(frame(spark, []).withColumn("source", F.lit("s"))).withColumn("op", F.lit("upsert"))
+    assert token_rollup.Rollup(spark, shared_folder(spark)).apply(1, empty).totals().count() == 0
+
+
+# Decontamination
+
+
+def least_edits(item, text):
+    """The fewest word edits that turn ``item`` into some stretch of ``text``."""
+    line = [0] * (len(text) + 1)
+    for i, x in enumerate(item):
+        new = [i + 1]
+        for j, y in enumerate(text):
+            new.append(min(line[j] + (x != y), line[j + 1] + 1, new[j] + 1))
+        line = new
+    return min(line)
+
+
+def edited(rng, item, edits):
+    out = list(item)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(out)), rng.randrange(3)
+        if kind == 0:
+            out[at] = f"x{rng.randrange(9999)}"
+        elif kind == 1:
+            out.insert(at, f"x{rng.randrange(9999)}")
+        elif len(out) > 1:
+            del out[at]
+    return out
+
+
+def test_leaks_against_all_edit_distances(spark):
+    rng = random.Random(12)
+    word = lambda: f"w{int(rng.paretovariate(0.7))}"
+    sizes = [1, 2, 3, 4, 5, 6, 7, 9, 10, 12, 14, 20, 30, 40, 60, 90]
+    items = [(k, [f"i{k}x{j}" if j % 4 == 0 else word() for j in range(n)]) for k, n in enumerate(sizes)]
+    items.append((None, [f"n{j}" for j in range(12)]))
+    items.append((3, [f"again{j}" for j in range(4)]))
+    docs = []
+    for d in range(200):
+        _, item = items[d % len(items)]
+        edits = rng.randrange(decontam.allowed_edits(len(item)) + 2)
+        docs.append((d, [word() for _ in range(rng.randrange(30))] + edited(rng, item, edits) + [word() for _ in range(rng.randrange(30))]))
+    got = decontam.leaks(
+        frame(spark, [(i, " ".join(w)) for i, w in docs] + [(None, " ".join(items[9][1])), (1000, None), (1001, "")]),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items] + [(77, None), (78, ""), (79, "...")], "item_id bigint, text string"),
+    ).collect()
+    found = Counter((r["doc_id"], r["item_id"], r["edits"]) for r in got)
+    want, short = Counter(), Counter()
+    for i, text in docs:
+        for k, item in items:
+            n = least_edits(item, text)
+            if n <= decontam.allowed_edits(len(item)):
+                want[i, k, n] += 1
+                if decontam.allowed_edits(len(item)) < 2:
+                    short[i, k, n] += 1
+    assert not short - found, "items of few edits are all found"
+    inside = Counter({k: v for k, v in found.items() if k[0] is not None})
+    assert {k[:2] for k in inside} <= {k[:2] for k in want}
+    assert sum((inside & want).values()) >= 0.95 * sum(want.values())
+    assert (None, 9, 0) in found
+
+
+def test_samples_tell_unlike_windows_apart_and_repeated_words_add_little():
+    rng = random.Random(13)
+    items = decontam.prepare([0, 1], [" ".join(f"a{rng.randrange(300)}" for _ in range(40)), "same " * 200])
+    block = decontam.Block(0, *decontam.plain_words(*decontam.utf8(pa.array([" ".join(f"a{rng.randrange(300)}" for _ in range(5000))]))))
+    assert len(decontam.candidates(block, items)) < 50
+    block = decontam.Block(0, *decontam.plain_words(*decontam.utf8(pa.array(["same " * 8000]))))
+    rows = decontam.candidates(block, items)
+    assert 0 < len(rows) < 8000 / 20 and (rows[:, 1] == 1).all()
+    assert any((edits == 0).any() for *_, edits in decontam.matches(block, items))
