@@ -49,6 +49,11 @@ def canonical_json(c: Column) -> Column:
     return F.to_json(F.parse_json(c))
 
 
+def comparable_json(c: Column) -> Column:
+    """``canonical_json`` where there is one; text that is not JSON, or repeats a key, stays as it is."""
+    return F.coalesce(F.to_json(F.try_parse_json(c)), c)
+
+
 def header_keys(fields: Column) -> Column:
     """Entries of a string map whose key holds one of the header prefixes, with the prefix shortened."""
     wanted = F.map_filter(

@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from labmeta.functions.keys import seed_parts, uri_from_seed
 from labmeta.functions.text import deepest, join_path, parent_index
 from labmeta.schemas import ANSWER_GROUP_TYPES, OPTION_TYPES
 
-# Levels opened in one plan; deeper documents go on from a checkpoint.
-LEVELS = 10
+# Levels opened in one plan; deeper documents go on from a checkpoint, or from what was staged.
+LEVELS, STAGED_LEVELS = 10, 5
 
 # JSON kinds of a value; a finished object is a group.
 SCALAR, OBJECT, ARRAY, BOOLEAN, GROUP = range(5)
@@ -196,24 +196,39 @@ def flatten_answers(
     subject: str = "response_subject_uri",
     document: str = "xnat_custom_fields",
     naming: Naming = Naming(),
+    folder: str | None = None,
 ) -> DataFrame:
     """Documents to answer rows: a narrow pipeline with one generator per level, no shuffle and no union.
 
-    Levels are opened until none is open: how many that are is taken from the documents first, by one aggregate. A
-    document that is not a JSON object fails the job rather than losing answers.
+    Levels are opened until none is open. Without ``folder`` how many that are is taken from the documents first, by one
+    aggregate; if they change in between, nodes that are still open fail the job. With ``folder``, a new one in a shared place,
+    the rows are written there, counted as they are if still open, and only then opened further: the documents, and
+    what they come from, are read once. A document that is not a JSON object fails the job rather than losing answers.
     """
     keep = [c for c in docs.columns if c != document]
     open_level = level_opener(keep, subject, naming)
     nodes = _top_level(docs, keep, document)
-    for level in range(1, deepest(docs, document)):
-        if level % LEVELS == 0:
-            nodes = nodes.checkpoint()
-        nodes = open_level(nodes)
+    still_open = F.col("_kind").isin(OBJECT, ARRAY)
+    if folder is None:
+        for level in range(1, deepest(docs, document)):
+            if level % LEVELS == 0:
+                nodes = nodes.checkpoint()
+            nodes = open_level(nodes)
+    else:
+        left, stage = 1, 0
+        while left:
+            for _ in range(STAGED_LEVELS):
+                nodes = open_level(nodes)
+            seen = Observation()
+            path = f"{folder}/{stage}"
+            nodes.observe(seen, F.count(F.when(still_open, 1)).alias("open")).write.parquet(path)
+            nodes, left, stage = docs.sparkSession.read.schema(nodes.schema).parquet(path), seen.get["open"], stage + 1
+    unopened = F.raise_error(F.lit("an answer document is deeper than it was when its levels were counted")).cast("string")
     return nodes.select(
         *keep,
         "question_id",
         "question_group_id",
-        "response_text",
+        F.when(still_open, unopened).otherwise(F.col("response_text")).alias("response_text"),
         "response_index_in_list",
         "response_list_group_uri",
         "multiselect",
@@ -391,11 +406,40 @@ def reuse_list_uri(existing: DataFrame, answers: DataFrame, key: Sequence[str] =
     return answers.join(side, same, "left").select(*columns)
 
 
-def in_index_order(answers: DataFrame) -> DataFrame:
-    """Answers ordered by their index path as text (a range-partitioned sort)."""
-    return answers.orderBy("response_index_in_list")
+def in_index_order(answers: DataFrame, *ties: str) -> DataFrame:
+    """Answers ordered by their index path as text, then by ``ties`` (a range-partitioned sort).
+
+    Most answers share a few paths such as ``0``. With ``ties`` that tell answers apart (their URI) a shared path is
+    spread over many ranges; without, it is one range, and so one task.
+    """
+    return answers.orderBy("response_index_in_list", *ties)
+
+
+def numbered_in_index_order(answers: DataFrame, *ties: str) -> DataFrame:
+    """Answers with ``row_number``, their place from 1 in the order of their index path, then of ``ties``.
+
+    Ranges of the whole order are sorted alone and written once (by ``checkpoint``), since ranges are drawn from a sample. Each
+    range starts after the rows of those before it: one count for each range is all that is summed in one task.
+    """
+    order = ["response_index_in_list", *ties]
+    ranges = answers.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        *answers.columns, F.monotonically_increasing_id().alias("_id")
+    ).checkpoint()
+    part = F.shiftright("_id", 33)
+    sizes = ranges.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    # One row for each partition, so it is broadcast.
+    place = F.col("_start") + F.col("_id").bitwiseAND((1 << 33) - 1) + 1
+    return ranges.withColumn("_part", part).join(F.broadcast(starts), "_part").select(*answers.columns, place.alias("row_number"))
 
 
 def existing_answers(answers: DataFrame, study: str, subject_type: str) -> DataFrame:
     """Stored answers of one study and level (study, subject or session)."""
     return answers.filter((F.col("research_study_id") == study) & (F.col("response_subject_type") == subject_type))
+
+
+def answers_in_scope(answers: DataFrame, subjects: DataFrame) -> DataFrame:
+    """Stored answers of the studies and levels of ``subjects``: one semi-join before anything is grouped."""
+    scope = ["research_study_id", "response_subject_type"]
+    return answers.join(subjects.select(*scope).distinct(), scope, "left_semi")

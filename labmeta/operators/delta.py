@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labmeta.functions.keys import DELIMITER, random_uri, surrogate_uri
+from labmeta.functions.text import comparable_json
 from labmeta.schemas import AUDIT, OPTION_TYPES
 
 INSERT, UPDATE, DELETE, NOCHANGE = "INSERT", "UPDATE", "DELETE", "NOCHANGE"
@@ -61,13 +62,15 @@ def classify_delta(
     derived: Sequence[str] = (),
     wide: Sequence[str] = (),
     check: bool = True,
+    documents: Sequence[str] = (),
 ) -> DataFrame:
     """Label every key ``INSERT``, ``UPDATE``, ``DELETE`` or ``NOCHANGE``.
 
     One full join on null-safe keys. ``prev`` carries ``uri`` and the audit columns; they come from it
     whenever the key was known. Value columns come from ``curr`` (null for ``DELETE``). ``derived``
     columns are not compared. ``wide`` text columns of ``prev`` are compared by SHA-256, so the stored
-    text itself is not shuffled. ``check`` raises on a duplicate key on either side; the check reads and
+    text itself is not shuffled. ``documents`` are JSON texts, compared (by SHA-256, too) without regard to spacing and the
+    order of keys; a row without a change takes the text of ``curr``. ``check`` raises on a duplicate key on either side; the check reads and
     shuffles key columns only. A caller that publishes through ``Warehouse.publish`` may turn it off,
     because the publish step checks the written rows.
     """
@@ -83,9 +86,13 @@ def classify_delta(
         )
         assert_unique_key(sides, ["_side", *key])
 
+    def compared(c: str) -> Column:
+        text = comparable_json(F.col(c)) if c in documents else F.col(c)
+        return F.sha2(text, 256) if c in wide or c in documents else text
+
     old = prev.select(
         *[F.col(c).alias(f"_prev_{i}") for i, c in enumerate(key)],
-        *[(F.sha2(F.col(c), 256) if c in wide else F.col(c)).alias(f"_old_{c}") for c in values],
+        *[compared(c).alias(f"_old_{c}") for c in values],
         *[F.col(c).alias(f"_kept_{c}") for c in [*kept, *derived]],
         F.lit(True).alias("_in_prev"),
     )
@@ -98,8 +105,7 @@ def classify_delta(
     same_key = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_prev_{i}")) for i, c in enumerate(key)])
     same_values = F.lit(True)
     for c in values:
-        side = F.sha2(F.col(c), 256) if c in wide else F.col(c)
-        same_values = same_values & side.eqNullSafe(F.col(f"_old_{c}"))
+        same_values = same_values & compared(c).eqNullSafe(F.col(f"_old_{c}"))
     in_prev, in_curr = F.col("_in_prev").isNotNull(), F.col("_in_curr").isNotNull()
     action = (
         F.when(~in_prev, INSERT).when(~in_curr, DELETE).when(same_values, NOCHANGE).otherwise(UPDATE)

@@ -65,6 +65,15 @@ QUESTION_ATTRIBUTES = (
 )
 
 
+def lookup_questions(df: DataFrame, questions: DataFrame) -> DataFrame:
+    """The attributes of every question of a row's form, by study, data type and form uuid: one row a question. A form
+    without questions has none."""
+    return lookup(
+        df, questions, ["research_study_id", "xnat_data_type", "questionnaire_uuid"],
+        ["question_id", "group_id", *QUESTION_ATTRIBUTES],
+    )
+
+
 def options_to_questions(questions: DataFrame, options: DataFrame) -> DataFrame:
     """Every question with its options; a question without options keeps one row with null option columns."""
     on = ["research_study_id", "xnat_data_type", "questionnaire_uuid", "group_id", "question_id"]

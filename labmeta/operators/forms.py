@@ -16,8 +16,10 @@ _TREE = "key string, components array<string>, columns array<string>"
 _OPTIONS = "array<struct<label: string, value: string>>"
 _ITEM = (
     "key string, label string, type string, description string, validate string, conditional string, "
-    f"multiple string, data struct<values: {_OPTIONS}>, values {_OPTIONS}"
+    f"multiple string, data struct<values: {_OPTIONS}>, values {_OPTIONS}, components string, columns string"
 )
+#: A form body that cannot be read is an error: if its forms just went missing, the next load would delete them.
+STRICT = {"mode": "FAILFAST"}
 
 
 def top_forms(documents: DataFrame) -> DataFrame:
@@ -28,9 +30,9 @@ def top_forms(documents: DataFrame) -> DataFrame:
     top = documents.select(
         "research_study_id",
         "xnat_data_type",
-        F.explode(F.from_json("body", "components array<string>")["components"]).alias("form"),
+        F.explode(F.from_json("body", "components array<string>", STRICT)["components"]).alias("form"),
     )
-    parsed = top.withColumn("f", F.from_json("form", "title string, components array<string>"))
+    parsed = top.withColumn("f", F.from_json("form", "title string, components array<string>", STRICT))
     return parsed.select(
         "research_study_id",
         "xnat_data_type",
@@ -61,7 +63,7 @@ def walk_items(documents: DataFrame) -> DataFrame:
     ids = ["research_study_id", "xnat_data_type", "questionnaire_uuid"]
     nodes = top_forms(documents).select(
         *ids,
-        F.explode(F.from_json("form", "components array<string>")["components"]).alias("item"),
+        F.explode(F.from_json("form", "components array<string>", STRICT)["components"]).alias("item"),
         F.lit(None).cast("string").alias("group_id"),
         F.lit(False).alias("done"),
     )
@@ -73,7 +75,7 @@ def walk_items(documents: DataFrame) -> DataFrame:
     for level in range(max(1, (deepest(documents, "body") - 3) // 2)):
         if level and level % LEVELS == 0:
             nodes = nodes.checkpoint()
-        tree = F.when(~F.col("done"), F.from_json("item", _TREE))
+        tree = F.when(~F.col("done"), F.from_json("item", _TREE, STRICT))
         nodes = nodes.withColumn("tree", tree)
         below = F.when(
             F.col("tree.components").isNotNull() & F.col("tree.key").isNotNull(),
@@ -87,7 +89,10 @@ def walk_items(documents: DataFrame) -> DataFrame:
         ).otherwise(self_row)
         nodes = nodes.select(*ids, F.inline(expanded))
 
-    return nodes.select(*ids, "group_id", F.from_json("item", _ITEM).alias("i")).filter("i.key is not null")
+    items = nodes.select(*ids, "group_id", F.from_json("item", _ITEM, STRICT).alias("i"), "done")
+    unopened = ~F.col("done") & F.coalesce("i.components", "i.columns").isNotNull()
+    error = F.raise_error(F.lit("a form is deeper than it was when its levels were counted")).cast("boolean")
+    return items.filter(F.when(unopened, error).otherwise(F.col("i.key").isNotNull())).drop("done")
 
 
 def flatten_questions(documents: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Frames of ``reachable`` that are read one by one before they are written as one.
+_FRAMES = 4
 RESOURCE_SCHEMA = "resource_uri string, resource_types array<string>, body string, _rev int, deprecated boolean"
 
 
@@ -29,7 +31,8 @@ def plan_upsert(documents: DataFrame, resources: DataFrame) -> DataFrame:
 
 
 def apply_upsert(documents: DataFrame, resources: DataFrame) -> DataFrame:
-    """Next state of the resource table; resources without a new document stay as they are."""
+    """Next state of the resource table; resources without a new document stay as they are, a deprecated one that is sent
+    again is live again."""
     new = documents.select(
         F.col("resource_uri").alias("_uri"), F.col("resource_types").alias("_types"), F.col("body").alias("_body")
     )
@@ -43,7 +46,7 @@ def apply_upsert(documents: DataFrame, resources: DataFrame) -> DataFrame:
         .otherwise(F.col("_rev"))
         .cast("int")
         .alias("_rev"),
-        F.coalesce("deprecated", F.lit(False)).alias("deprecated"),
+        F.when(changed, F.lit(False)).otherwise(F.coalesce("deprecated", F.lit(False))).alias("deprecated"),
     )
 
 
@@ -59,11 +62,12 @@ def of_type(resources: DataFrame, name: str, regex: bool = False) -> DataFrame:
 
 
 def not_deprecated(df: DataFrame, resources: DataFrame | None = None, uri: str = "resource_uri") -> DataFrame:
-    """Without ``resources``: rows flagged as live. With it: rows whose URI is not a deprecated resource."""
+    """Without ``resources``: rows flagged as live. With it: rows whose URI is a live resource; a row that is no resource
+    yet is not one."""
     if resources is None:
         return df.filter(~F.coalesce(F.col("deprecated"), F.lit(False)))
-    gone = resources.filter("deprecated").select(F.col("resource_uri").alias("_gone"))
-    return df.join(gone, F.col(uri) == F.col("_gone"), "left_anti")
+    live = not_deprecated(resources).select(F.col("resource_uri").alias("_live"))
+    return df.join(live, F.col(uri) == F.col("_live"), "left_semi")
 
 
 def vanished(resources: DataFrame, live_uris: DataFrame) -> DataFrame:
@@ -87,16 +91,44 @@ def reachable(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """All (root, node) pairs joined by one or more edges (columns ``s`` and ``o``).
 
     Each round extends only the pairs found in the round before. Every round is checkpointed in the shared
-    folder, so a lost executor costs one round and the plan does not grow. Cycles end by themselves.
+    folder, so a lost executor costs one round and the plan does not grow; so is what was found, after every ``_FRAMES``
+    rounds, so that not many frames are read again. Cycles end by themselves. Give ``roots``: all pairs grow with the square
+    of a chain. For items with an index path use ``reachable_items``.
     """
     steps = edges.select(F.col("s").alias("_s"), F.col("o").alias("_o")).distinct()
     start = steps if roots is None else steps.join(
         roots.select(F.col(roots.columns[0]).alias("_root")).distinct(), F.col("_s") == F.col("_root"), "left_semi"
     )
     frontier = start.select(F.col("_s").alias("root"), F.col("_o").alias("node")).checkpoint()
-    found = frontier
+    found, frames = frontier, 1
     while not frontier.isEmpty():
         longer = frontier.join(steps, F.col("node") == F.col("_s")).select("root", F.col("_o").alias("node")).distinct()
         frontier = longer.join(found, ["root", "node"], "left_anti").checkpoint()
-        found = found.unionByName(frontier)
+        found, frames = found.unionByName(frontier), frames + 1
+        if frames == _FRAMES:
+            found, frames = found.checkpoint(), 1
     return found
+
+
+def index_prefixes(index: Column) -> Column:
+    """The paths above an index path, nearest last: ``0.2.1`` has ``0`` and ``0.2``. A path of one part has none."""
+    parts = F.split(index, "\\.")
+    return F.transform(
+        F.slice(F.sequence(F.lit(0), F.size(parts)), 2, F.size(parts) - 1),
+        lambda n: F.array_join(F.slice(parts, 1, n), "."),
+    )
+
+
+def reachable_items(items: DataFrame, response: str, item: str, index: str) -> DataFrame:
+    """(root, node) pairs of nested items: each response or item with every item below it.
+
+    The index path holds an item's ancestors, so nothing is iterated. A response reaches each of its items as it stands; an
+    item explodes the paths above its own and meets the items at these in one join, on response and path, so the items of one
+    large response spread. Rows without a response, item or index are in no pair; items that share a path both reach what
+    is below it.
+    """
+    rows = items.select(F.col(response).alias("_response"), F.col(item).alias("node"), F.col(index).alias("_index")).dropna()
+    above = rows.select("_response", "node", F.explode(index_prefixes(F.col("_index"))).alias("_above"))
+    owner = rows.select(F.col("_response").alias("_owner_response"), F.col("_index").alias("_owner_index"), F.col("node").alias("root"))
+    nested = above.join(owner, (F.col("_response") == F.col("_owner_response")) & (F.col("_above") == F.col("_owner_index")))
+    return rows.select(F.col("_response").alias("root"), "node").unionByName(nested.select("root", "node")).distinct()

@@ -6,7 +6,7 @@ those rows of the stored table are compared and replaced. Without it the whole t
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from labmeta.operators import answers as A
 from labmeta.operators import enrich as E
 from labmeta.operators import forms as Fm
 from labmeta.operators.align import blanks_to_null, conform, nonempty_docs
-from labmeta.operators.delta import apply_delta, classify_delta, is_option_type, match_keys, replace_scope
+from labmeta.operators.delta import apply_delta, classify_delta, is_option_type, match_keys
 from labmeta.functions.text import BLANK_ANSWERS
 from labmeta.schemas import OBJECT_SALT, TABLES
 from labmeta.sources import landed as L
@@ -31,19 +31,26 @@ def load_table(
     after: Callable[[DataFrame], DataFrame] | None = None,
     uri_when=None,
 ) -> DataFrame:
-    """Compare ``rows`` with the stored table, apply the delta and publish. An empty load empties its scope."""
+    """Compare ``rows`` with the stored table, apply the delta and publish. An empty load empties its scope.
+
+    A scope with study ids reads and writes the partitions of these studies only, and the load must keep to them. The load
+    fails if another writer commits the table in between.
+    """
     table = TABLES[name]
-    stored = wh.read(name)
+    base = wh.version(name)
+    stored = wh.read(name, base, wh.scoped_parts(name, scope))
     prev = stored if scope is None else match_keys(stored, scope, scope.columns, "left_semi")
     delta = classify_delta(
-        prev, conform(rows, table.schema), table.key, table.uri, table.derived, table.wide, check=False
+        prev, conform(rows, table.schema), table.key, table.uri, table.derived, table.wide, check=False,
+        documents=table.documents,
     )
     load = apply_delta(
         delta, proc_dt, table.uri, wh.naming.base, table.key, wh.naming.salt, wh.naming.delimiter, uri_when=uri_when
     )
     if after is not None:
-        load = after(load)
-    return wh.publish(name, load if scope is None else replace_scope(stored, load, scope))
+        # ``after`` joins the load with itself, so it is written once and read back.
+        load = after(wh.staged(load))
+    return wh.publish(name, load, base=base) if scope is None else wh.replace(name, load, scope, base)
 
 
 def load_studies(
@@ -60,16 +67,21 @@ def load_subjects(
     return load_table(wh, "research_subject", rows, proc_dt, scope)
 
 
-def load_sessions(wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None) -> DataFrame:
-    rows = L.read_sessions(wh.spark, path, wh.src_system)
+def load_sessions(
+    wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None, by_record: bool = False
+) -> DataFrame:
+    """``by_record``: landed with one record a line."""
+    rows = L.read_sessions(wh.spark, path, wh.src_system, by_record)
     rows = E.lookup_subject(E.lookup_study(rows, wh.read("research_study")), wh.read("research_subject"))
     return load_table(wh, "session", rows, proc_dt, scope)
 
 
-def load_devices(wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None) -> DataFrame:
+def load_devices(
+    wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None, by_record: bool = False
+) -> DataFrame:
     """Devices of the landed scans; under a scope also those that stored scans of other studies use."""
     columns = ["src_system", "device_manufacturer", "device_name"]
-    scans = L.configured_projects(L.read_scans(wh.spark, path, wh.src_system), wh.read("xnat_config"))
+    scans = L.configured_projects(L.read_scans(wh.spark, path, wh.src_system, by_record), wh.read("xnat_config"))
     rows = E.distinct_rows(scans, columns)
     if scope is not None:
         elsewhere = match_keys(wh.read("acquisition"), scope, scope.columns, "left_anti").select("device_uri")
@@ -79,10 +91,11 @@ def load_devices(wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None
 
 
 def load_scans(
-    wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None, require_device: bool = True
+    wh: Warehouse, path: str, proc_dt: str, scope: DataFrame | None = None, require_device: bool = True,
+    by_record: bool = False,
 ) -> DataFrame:
     """``require_device=False`` keeps scans whose device is not in the device table."""
-    rows = L.read_scans(wh.spark, path, wh.src_system)
+    rows = L.read_scans(wh.spark, path, wh.src_system, by_record)
     rows = E.lookup_subject(E.lookup_study(rows, wh.read("research_study")), wh.read("research_subject"))
     rows = E.lookup_session(rows, wh.read("session"))
     rows = E.lookup_device(rows, wh.read("device"), "inner" if require_device else "left")
@@ -138,27 +151,41 @@ def load_response_headers(wh: Warehouse, proc_dt: str, scope: DataFrame | None =
 
 
 def answer_rows(
-    documents: DataFrame, options: DataFrame, forms: DataFrame, headers: DataFrame, naming: A.Naming
+    documents: DataFrame, options: DataFrame, forms: DataFrame, headers: DataFrame, naming: A.Naming,
+    folder: str | None = None,
 ) -> DataFrame:
-    """Answers of all subjects with question, option, form and header attributes."""
-    flat = A.flatten_answers(documents, naming=naming)
+    """Answers of all subjects with question, option, form and header attributes. ``folder``: see ``flatten_answers``."""
+    flat = A.flatten_answers(documents, naming=naming, folder=folder)
     joined = A.keep_selected(A.join_answers(flat, A.form_questions(options, forms)))
     joined = A.datamap_answers(joined, A.datamap_questions(options, forms))
     active = A.drop_inactive(joined).drop("multiselect")
     return blanks_to_null(A.attach_headers(active, headers), BLANK_ANSWERS)
 
 
-def load_answers(wh: Warehouse, proc_dt: str, scope: DataFrame | None = None) -> DataFrame:
-    """Answers of studies, subjects and sessions in one load."""
-    documents = nonempty_docs(answering_subjects(wh, scope))
+def load_answers(
+    wh: Warehouse, proc_dt: str, scope: DataFrame | None = None, levels: Sequence[str] | None = None
+) -> DataFrame:
+    """Answers of studies, subjects and sessions in one load, or of some of these ``levels`` (subject types) only.
+
+    Documents are read and opened once, into a staging folder. Stored answers of other studies and levels are neither
+    grouped nor replaced.
+    """
+    subjects = answering_subjects(wh, scope)
+    if levels is not None:
+        subjects = subjects.filter(F.col("response_subject_type").isin(*levels))
+        studies = wh.read("research_study") if scope is None else scope
+        level = F.explode(F.array(*[F.lit(x) for x in levels])).alias("response_subject_type")
+        scope = studies.select("research_study_id", level).distinct()
     rows = answer_rows(
-        documents,
+        nonempty_docs(subjects),
         wh.read("questionnaire"),
         wh.read("questionnaire_list"),
         wh.read("questionnaire_response_list"),
         wh.naming,
+        wh.new_folder(),
     )
-    rows = A.reuse_list_uri(wh.read("questionnaire_response"), rows)
+    stored = wh.read("questionnaire_response", parts=wh.scoped_parts("questionnaire_response", scope))
+    rows = A.reuse_list_uri(A.answers_in_scope(stored, subjects), rows)
     return load_table(wh, "questionnaire_response", rows, proc_dt, scope, after=A.assign_group_uri)
 
 

@@ -44,7 +44,8 @@ def spark_type(declared: str, column: str = "") -> T.DataType:
 @dataclass(frozen=True)
 class Table:
     """``derived`` columns are recomputed after the delta and left out of its comparison;
-    ``wide`` text columns are compared by digest so that the stored side need not be shuffled."""
+    ``wide`` text columns are compared by digest so that the stored side need not be shuffled. ``documents`` are JSON texts,
+    whose spacing and order of keys do not count in a comparison."""
 
     name: str
     columns: str
@@ -54,6 +55,7 @@ class Table:
     type_regex: bool = False
     derived: tuple[str, ...] = ()
     wide: tuple[str, ...] = ()
+    documents: tuple[str, ...] = ()
     audit: bool = True
     schema: T.StructType = field(init=False)
 
@@ -92,6 +94,7 @@ TABLES: dict[str, Table] = {
             uri="research_study_uri",
             resource_type="fhir:ResearchStudy",
             wide=("xnat_custom_fields",),
+            documents=("xnat_custom_fields",),
         ),
         Table(
             "research_subject",
@@ -100,6 +103,7 @@ TABLES: dict[str, Table] = {
             uri="research_subject_uri",
             resource_type="fhir:ResearchSubject",
             wide=("xnat_custom_fields",),
+            documents=("xnat_custom_fields",),
         ),
         Table(
             "session",
@@ -109,6 +113,7 @@ TABLES: dict[str, Table] = {
             uri="session_uri",
             resource_type="nidm:Session",
             wide=("xnat_custom_fields",),
+            documents=("xnat_custom_fields",),
         ),
         Table(
             "acquisition",
@@ -117,6 +122,7 @@ TABLES: dict[str, Table] = {
             uri="acquisition_uri",
             resource_type="nidm:Acquisition",
             wide=("xnat_custom_fields",),
+            documents=("xnat_custom_fields",),
         ),
         Table(
             "acquisition_object",
@@ -125,6 +131,7 @@ TABLES: dict[str, Table] = {
             uri="acquisition_object_uri",
             resource_type="nidm:AcquisitionObject",
             wide=("xnat_custom_fields", "dicom_header", "non_dicom_header"),
+            documents=("xnat_custom_fields", "dicom_header", "non_dicom_header"),
         ),
         Table(
             "device",

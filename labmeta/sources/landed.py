@@ -40,6 +40,10 @@ SCAN_FIELDS = {
 STRICT = {"mode": "FAILFAST"}
 
 
+#: Characters without a meaning in texts, between values that are decoded together and in the place of a null.
+_BETWEEN, _NULL = "\ue001", "\ue002"
+
+
 def _strings(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -87,17 +91,23 @@ def is_session_type(c: Column) -> Column:
     return F.contains(c, F.lit("Session")) & (c != UMBRELLA_SESSION)
 
 
-def _typed_records(spark: SparkSession, path: str) -> DataFrame:
+def _one_record_lines(spark: SparkSession, path: str) -> DataFrame:
+    """JSON Lines of one record each, in folders ``project=<id>``: ``session_type`` and ``record``.
+
+    Any line can be read alone, so files are split however large a study is, and a filter on the study reads its folder only.
+    """
+    schema = T.StructType([*_strings(["session_type"]), T.StructField("record", T.MapType(T.StringType(), T.StringType())), *_strings(["project"])])
+    return spark.read.schema(schema).options(**STRICT).json(path).select("project", "session_type", F.col("record").alias("m"))
+
+
+def _typed_records(spark: SparkSession, path: str, by_record: bool = False) -> DataFrame:
     """Records of all session types with the lower-cased type prefix taken off their field names."""
-    records = (
-        read_envelopes(spark, path, ["project", "session_type"])
-        .filter(is_session_type(F.col("session_type")))
-        .select(
-            F.col("project").alias("research_study_id"),
-            "session_type",
-            F.explode(F.from_json("body", "array<map<string,string>>", STRICT)).alias("m"),
-        )
-    )
+    if by_record:
+        landed = _one_record_lines(spark, path)
+    else:
+        landed = read_envelopes(spark, path, ["project", "session_type"]).filter(is_session_type(F.col("session_type")))
+        landed = landed.select("project", "session_type", F.explode(F.from_json("body", "array<map<string,string>>", STRICT)).alias("m"))
+    records = landed.filter(is_session_type(F.col("session_type"))).withColumnRenamed("project", "research_study_id")
     prefix = F.concat(F.lower("session_type"), F.lit("/"))
     return records.withColumn(
         "m",
@@ -124,17 +134,19 @@ def _session_columns(src_system: str) -> list[Column]:
     ]
 
 
-def read_sessions(spark: SparkSession, path: str, src_system: str) -> DataFrame:
+def read_sessions(spark: SparkSession, path: str, src_system: str, by_record: bool = False) -> DataFrame:
+    """``by_record``: one record a line, below a folder for each study; else one line for each study and session type."""
     return blanks_to_null(
-        _typed_records(spark, path).select(
+        _typed_records(spark, path, by_record).select(
             *_session_columns(src_system), json_or_default(_field("custom_fields")).alias("xnat_custom_fields")
         )
     )
 
 
-def read_scans(spark: SparkSession, path: str, src_system: str) -> DataFrame:
+def read_scans(spark: SparkSession, path: str, src_system: str, by_record: bool = False) -> DataFrame:
+    """``by_record``: as for ``read_sessions``."""
     return blanks_to_null(
-        _typed_records(spark, path).select(
+        _typed_records(spark, path, by_record).select(
             *_session_columns(src_system),
             *[_field(source).alias(name) for name, source in SCAN_FIELDS.items()],
             json_or_default(_field("custom_fields"), None).alias("xnat_custom_fields"),
@@ -154,10 +166,20 @@ def read_dicom_dump(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_scan_fields(spark: SparkSession, path: str) -> DataFrame:
-    """Per scan the field map, entities decoded, reduced to the header keys, as JSON text."""
+    """Per scan the field map, reduced to the header keys, entities in its values decoded, as JSON text.
+
+    The body is parsed first, so a value may hold any entity. Only a body whose own quotes are entities is decoded as a whole.
+    """
     df = read_envelopes(spark, path, ["project", "subject_id", "session_id", "acquisition_id"])
-    parsed = F.from_json(decode_entities(F.col("body")), "items array<struct<data_fields: map<string,string>>>", STRICT)
+    body = F.col("body")
+    whole = F.when(F.try_parse_json(body).isNull(), decode_entities(F.when(F.try_parse_json(body).isNull(), body))).otherwise(body)
+    parsed = F.from_json(whole, "items array<struct<data_fields: map<string,string>>>", STRICT)
     fields = header_keys(parsed["items"][0]["data_fields"])
+    # All values of a scan are decoded as one text, so that one call per scan goes to Python.
+    held = F.transform(F.map_values(fields), lambda v: F.coalesce(v, F.lit(_NULL)))
+    decoded = F.split(decode_entities(F.array_join(held, _BETWEEN)), _BETWEEN)
+    values = F.transform(decoded, lambda v: F.nullif(v, F.lit(_NULL)))
+    fields = F.when(F.size(fields) == 0, fields).otherwise(F.map_from_arrays(F.map_keys(fields), values))
     return df.select(
         F.col("project").alias("research_study_id"),
         F.col("subject_id").alias("research_subject_id"),
