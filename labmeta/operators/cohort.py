@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,13 +91,46 @@ def optional_answer(
     return df.join(side, F.col(subject) == F.col("_subject"), "left").drop("_subject")
 
 
+def answers_by_subject(
+    answers: DataFrame, labels: Collection[str], resources: DataFrame | None = None, include_coded: bool = False
+) -> DataFrame:
+    """One row for each resource with an answer to one of the questions: ``_subject`` and the distinct (label, value) pairs.
+
+    One scan, one semi-join with the live resources, one aggregate that is combined before it is shuffled.
+    """
+    given = answers.filter(F.col("question_label").isin(*labels))
+    if resources is not None:
+        given = not_deprecated(given, resources, "questionnaire_response_item_uri")
+    return (
+        given.select("response_subject_uri", "question_label", any_value(include_coded).alias("_value"))
+        .filter("response_subject_uri is not null and _value is not null")
+        .groupBy(F.col("response_subject_uri").alias("_subject"))
+        .agg(F.collect_set(F.struct(F.col("question_label").alias("label"), F.col("_value").alias("value"))).alias("_given"))
+    )
+
+
+def _values_of(label: str) -> Column:
+    return F.transform(F.filter("_given", lambda g: g["label"] == label), lambda g: g["value"])
+
+
 def optional_answers(
-    df: DataFrame, answers: DataFrame, questions: Mapping[str, Sequence[str]], **options
+    df: DataFrame,
+    answers: DataFrame,
+    questions: Mapping[str, Sequence[str]],
+    resources: DataFrame | None = None,
+    include_coded: bool = False,
 ) -> DataFrame:
-    """``questions``: subject column → question labels."""
+    """Add one column for each question: the answer of the resource in its subject column, or null.
+
+    ``questions``: subject column → question labels. Several different answers give several rows, equal ones one. All
+    questions are answered from one scan of the answers; subject columns share its shuffle.
+    """
+    side = answers_by_subject(answers, sorted({x for own in questions.values() for x in own}), resources, include_coded)
     for subject, labels in questions.items():
+        df = df.join(side, F.col(subject) == F.col("_subject"), "left").drop("_subject")
         for label in labels:
-            df = optional_answer(df, answers, subject, label, **options)
+            df = df.select("*", F.explode_outer(_values_of(label)).alias(label_column(label)))
+        df = df.drop("_given")
     return df
 
 
