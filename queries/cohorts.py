@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from labmeta.operators import cohort as Co
 from labmeta.operators import graph as G
 from labmeta.operators import linked as Li
+from labmeta.plans import cohorts
+from queries import documents
 from queries.documents import event_answers
 from queries.registry import query, table
 
@@ -223,3 +225,202 @@ def reachable_pairs(spark, d):
         .unionByName(edge(o, "C", "o_custkey", "O", "o_orderkey"))
     )
     return G.reachable(edges)
+
+
+class Tables:
+    """The given tables under the names that the cohort plans read."""
+
+    def __init__(self, spark, d):
+        study, subject, session, scan = lab(spark, d)
+        answers, resources = lab_answers(spark, d)
+        self.tables = {
+            "research_study": study, "research_subject": subject, "session": session, "acquisition": scan,
+            "acquisition_object": lab_headers(spark, d), "questionnaire_response": answers, "resources": resources,
+        }
+
+    def read(self, name):
+        return self.tables[name]
+
+
+def lab_headers(spark, d):
+    """Headers with a manufacturer and, unless the line's flag is N, a power-line frequency."""
+    l = table(spark, d, "lineitem").dropDuplicates(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    maker = F.concat(F.lit("M"), "l_suppkey")
+    hertz = F.when(F.col("l_returnflag") == "A", "60").when(F.col("l_returnflag") == "R", "50")
+    fields = F.to_json(F.struct(maker.alias("bids:Manufacturer"), hertz.alias("bids:powerLineFrequency")))
+    entry = lambda tag, desc, value: F.struct(F.lit(tag).alias("tag1"), F.lit(desc).alias("desc"), value.alias("value"))
+    dump = F.to_json(
+        F.filter(
+            F.array(entry("(0008,0070)", "bids:Manufacturer", maker), entry("(0009,0001)", "bids:powerLineFrequency", hertz)),
+            lambda e: e["value"].isNotNull(),
+        )
+    )
+    open_ = F.col("l_linestatus") == "O"
+    return l.select(
+        F.concat_ws(":", F.lit("urn:scan"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("acquisition_uri"),
+        F.when(~open_, dump).alias("dicom_header"), F.when(open_, fields).alias("non_dicom_header"),
+    )
+
+
+def lab_answers(spark, d):
+    """Answers of customers, events (several a customer), orders and nations; events below 5 are no resources yet, those
+    above 180 deprecated."""
+    n, c, o, e = (table(spark, d, t) for t in ("nation", "customer", "orders", "events"))
+
+    def answers(df, name, key, subject, label, text):
+        return df.select(
+            F.concat(F.lit(f"urn:{name}:"), subject).alias("response_subject_uri"),
+            F.concat_ws(":", F.lit("urn:answer"), label, key).alias("questionnaire_response_item_uri"),
+            label.alias("question_label"), F.lit("textfield").alias("question_type"), text.alias("response_text"),
+            F.lit(None).cast("string").alias("response_code_display"),
+        )
+
+    high, kind = F.col("value") >= 60, F.col("event_type")
+    of = lambda name, yes, no: (F.lit(name), F.when(high, yes).otherwise(no))
+    kinds = {
+        "click": of("Musical Training", "yes", "no"), "view": of("Eye Dominance", "right", "left"),
+        "purchase": of("Psychiatric History", "depression, mild", "none"), "signup": of("Race", "asian", "white"),
+    }
+    label, text = F.lit("Unused"), F.lit("x")
+    for event, (name, given) in kinds.items():
+        label, text = F.when(kind == event, name).otherwise(label), F.when(kind == event, given).otherwise(text)
+    region, key = F.col("n_regionkey"), F.col("n_nationkey")
+    frames = [
+        answers(c, "subject", F.col("c_custkey"), "c_custkey", F.lit("Gender"),
+                F.when(F.col("c_mktsegment").isin("BUILDING", "FURNITURE"), "male").otherwise("female")),
+        answers(c, "subject", F.col("c_custkey"), "c_custkey", F.lit("Primary Language"),
+                F.when(F.col("c_nationkey") < 12, "Afrikaans").otherwise("Dutch")),
+        answers(o, "session", F.col("o_orderkey"), "o_orderkey", F.lit("Analysis Steps"),
+                F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("preprocessing "), "o_orderpriority")).otherwise("none")),
+        answers(n, "study", key, "n_nationkey", F.lit("Institute"), F.concat(F.lit("Institute "), region)),
+        answers(n, "study", key, "n_nationkey", F.lit("Grant ID"), F.concat(F.lit("G"), region)),
+        answers(n, "study", key, "n_nationkey", F.lit("Type"), F.when(region != 4, "sensor").otherwise("camera")),
+        answers(n, "study", key, "n_nationkey", F.lit("Stimuli"), F.when(region < 3, "VisualStims").otherwise("Audio")),
+        answers(n, "study", key, "n_nationkey", F.lit("Responses"), F.when(key < 20, "ButtonPress and voice").otherwise("voice")),
+    ]
+    every = answers(e, "subject", F.col("event_id"), "user_id", label, text)
+    for f in frames:
+        every = every.unionByName(f)
+    resource = lambda df, gone: df.select(F.col("questionnaire_response_item_uri").alias("resource_uri"), gone.alias("deprecated"))
+    sent = resource(answers(e.filter("value >= 5 and value <= 180"), "subject", F.col("event_id"), "user_id", label, text), F.lit(False))
+    sent = sent.unionByName(resource(answers(e.filter("value > 180"), "subject", F.col("event_id"), "user_id", label, text), F.lit(True)))
+    for f in frames:
+        sent = sent.unionByName(resource(f, F.lit(False)))
+    return every, sent
+
+
+def _event_sql(event, yes, no):
+    return f"(select distinct user_id, case when value >= 60 then '{yes}' else '{no}' end as a from events where event_type = '{event}' and value >= 5 and value <= 180)"
+
+
+_TRAINING, _EYE = _event_sql("click", "yes", "no"), _event_sql("view", "right", "left")
+_HISTORY, _RACE = _event_sql("purchase", "depression, mild", "none"), _event_sql("signup", "asian", "white")
+
+
+@query(
+    f"""select distinct n_name as study_id, c_name as subject_id, o_orderkey as session_id, cast(l_linenumber as varchar) as acquisition_id,
+      l_returnflag as acquisition_description, 'male' as "Gender", 'Afrikaans' as "Primary___Language", t.a as "Musical___Training",
+      'preprocessing ' || o_orderpriority as "Analysis___Steps"
+      from {CHAIN} join {_TRAINING} t on t.user_id = c_custkey
+      where l_returnflag <> 'N' and l_linenumber = 3 and c_mktsegment in ('BUILDING', 'FURNITURE') and c_nationkey < 12
+        and o_orderstatus = 'F' and t.a = 'yes'"""
+)
+def cohort_by_scan_name(spark, d):
+    return cohorts.by_scan_name(Tables(spark, d), "3", "male", "Afrikaans", "preprocessing", "yes")
+
+
+@query(
+    f"""select distinct n_name as study_id, c_name as subject_id, o_orderkey as session_id, cast(l_linenumber as varchar) as acquisition_id,
+      'M' || l_suppkey as device_manufacturer, e.a as "Eye___Dominance", h.a as "Psychiatric___History"
+      from {CHAIN} join {_EYE} e on e.user_id = c_custkey join {_HISTORY} h on h.user_id = c_custkey
+      where l_suppkey = 7 and e.a = 'right' and starts_with(h.a, 'depression')"""
+)
+def cohort_by_manufacturer(spark, d):
+    return cohorts.by_manufacturer(Tables(spark, d), "M7", "right", "depression")
+
+
+@query(
+    f"""select distinct n_name as study_id, c_name as subject_id, o_orderkey as session_id, cast(l_linenumber as varchar) as acquisition_id,
+      '50' as "powerLineFrequency", 'Institute ' || n_regionkey as "Institute", 'G' || n_regionkey as "Grant___ID", e.a as "Eye___Dominance",
+      h.a as "Psychiatric___History", r.a as "Race"
+      from {CHAIN} join {_EYE} e on e.user_id = c_custkey left join {_HISTORY} h on h.user_id = c_custkey join {_RACE} r on r.user_id = c_custkey
+      where l_returnflag = 'R' and n_regionkey = 1 and e.a = 'right' and r.a = 'asian'"""
+)
+def cohort_by_power_line(spark, d):
+    return cohorts.by_power_line(Tables(spark, d), "50", "asian", "right", "Institute 1", "G1")
+
+
+@query(
+    """select distinct n_name as study_id, c_name as subject_id, 'Institute ' || n_regionkey as "Institute", 'ButtonPress and voice' as "Responses",
+      'VisualStims' as "Stimuli", 'sensor' as "Type" from customer join nation on c_nationkey = n_nationkey where n_regionkey < 3 and n_nationkey < 20"""
+)
+def cohort_by_device_type(spark, d):
+    return cohorts.by_device_type(Tables(spark, d), "sensor", "VisualStims", "ButtonPress")
+
+
+@query(
+    """select case when p_size > 25 then 'urn:group:' || p_brand else 'urn:form:' || p_type end as s,
+      'fhir:Questionnaire.item' || case when p_size > 25 then '.item' else '' end as p, 'urn:item:' || p_partkey as o from part"""
+)
+def question_edges(spark, d):
+    """Form or group → question, from the reverse links of the documents."""
+    return Li.document_edges(documents.linked_questions(spark, d))
+
+
+@query(
+    """select 'urn:item:' || p_type as s, 'fhir:Questionnaire.item.answerOption' as p, 'urn:option:' || p_partkey as o from part where p_size > 5"""
+)
+def option_edges(spark, d):
+    return Li.document_edges(documents.linked_options(spark, d))
+
+
+@query(
+    """select 'urn:answer:' || event_id as s, 'fhir:QuestionnaireResponse.item.definition' as p, 'urn:item:' || event_type as o
+      from events where event_type <> 'signup'"""
+)
+def answer_definition_edges(spark, d):
+    return Li.document_edges(documents.linked_answers(spark, d)).filter("p like '%.definition'")
+
+
+@query(
+    f"""select 'urn:answer:' || event_id as s, 'fhir:QuestionnaireResponse.item.definition' as p, 'urn:item:' || event_type as o
+      from events where event_type <> 'signup'
+    union all select 'urn:answer:' || event_id, 'prov:wasGeneratedBy', 'urn:study' from events
+    union all select s, p, o from ({ANSWER_EDGES})"""
+)
+def answer_document_edges(spark, d):
+    """Every link of an answer's document: owner, list element, question and study."""
+    return Li.document_edges(documents.linked_answers(spark, d))
+
+
+@query(
+    """with kept as (select * from (values ('dcterms:isPartOf'), ('prov:wasAssociatedWith'), ('prov:qualifiedAssociation/prov:agent'),
+        ('prov:qualifiedAssociation/prov:hadRole')) v(p))
+      select 'urn:session:' || o_orderkey as s, p, case p when 'dcterms:isPartOf' then 'urn:study:' || o_orderstatus
+        when 'prov:qualifiedAssociation/prov:hadRole' then 'sio:Subject' else 'urn:subject:' || o_custkey end as o from orders, kept"""
+)
+def session_document_edges(spark, d):
+    """Links through objects without an id of their own are joined to one path."""
+    rows = table(spark, d, "orders").select(
+        F.concat(F.lit("urn:session:"), "o_orderkey").alias("session_uri"), F.concat(F.lit("urn:subject:"), "o_custkey").alias("research_subject_uri"),
+        F.concat(F.lit("urn:study:"), "o_orderstatus").alias("research_study_uri"), F.col("o_orderkey").cast("string").alias("session_id"),
+        F.col("o_orderdate").alias("session_date"),
+    )
+    return Li.document_edges(Li.link_rows(rows, "session", "session_uri"))
+
+
+@query(
+    """with recursive line as (select distinct l_orderkey, l_linenumber from lineitem),
+    edge as (select 'R' || o_custkey as s, 'I' || o_orderkey as o from orders
+      union all select 'I' || o_orderkey, 'I' || o_orderkey || '.' || l_linenumber from line join orders on l_orderkey = o_orderkey),
+    pair as (select s as root, o as node from edge union select pair.root, edge.o from pair join edge on pair.node = edge.s)
+    select root, node from pair"""
+)
+def reachable_items(spark, d):
+    """Customers' orders with their lines: each response and item with all items below it."""
+    o, l = table(spark, d, "orders"), table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    response = F.concat(F.lit("R"), "o_custkey").alias("response")
+    item = lambda path: [F.concat(F.lit("I"), path).alias("item"), path.alias("path")]
+    top = o.select(response, *item(F.col("o_orderkey").cast("string")))
+    below = l.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(response, *item(F.concat_ws(".", "o_orderkey", "l_linenumber")))
+    return G.reachable_items(top.unionByName(below), "response", "item", "path")

@@ -303,3 +303,21 @@ def match_null_keys(spark, d):
     )
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.lit(None).cast("string").alias("segment"))
     return match_keys(orders, customer, ["o_custkey", "segment"], "left_semi").select("o_orderkey", "o_custkey")
+
+
+@query(
+    """select event_id, case when event_type = 'view' and value >= 60 and user_id <> 1 then 'UPDATE' else 'NOCHANGE' end as delta_action,
+      case event_type when 'click' then '{ "k": ' || (props ->> '$.k') || ',"user":[' || user_id || ',  1 ]}'
+        when 'view' then '{"user": [' || case when value >= 60 then '1, ' || user_id else user_id || ', 1' end || '], "k": ' || (props ->> '$.k') || '}'
+        else '{"user": [' || user_id || ', 1], "k": ' || (props ->> '$.k') || '}' end as doc from events"""
+)
+def delta_json_documents(spark, d):
+    """Spacing and the order of keys are no change, the order of a list is."""
+    e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    doc = F.concat(F.lit('{"user": ['), "user_id", F.lit(', 1], "k": '), "k", F.lit("}"))
+    moved = F.concat(F.lit('{ "k": '), "k", F.lit(',"user":['), "user_id", F.lit(",  1 ]}"))
+    turned = F.concat(F.lit('{"user": [1, '), "user_id", F.lit('], "k": '), "k", F.lit("}"))
+    prev = e.select("event_id", doc.alias("doc"), F.concat(F.lit("urn:"), "event_id").alias("uri"), *_audit("event_id"))
+    kind = F.col("event_type")
+    curr = e.select("event_id", F.when(kind == "click", moved).when((kind == "view") & (F.col("value") >= 60), turned).otherwise(doc).alias("doc"))
+    return classify_delta(prev, curr, ["event_id"], "uri", documents=["doc"]).select("event_id", "delta_action", "doc")

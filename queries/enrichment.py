@@ -116,6 +116,29 @@ def lookup_form(spark, d):
     return E.lookup_form(c, form_list(spark, d))
 
 
+@query(
+    """select c_nationkey as research_study_id, c_mktsegment as questionnaire_uuid, 'xnat:subjectData' as xnat_data_type, c_custkey as question_id,
+      nullif(c_mktsegment, 'BUILDING') as group_id, c_name as question_label, 'urn:item:' || c_custkey as questionnaire_item_uri,
+      c_acctbal < 0 as required_flag from customer"""
+)
+def lookup_questions(spark, d):
+    """Every question of each form, by study, data type and form uuid."""
+    c = table(spark, d, "customer")
+    uuid = F.col("c_mktsegment")
+    none = F.lit(None).cast("string")
+    questions = c.select(
+        F.col("c_nationkey").alias("research_study_id"), F.lit("xnat:subjectData").alias("xnat_data_type"), uuid.alias("questionnaire_uuid"),
+        F.col("c_custkey").alias("question_id"), F.nullif(uuid, F.lit("BUILDING")).alias("group_id"), F.col("c_name").alias("question_label"),
+        F.concat(F.lit("urn:item:"), "c_custkey").alias("questionnaire_item_uri"), (F.col("c_acctbal") < 0).alias("required_flag"),
+        *[none.alias(x) for x in E.QUESTION_ATTRIBUTES if x not in ("question_label", "questionnaire_item_uri", "required_flag")],
+    )
+    forms = form_list(spark, d).select("research_study_id", "xnat_data_type", "questionnaire_uuid")
+    return E.lookup_questions(forms, questions).select(
+        "research_study_id", "questionnaire_uuid", "xnat_data_type", "question_id", "group_id", "question_label", "questionnaire_item_uri",
+        "required_flag",
+    )
+
+
 @query(
     """with f as (select distinct c_nationkey, c_mktsegment from customer)
     select c.c_nationkey as research_study_id, c_custkey as response_subject_id, 'urn:subject:' || c_custkey as response_subject_uri,
@@ -246,6 +269,20 @@ def questions_with_form(spark, d):
     return Fm.questions_with_form(form_list(spark, d), questions)
 
 
+@query(
+    """select l_linestatus || l_orderkey || '.' || l_linenumber || '.' || l_partkey || '.' || l_suppkey as uri, case l_linestatus when 'O' then '0' else '0.1' end as response_index_in_list,
+      row_number() over (order by case l_linestatus when 'O' then '0' else '0.1' end,
+        l_linestatus || l_orderkey || '.' || l_linenumber || '.' || l_partkey || '.' || l_suppkey) as row_number from lineitem"""
+)
+def numbered_in_index_order(spark, d):
+    """Two index paths shared by all rows: their places in the whole order."""
+    key = F.concat("l_linestatus", F.concat_ws(".", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    line = table(spark, d, "lineitem").select(
+        key.alias("uri"), F.when(F.col("l_linestatus") == "O", "0").otherwise("0.1").alias("response_index_in_list")
+    )
+    return A.numbered_in_index_order(line, "uri")
+
+
 @query(
     """select l_orderkey, l_linenumber, l_orderkey || '.' || l_linenumber || '.' || l_partkey as response_index_in_list from lineitem"""
 )

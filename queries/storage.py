@@ -4,13 +4,13 @@ below the session's shared folder, then read back by the library's readers."""
 from pyspark.sql import functions as F
 
 from labmeta.operators import graph as G
-from labmeta.plans import loaders
+from labmeta.plans import loaders, sync
 from labmeta.sources import landed as L
 from labmeta.sources.tables import Warehouse, append_rows, overwrite_partitions, shared_folder
 from labmeta.streaming.ingest import ingest_stream
 from queries.cohorts import resources
 from queries.deltas import supplier_versions
-from queries.registry import NAMING, PROC_DT, query, table, uri_sql
+from queries.registry import NAMING, PROC_DT, SQL, query, table, uri_sql
 
 
 def land_text(spark, df, name):
@@ -134,6 +134,29 @@ def read_scans(spark, d):
     return L.read_scans(spark, scan_files(spark, d), "lab")
 
 
+def land_records(spark, rows, name, study):
+    """Envelopes of one record each as one record a line, below a folder for each study."""
+    path = f"{shared_folder(spark)}/{name}"
+    record = F.struct("session_type", F.from_json("body", "array<map<string,string>>")[0].alias("record"))
+    rows.select(study.alias("project"), F.to_json(record).alias("value")).write.partitionBy("project").text(path)
+    return path
+
+
+@query(SQL["read_sessions"])
+def read_sessions_by_record(spark, d):
+    """As ``read_sessions``, from one record a line."""
+    landed = L.read_envelopes(spark, session_files(spark, d), ["project", "session_type"])
+    return L.read_sessions(spark, land_records(spark, landed, "session-records", F.col("project")), "lab", by_record=True)
+
+
+@query(SQL["read_scans"].replace("'P' as research_study_id", "'0' || l_returnflag || '=%/x' as research_study_id"))
+def read_scans_by_record(spark, d):
+    """One record a line, below a folder for each study, whose id may hold any character."""
+    landed = L.read_envelopes(spark, scan_files(spark, d), ["project", "session_type"])
+    flag = F.regexp_extract("body", '"xnat:imagescandata/type":"([^"]*)"', 1)
+    return L.read_scans(spark, land_records(spark, landed, "scan-records", F.concat(F.lit("0"), flag, F.lit("=%/x"))), "lab", by_record=True)
+
+
 def dicom_files(spark, d):
     p = table(spark, d, "part")
     tags = F.array(F.struct(F.lit("(0008,0060)").alias("tag1"), F.lit("Modality").alias("desc"), F.col("p_type").alias("value")))
@@ -254,6 +277,61 @@ def load_log(spark, d):
     return wh.read("load_log")
 
 
+def _segment_subjects(spark, d):
+    """Customers as subjects of their nation, with their segment as a document."""
+    return table(spark, d, "customer").select(
+        F.lit("lab").alias("src_system"), F.col("c_nationkey").cast("string").alias("research_study_id"),
+        F.lit("xnat_project_id").alias("research_study_id_type"), F.col("c_name").alias("research_subject_id"),
+        F.concat(F.lit('{"a": 1, "segment": "'), "c_mktsegment", F.lit('"}')).alias("xnat_custom_fields"), "c_acctbal", "c_mktsegment",
+    )
+
+
+@query(
+    f"""select c_name as research_subject_id, cast(c_nationkey as varchar) as research_study_id,
+      case when c_nationkey = 7 and c_mktsegment = 'BUILDING' then '{{"segment": "HOUSE"}}' else '{{"a": 1, "segment": "' || c_mktsegment || '"}}' end as xnat_custom_fields,
+      cast(case when c_nationkey = 7 and c_mktsegment = 'BUILDING' then 2 else 1 end as integer) as _rev,
+      case when c_nationkey = 7 and c_mktsegment = 'BUILDING' then timestamp '2024-07-01' else timestamp '{PROC_DT}' end as _updatedat
+      from customer where c_nationkey <> 7 or c_acctbal >= 0"""
+)
+def replace_one_study(spark, d):
+    """All studies, then one of them again: some subjects gone, some changed. Only its partition is written."""
+    wh = Warehouse(spark, shared_folder(spark), NAMING, "lab")
+    rows = _segment_subjects(spark, d)
+    loaders.load_table(wh, "research_subject", rows, PROC_DT)
+    one = rows.filter("research_study_id = '7'").select("research_study_id").distinct()
+    text = F.when(F.col("c_mktsegment") == "BUILDING", '{"segment": "HOUSE"}').otherwise(F.col("xnat_custom_fields"))
+    again = rows.filter("research_study_id = '7' and c_acctbal >= 0").withColumn("xnat_custom_fields", text)
+    loaders.load_table(wh, "research_subject", again, "2024-07-01 00:00:00", scope=one)
+    return wh.read("research_subject").select("research_subject_id", "research_study_id", "xnat_custom_fields", "_rev", "_updatedat")
+
+
+@query(
+    f"""select {uri_sql("'lab'", "c_name", "c_nationkey", "'xnat_project_id'")} as resource_uri, '"rdfs:label":"' || c_name || '"' as label,
+      cast(case when c_nationkey < 10 and c_mktsegment = 'BUILDING' and not (c_nationkey = 3 and c_acctbal < 0) then 2 else 1 end as integer) as _rev, c_nationkey = 3 and c_acctbal < 0 as deprecated
+      from customer"""
+)
+def synced_resources(spark, d):
+    """Studies below 10, sync; the others later with an earlier time, sync; nothing new, sync; documents with other spacing and
+    order of keys, sync; some changes and subjects gone, sync."""
+    wh = Warehouse(spark, shared_folder(spark), NAMING, "lab")
+    rows = _segment_subjects(spark, d).withColumn("n", F.col("research_study_id").cast("int"))
+
+    def run(part, proc_dt):
+        scope = rows.filter(part).select("research_study_id").distinct()
+        return lambda df: (loaders.load_table(wh, "research_subject", df.filter(part), proc_dt, scope=scope), sync.sync_resources(wh))
+
+    run("n < 10", "2024-06-01 00:00:00")(rows)
+    run("n >= 10", "2024-01-01 00:00:00")(rows)
+    sync.sync_resources(wh)
+    spaced = F.concat(F.lit('{ "segment" :"'), "c_mktsegment", F.lit('",  "a":1}'))
+    run("n < 10", "2024-07-01 00:00:00")(rows.withColumn("xnat_custom_fields", spaced))
+    changed = F.when(F.col("c_mktsegment") == "BUILDING", "{}").otherwise(spaced)
+    run("n < 10", "2024-08-01 00:00:00")(rows.filter("n <> 3 or c_acctbal >= 0").withColumn("xnat_custom_fields", changed))
+    sync.deprecate_vanished(wh)
+    label = F.regexp_extract("body", '"rdfs:label":"[^"]*"', 0).alias("label")
+    return wh.read("resources").select("resource_uri", label, "_rev", "deprecated")
+
+
 _SUBJECT_URI = uri_sql("'lab'", "c_name", "c_nationkey", "'xnat_project_id'")
 
 

@@ -10,7 +10,10 @@ SAMPLE = [
     "delta_classify", "delta_apply", "replace_scope_status", "keep_repeated", "changed_rows_since", "align_types",
     "stripped_html", "lookup_chain", "flatten_lines", "answers_with_questions", "flatten_questions", "form_group_uri",
     "linked_acquisition_objects", "linked_answers", "optional_answers", "cohort", "reachable_pairs", "read_subjects",
-    "upsert_resources", "streamed_devices", "flatten_deep_answers", "flatten_deep_forms", "flatten_options",
+    "upsert_resources", "streamed_devices", "flatten_deep_answers", "flatten_deep_forms", "flatten_options", "replace_one_study",
+    "synced_resources", "load_log", "cohort_by_scan_name", "cohort_by_power_line", "question_edges", "answer_document_edges",
+    "reachable_items", "existing_answers", "loaded_answers_study", "delta_json_documents", "lookup_questions", "read_scans_by_record",
+    "numbered_in_index_order",
 ]
 
 
