@@ -41,6 +41,234 @@ def spark_type(declared: str, column: str = "") -> T.DataType:
     raise ValueError(f"no Spark type for {declared!r} (column {column!r})")
 
 
+# The columns of each table with their declared types, in order.
+COLUMNS: dict[str, list[tuple[str, str]]] = {
+    "xnat_config": [
+        ("xnat_project_id", "text"),
+        ("last_successful_load_ts", "datetime"),
+    ],
+    "load_log": [
+        ("resource_type", "text"),
+        ("last_success_load_ts", "datetime"),
+    ],
+    "research_study": [
+        ("src_system", "text"),
+        ("research_study_id", "text"),
+        ("research_study_id_type", "text"),
+        ("research_study_title", "text"),
+        ("research_study_uri", "text"),
+        ("research_study_site", "text"),
+        ("research_study_category", "text"),
+        ("research_study_description", "text"),
+        ("research_study_start_date", "datetime"),
+        ("research_study_end_date", "datetime"),
+        ("research_study_principal_investigator", "text"),
+        ("research_study_status", "text"),
+        ("xnat_custom_fields", "text"),
+    ],
+    "research_subject": [
+        ("src_system", "text"),
+        ("research_study_id", "text"),
+        ("research_study_id_type", "text"),
+        ("research_study_title", "text"),
+        ("research_study_uri", "text"),
+        ("research_subject_uri", "text"),
+        ("research_subject_id", "text"),
+        ("xnat_custom_fields", "text"),
+    ],
+    "session": [
+        ("src_system", "text"),
+        ("research_study_id", "text"),
+        ("research_study_id_type", "text"),
+        ("research_study_title", "text"),
+        ("research_study_uri", "text"),
+        ("research_subject_id", "text"),
+        ("research_subject_uri", "text"),
+        ("session_uri", "text"),
+        ("session_id", "text"),
+        ("session_type", "text"),
+        ("session_date", "datetime"),
+        ("accession_id", "text"),
+        ("xnat_custom_fields", "text"),
+    ],
+    "acquisition": [
+        ("src_system", "text"),
+        ("research_study_id", "text"),
+        ("research_study_id_type", "text"),
+        ("research_study_title", "text"),
+        ("research_study_uri", "text"),
+        ("research_subject_id", "text"),
+        ("session_id", "text"),
+        ("session_type", "text"),
+        ("acquisition_uri", "text"),
+        ("acquisition_id", "text"),
+        ("acquisition_type", "text"),
+        ("acquisition_insert_date", "datetime"),
+        ("acquisition_last_modified", "datetime"),
+        ("acquisition_object_quality", "text"),
+        ("device_manufacturer", "text"),
+        ("device_name", "text"),
+        ("session_date", "datetime"),
+        ("research_subject_uri", "text"),
+        ("session_uri", "text"),
+        ("device_uri", "text"),
+        ("accession_id", "text"),
+        ("acquisition_start_date", "text"),
+        ("acquisition_start_time", "text"),
+        ("series_description", "text"),
+        ("xnat_custom_fields", "text"),
+        ("acquisition_modality", "text"),
+    ],
+    "acquisition_object": [
+        ("src_system", "text"),
+        ("research_study_id", "text"),
+        ("research_study_id_type", "text"),
+        ("research_study_title", "text"),
+        ("research_study_uri", "text"),
+        ("research_subject_id", "text"),
+        ("session_id", "text"),
+        ("session_type", "text"),
+        ("acquisition_uri", "text"),
+        ("acquisition_id", "text"),
+        ("acquisition_type", "text"),
+        ("acquisition_insert_date", "datetime"),
+        ("acquisition_last_modified", "datetime"),
+        ("acquisition_object_quality", "text"),
+        ("device_manufacturer", "text"),
+        ("device_name", "text"),
+        ("session_date", "datetime"),
+        ("research_subject_uri", "text"),
+        ("session_uri", "text"),
+        ("device_uri", "text"),
+        ("accession_id", "text"),
+        ("acquisition_start_date", "text"),
+        ("acquisition_start_time", "text"),
+        ("series_description", "text"),
+        ("xnat_custom_fields", "text"),
+        ("dicom_header", "text"),
+        ("acquisition_object_uri", "text"),
+        ("non_dicom_header", "text"),
+        ("dummy_field", "text"),
+    ],
+    "device": [
+        ("src_system", "text"),
+        ("device_uri", "text"),
+        ("device_manufacturer", "text"),
+        ("device_name", "text"),
+    ],
+    "questionnaire_list": [
+        ("src_system", "text"),
+        ("research_study_id", "text"),
+        ("research_study_id_type", "text"),
+        ("research_study_title", "text"),
+        ("research_study_uri", "text"),
+        ("questionnaire_uri", "text"),
+        ("questionnaire_name", "text"),
+        ("questionnaire_title", "text"),
+        ("subject_type", "text"),
+        ("questionnaire_uuid", "text"),
+        ("xnat_data_type", "text"),
+    ],
+    "questionnaire_item_list": [
+        ("src_system", "text"),
+        ("research_study_id", "text"),
+        ("research_study_id_type", "text"),
+        ("research_study_title", "text"),
+        ("research_study_uri", "text"),
+        ("question_id", "text"),
+        ("question_label", "text"),
+        ("question_type", "text"),
+        ("questionnaire_item_uri", "text"),
+        ("questionnaire_name", "text"),
+        ("questionnaire_title", "text"),
+        ("questionnaire_uri", "text"),
+        ("required_flag", "numeric"),
+        ("question_description", "text"),
+        ("group_id", "text"),
+        ("group_uri", "text"),
+        ("enable_when_question", "text"),
+        ("enable_when_operator", "text"),
+        ("enable_when_answer", "text"),
+        ("validate", "text"),
+        ("repeats_flag", "numeric"),
+        ("questionnaire_uuid", "text"),
+        ("subject_type", "text"),
+        ("xnat_data_type", "text"),
+    ],
+    "questionnaire": [
+        ("src_system", "text"),
+        ("research_study_id", "text"),
+        ("research_study_id_type", "text"),
+        ("research_study_title", "text"),
+        ("research_study_uri", "text"),
+        ("questionnaire_name", "text"),
+        ("questionnaire_title", "text"),
+        ("questionnaire_uri", "text"),
+        ("question_id", "text"),
+        ("question_label", "text"),
+        ("question_type", "text"),
+        ("required_flag", "text"),
+        ("questionnaire_item_uri", "text"),
+        ("answer_option_code", "text"),
+        ("answer_option_display", "text"),
+        ("questionnaire_item_answer_option_uri", "text"),
+        ("question_description", "text"),
+        ("group_id", "text"),
+        ("group_uri", "text"),
+        ("questionnaire_uuid", "text"),
+        ("subject_type", "text"),
+        ("xnat_data_type", "text"),
+    ],
+    "questionnaire_response_list": [
+        ("src_system", "text"),
+        ("research_study_id", "text"),
+        ("research_study_id_type", "text"),
+        ("research_study_title", "text"),
+        ("research_study_uri", "text"),
+        ("questionnaire_uri", "text"),
+        ("questionnaire_label", "text"),
+        ("response_subject_uri", "text"),
+        ("response_subject_id", "text"),
+        ("questionnaire_response_uri", "text"),
+        ("questionnaire_uuid", "text"),
+        ("response_subject_type", "text"),
+        ("subject_type", "text"),
+        ("xnat_data_type", "text"),
+    ],
+    "questionnaire_response": [
+        ("src_system", "text"),
+        ("research_study_id", "text"),
+        ("research_study_id_type", "text"),
+        ("research_study_title", "text"),
+        ("research_study_uri", "text"),
+        ("questionnaire_uri", "text"),
+        ("questionnaire_label", "text"),
+        ("response_subject_uri", "text"),
+        ("response_subject_id", "text"),
+        ("response_text", "text"),
+        ("question_type", "text"),
+        ("questionnaire_item_uri", "text"),
+        ("question_label", "text"),
+        ("response_code", "text"),
+        ("response_code_display", "text"),
+        ("response_code_uri", "text"),
+        ("questionnaire_response_uri", "text"),
+        ("questionnaire_response_item_uri", "text"),
+        ("question_group_id", "text"),
+        ("question_group_uri", "text"),
+        ("response_group_uri", "text"),
+        ("question_id", "text"),
+        ("required_flag", "numeric"),
+        ("response_list_group_uri", "text"),
+        ("response_index_in_list", "text"),
+        ("questionnaire_uuid", "text"),
+        ("response_subject_type", "text"),
+        ("subject_type", "text"),
+        ("xnat_data_type", "text"),
+    ],
+}
+
+
 @dataclass(frozen=True)
 class Table:
     """``derived`` columns are recomputed after the delta and left out of its comparison;
@@ -48,7 +276,6 @@ class Table:
     whose spacing and order of keys do not count in a comparison."""
 
     name: str
-    columns: str
     key: tuple[str, ...] = ()
     uri: str | None = None
     resource_type: str | None = None
@@ -61,35 +288,24 @@ class Table:
 
     def __post_init__(self):
         fields = []
-        for item in self.columns.split():
-            name, _, declared = item.partition(":")
-            fields.append(T.StructField(name, spark_type(declared or "text", name)))
+        for name, declared in COLUMNS[self.name]:
+            fields.append(T.StructField(name, spark_type(declared, name)))
         if self.audit:
             for name, declared in zip(AUDIT, ("datetime", "datetime", "integer")):
                 fields.append(T.StructField(name, spark_type(declared, name)))
         object.__setattr__(self, "schema", T.StructType(fields))
 
 
-_STUDY = "src_system research_study_id research_study_id_type research_study_title research_study_uri "
-_SCAN = (
-    "research_subject_id session_id session_type acquisition_uri acquisition_id acquisition_type "
-    "acquisition_insert_date:datetime acquisition_last_modified:datetime acquisition_object_quality "
-    "device_manufacturer device_name session_date:datetime research_subject_uri session_uri device_uri "
-    "accession_id acquisition_start_date acquisition_start_time series_description xnat_custom_fields "
-)
 _STUDY_KEY = ("research_study_id", "research_study_id_type")
 _SCAN_KEY = ("src_system", "research_subject_id", *_STUDY_KEY, "session_id", "acquisition_id")
 
 TABLES: dict[str, Table] = {
     t.name: t
     for t in (
-        Table("xnat_config", "xnat_project_id last_successful_load_ts:datetime", audit=False),
-        Table("load_log", "resource_type last_success_load_ts:datetime", audit=False),
+        Table("xnat_config", audit=False),
+        Table("load_log", audit=False),
         Table(
             "research_study",
-            _STUDY + "research_study_site research_study_category research_study_description "
-            "research_study_start_date:datetime research_study_end_date:datetime "
-            "research_study_principal_investigator research_study_status xnat_custom_fields",
             key=_STUDY_KEY,
             uri="research_study_uri",
             resource_type="fhir:ResearchStudy",
@@ -98,7 +314,6 @@ TABLES: dict[str, Table] = {
         ),
         Table(
             "research_subject",
-            _STUDY + "research_subject_uri research_subject_id xnat_custom_fields",
             key=("src_system", "research_subject_id", *_STUDY_KEY),
             uri="research_subject_uri",
             resource_type="fhir:ResearchSubject",
@@ -107,8 +322,6 @@ TABLES: dict[str, Table] = {
         ),
         Table(
             "session",
-            _STUDY + "research_subject_id research_subject_uri session_uri session_id session_type "
-            "session_date:datetime accession_id xnat_custom_fields",
             key=("src_system", "research_subject_id", *_STUDY_KEY, "accession_id"),
             uri="session_uri",
             resource_type="nidm:Session",
@@ -117,7 +330,6 @@ TABLES: dict[str, Table] = {
         ),
         Table(
             "acquisition",
-            _STUDY + _SCAN + "acquisition_modality",
             key=_SCAN_KEY,
             uri="acquisition_uri",
             resource_type="nidm:Acquisition",
@@ -126,7 +338,6 @@ TABLES: dict[str, Table] = {
         ),
         Table(
             "acquisition_object",
-            _STUDY + _SCAN + "dicom_header acquisition_object_uri non_dicom_header dummy_field",
             key=(*_SCAN_KEY, "dummy_field"),
             uri="acquisition_object_uri",
             resource_type="nidm:AcquisitionObject",
@@ -135,25 +346,18 @@ TABLES: dict[str, Table] = {
         ),
         Table(
             "device",
-            "src_system device_uri device_manufacturer device_name",
             key=("src_system", "device_manufacturer", "device_name"),
             uri="device_uri",
             resource_type="fhir:Device",
         ),
         Table(
             "questionnaire_list",
-            _STUDY + "questionnaire_uri questionnaire_name questionnaire_title subject_type "
-            "questionnaire_uuid xnat_data_type",
             key=(*_STUDY_KEY, "questionnaire_name", "questionnaire_uuid", "xnat_data_type", "subject_type"),
             uri="questionnaire_uri",
             resource_type="fhir:Questionnaire",
         ),
         Table(
             "questionnaire_item_list",
-            _STUDY + "question_id question_label question_type questionnaire_item_uri questionnaire_name "
-            "questionnaire_title questionnaire_uri required_flag:numeric question_description group_id group_uri "
-            "enable_when_question enable_when_operator enable_when_answer validate repeats_flag:numeric "
-            "questionnaire_uuid subject_type xnat_data_type",
             key=(*_STUDY_KEY, "questionnaire_name", "group_id", "question_id", "subject_type", "xnat_data_type"),
             uri="questionnaire_item_uri",
             resource_type="sdo:Question",
@@ -161,10 +365,6 @@ TABLES: dict[str, Table] = {
         ),
         Table(
             "questionnaire",
-            _STUDY + "questionnaire_name questionnaire_title questionnaire_uri question_id question_label "
-            "question_type required_flag questionnaire_item_uri answer_option_code answer_option_display "
-            "questionnaire_item_answer_option_uri question_description group_id group_uri questionnaire_uuid "
-            "subject_type xnat_data_type",
             key=(
                 *_STUDY_KEY, "questionnaire_uuid", "group_id", "question_id", "answer_option_code",
                 "subject_type", "xnat_data_type",
@@ -175,19 +375,12 @@ TABLES: dict[str, Table] = {
         ),
         Table(
             "questionnaire_response_list",
-            _STUDY + "questionnaire_uri questionnaire_label response_subject_uri response_subject_id "
-            "questionnaire_response_uri questionnaire_uuid response_subject_type subject_type xnat_data_type",
             key=(*_STUDY_KEY, "questionnaire_uuid", "response_subject_uri"),
             uri="questionnaire_response_uri",
             resource_type="fhir:QuestionnaireResponse",
         ),
         Table(
             "questionnaire_response",
-            _STUDY + "questionnaire_uri questionnaire_label response_subject_uri response_subject_id response_text "
-            "question_type questionnaire_item_uri question_label response_code response_code_display "
-            "response_code_uri questionnaire_response_uri questionnaire_response_item_uri question_group_id "
-            "question_group_uri response_group_uri question_id required_flag:numeric response_list_group_uri "
-            "response_index_in_list questionnaire_uuid response_subject_type subject_type xnat_data_type",
             # The group URI follows from the group path and the index, so the path stands for it in the key.
             key=(
                 *_STUDY_KEY, "questionnaire_label", "response_subject_uri", "question_id", "response_code",

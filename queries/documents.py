@@ -8,7 +8,22 @@ from labmeta.operators import linked as Li
 from labmeta.sources.tables import spread
 from queries.registry import query, table
 
-CTX = Li.METADATA_CONTEXT
+# Vocabulary addresses that documents carry, written out here so that the SQL does not take them from the code.
+CTX = "https://bluebrain.github.io/nexus/contexts/metadata.json"
+FHIR = {"fhir": "http://hl7.org/fhir/", "rdfs": "http://www.w3.org/2000/01/rdf-schema#"}
+PROV_TR = {"prov": "https://www.w3.org/TR/prov-o/"}
+SCHEMA_ORG = {"sdo": "https://schema.org/"}
+ACTIVITY = {
+    "dcterms": "http://purl.org/dc/terms/",
+    "prov": "http://www.w3.org/ns/prov#",
+    "sio": "http://semanticscience.org/resource/",
+    "nidm": "http://purl.org/nidash/nidm#",
+}
+HEADER_TERMS = {
+    "DICOM": "http://uri.interlex.org/dicom/uris/terms/",
+    "bids": "https://wolfborg.github.io/nidm/bids.html#",
+    "gnmd": "https://genemede.github.io/genemede_glossary.html#",
+}
 
 
 def _context(*terms):
@@ -49,7 +64,7 @@ PERIOD = f"""case when started is not null or ended is not null then '{{"@type":
 
 @query(
     f"""select uri as resource_uri, {doc(
-        _context(Li.FHIR, Li.PROV_TR),
+        _context(FHIR, PROV_TR),
         member("@id", q("uri")), member("@type", "'[" + '"fhir:ResearchStudy","prov:Activity"' + "]'"), member("rdfs:label", q("n_name")),
         member("fhir:ResearchStudy.identifier", f'''
           '{{"@type":"fhir:Identifier","fhir:Identifier.value":' || {value("n_name")} ||
@@ -82,7 +97,7 @@ def linked_studies(spark, d):
 
 @query(
     f"""select 'urn:subject:' || c_custkey as resource_uri, {doc(
-        _context(Li.FHIR),
+        _context(FHIR),
         member("@id", q("'urn:subject:' || c_custkey")), member("@type", "'" + '"fhir:ResearchSubject"' + "'"), member("rdfs:label", q("c_name")),
         member("fhir:ResearchSubject.identifier", f'''
           '{{"@type":"fhir:Identifier","fhir:Identifier.value":' || {value("c_name")} ||
@@ -102,7 +117,7 @@ def linked_subjects(spark, d):
 
 @query(
     f"""select 'urn:session:' || o_orderkey as resource_uri, {doc(
-        _context(Li.FHIR, Li.ACTIVITY),
+        _context(FHIR, ACTIVITY),
         member("@id", q("'urn:session:' || o_orderkey")), member("@type", "'[" + '"prov:Activity","nidm:Session"' + "]'"),
         member("rdfs:label", q("o_orderkey")), member("dcterms:identifier", q("o_orderkey")), member("dcterms:Identifier", q("o_orderkey")),
         member("dcterms:isPartOf", ref("'urn:status:' || o_orderstatus")),
@@ -129,7 +144,7 @@ LABEL = "'Session - ' || l_orderkey || '; Acquisition Scan ID - ' || l_linenumbe
 
 @query(
     f"""select 'urn:scan:' || l_orderkey || ':' || l_linenumber as resource_uri, {doc(
-        _context(Li.FHIR, Li.ACTIVITY),
+        _context(FHIR, ACTIVITY),
         member("@id", q("'urn:scan:' || l_orderkey || ':' || l_linenumber")), member("@type", "'[" + '"prov:Activity","nidm:Acquisition"' + "]'"),
         member("rdfs:label", q(LABEL)), member("dcterms:identifier", q("l_linenumber")),
         member("dcterms:description", q("nullif(l_linestatus, 'O')")),
@@ -181,7 +196,7 @@ _MAPPED = "p_type in ('LARGE', 'MEDIUM')"
 
 
 @query(
-    f"""select 'urn:object:' || p_partkey as resource_uri, '{{"@context":{_context(Li.FHIR, Li.ACTIVITY, Li.HEADER_TERMS)[:-1]},' ||
+    f"""select 'urn:object:' || p_partkey as resource_uri, '{{"@context":{_context(FHIR, ACTIVITY, HEADER_TERMS)[:-1]},' ||
       case when {_DICOM} then '{{"(0009,0010)":"DICOM:0009_0010","Modality":"DICOM:0008_0070"}}' else '{{}}' end || '],' || rtrim({' || '.join([
         member("@id", q("'urn:object:' || p_partkey")), member("@type", "'[" + '"prov:Entity","nidm:AcquisitionObject"' + "]'"),
         member("rdfs:label", q("'Session - S; Acquisition Scan ID - ' || p_partkey")),
@@ -201,7 +216,7 @@ def linked_acquisition_objects(spark, d):
 
 @query(
     f"""select 'urn:device:' || s_suppkey as resource_uri, {doc(
-        _context(Li.FHIR, Li.PROV_TR),
+        _context(FHIR, PROV_TR),
         member("@id", q("'urn:device:' || s_suppkey")), member("@type", "'[" + '"fhir:Device"' + "]'"),
         member("rdfs:label", q("s_name || ' ' || coalesce(model, 'None')")),
         member("fhir:Device.manufacturer", value("s_name", "fhir:string")),
@@ -220,7 +235,7 @@ def linked_devices(spark, d):
 
 @query(
     f"""select 'urn:form:' || p_partkey as resource_uri, {doc(
-        _context(Li.FHIR, Li.PROV_TR),
+        _context(FHIR, PROV_TR),
         member("@id", q("'urn:form:' || p_partkey")), member("@type", "'[" + '"fhir:Questionnaire","prov:Entity"' + "]'"),
         member("rdfs:label", q("p_name")), member("fhir:Questionnaire.name", value("p_name", "fhir:string")),
         member("fhir:Questionnaire.identifier", f'''
@@ -244,7 +259,7 @@ _QI = "fhir:Questionnaire.item"
 
 @query(
     f"""select 'urn:item:' || p_partkey as resource_uri, {doc(
-        _context(Li.FHIR, Li.SCHEMA_ORG, Li.PROV_TR),
+        _context(FHIR, SCHEMA_ORG, PROV_TR),
         member("@id", q("'urn:item:' || p_partkey")),
         member("@type", "'[" + '"fhir:QuestionnaireItemComponent","prov:Entity","sdo:Question"' + "]'"), member("rdfs:label", q("p_partkey")),
         member("@reverse", f'''case when p_size > 25 then '{{"{_QI}.item":' || {ref("'urn:group:' || p_brand")} || '}}'
@@ -274,7 +289,7 @@ def linked_questions(spark, d):
 
 @query(
     f"""select 'urn:option:' || p_partkey as resource_uri, {doc(
-        _context(Li.FHIR),
+        _context(FHIR),
         member("@id", q("'urn:option:' || p_partkey")),
         member("@type", "'" + '"fhir:QuestionnaireItemComponent.QuestionnaireItemAnswerOptionComponent"' + "'"), member("rdfs:label", q("p_brand")),
         member("@reverse", f'''
@@ -295,7 +310,7 @@ def linked_options(spark, d):
 
 @query(
     f"""select 'urn:response:' || o_orderkey as resource_uri, {doc(
-        _context(Li.FHIR, Li.PROV_TR),
+        _context(FHIR, PROV_TR),
         member("@id", q("'urn:response:' || o_orderkey")), member("@type", "'[" + '"fhir:QuestionnaireResponse","prov:Entity"' + "]'"),
         member("rdfs:label", q("'Response for ' || o_orderpriority")),
         member("fhir:QuestionnaireResponse.Questionnaire", ref("'urn:form:' || o_orderpriority")),
@@ -355,7 +370,7 @@ _GROUP, _LIST, _RESP = "'urn:group:' || user_id", "'urn:list:' || event_id", "'u
 
 @query(
     f"""select 'urn:answer:' || event_id as resource_uri, {doc(
-        _context(Li.FHIR, Li.PROV_TR),
+        _context(FHIR, PROV_TR),
         member("@id", q("'urn:answer:' || event_id")), member("@type", "'[" + '"fhir:QuestionnaireResponseItemComponent","prov:Entity"' + "]'"),
         member("rdfs:label", q("'Response for Form'")),
         member("@reverse", f'''case event_type
