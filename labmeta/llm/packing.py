@@ -13,8 +13,8 @@ from __future__ import annotations
 import os
 import re
 from bisect import bisect_left, insort
-from collections.abc import Iterator
-from itertools import accumulate, repeat
+from collections.abc import Callable, Iterator
+from itertools import accumulate, chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -274,6 +274,11 @@ def _fillings(lengths: list[int], counts: list[int], room: int, spare: int) -> I
             yield found
 
 
+def _later(fillings: Callable[[], Iterator[list[tuple[int, int]]]]) -> Iterator[list[tuple[int, int]]]:
+    """All but the first, none of which is looked for before the first of them is asked for."""
+    yield from islice(fillings(), 1, None)
+
+
 def _completed(histogram: dict[int, int], capacity: int, bins: int) -> Plan | None:
     """The best plan of fewer than ``bins`` sequences that bin completion finds. Equal sequences are first taken as often as
     the counts allow, then less often."""
@@ -288,16 +293,25 @@ def _completed(histogram: dict[int, int], capacity: int, bins: int) -> Plan | No
         spare = lambda: (bins - 1) * capacity - total - waste
         if spare() < 0:
             return
-        some = [k for k in lengths if left[k] - (k == largest)]
+        limit = spare()
+
+        def fillings() -> Iterator[list[tuple[int, int]]]:
+            some = [k for k in lengths if left[k] - (k == largest)]
+            return _fillings(some, [left[k] - (k == largest) for k in some], capacity - largest, limit)
+
         seen = []
-        for filling in _fillings(some, [left[k] - (k == largest) for k in some], capacity - largest, spare()):
+        # There may be thousands of sequences below this one before its second filling is asked for, if ever. By then what is
+        # left is as it was, so the lists of lengths are made again and not held.
+        for filling in chain(list(islice(fillings(), 1)), _later(fillings)):
             need = {largest: 1}
             for k, n in filling:
                 need[k] = need.get(k, 0) + n
             each = capacity - sum(k * n for k, n in need.items())
             times = min(left[k] // n for k, n in need.items())
+            if spare() < 0:  # a plan found below leaves no room for a better one here
+                return
             if each * times > spare():
-                times = max(spare(), 0) // each
+                times = spare() // each
             if times:
                 seen.append((need, times, each))
                 yield need, times, each

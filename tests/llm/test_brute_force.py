@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from labmeta.llm import fingerprints, language_mix, line_crf
+from labmeta.llm import fingerprints, language_mix, line_crf, packing
 
 SCHEMA = "doc_id bigint, text string, kept string, doc string, score string, next_text string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -180,3 +180,24 @@ def test_likeness_is_the_share_of_common_hashes(spark):
 def test_fingerprints_of_nothing(spark):
     assert fingerprints.fingerprints(frame(spark, [])).count() == 0
     assert fingerprints.compared_with_edits(frame(spark, [])).count() == 0
+
+
+# Packing
+
+
+@pytest.mark.parametrize("seed", [5, 130, 7])
+def test_a_better_plan_found_below_ends_the_search_above(seed):
+    # With the first two, a plan found deep down left no room where the search went on.
+    rng = random.Random(seed)
+    capacity = rng.choice([60, 100, 200])
+    low = rng.choice([1, capacity // 5, capacity // 4])
+    histogram = {k: rng.randrange(1, 4) for k in range(low, rng.randrange(low + 2, capacity))}
+    found = packing.plan(histogram, capacity)
+    used = Counter()
+    for filling, times in found:
+        assert sum(k * n for k, n in filling) <= capacity
+        for k, n in filling:
+            used[k] += n * times
+    assert used == histogram
+    total = sum(k * n for k, n in histogram.items())
+    assert -(-total // capacity) <= sum(n for _, n in found) <= sum(n for _, n in packing.best_fit(histogram, capacity))
