@@ -225,6 +225,24 @@ class Warehouse:
         fs, folder = self._path(f"{self.root}/_staged")
         fs.delete(folder, True)
 
+    def forget(self, table: str, before: int) -> None:
+        """Delete the versions of a table before ``before`` and the files that no later one names; for a time when no load
+        runs. Versions that the next sync compares with (``sent_versions``) must stay."""
+        versions = range(before, self.version(table) + 1)
+        if not versions:
+            raise ValueError(f"{table} has no version {before}")
+        used = {x for v in versions for own in self.manifest(table, v).values() for x in own}
+        partitioned = self.part(table) is not None
+        fs, folder = self._path(f"{self.root}/{table}")
+        for written in fs.listStatus(folder):
+            name = f"{self.root}/{table}/{written.getPath().getName()}"
+            inner = [f"{name}/{f.getPath().getName()}" for f in fs.listStatus(written.getPath())] if partitioned else [name]
+            stale = [x for x in inner if x not in used]
+            for x in [name] if len(stale) == len(inner) else stale:
+                fs.delete(self._path(x)[1], True)
+        for v in range(1, before):
+            fs.delete(self._path(self._version_file(table, v))[1], False)
+
     def scoped_parts(self, table: str, scope: Column | DataFrame | None) -> set[str] | None:
         """The partitions that a scope lies in; None if it does not tell."""
         needed = "resource_uri" if table == "resources" else "research_study_id"

@@ -107,6 +107,18 @@ def test_documents_are_json_and_complete(loaded):
     assert doc["@context"][2] == {"Modality": "DICOM:0008_0070", "(0009,0010)": "DICOM:0009_0010"}
 
 
+def test_answers_of_one_level_and_study_load_alone(loaded, spark):
+    wh, _ = loaded
+    answers = lambda: {tuple(r) for r in wh.read("questionnaire_response").collect()}
+    before, files = answers(), wh.manifest("questionnaire_response")
+    scope = spark.createDataFrame([("study1",)], "research_study_id string")
+    loaders.load_answers(wh, "2024-02-01 00:00:00", scope, ["fhir:ResearchSubject"])
+    assert answers() == before
+    assert sum(files[p] != x for p, x in wh.manifest("questionnaire_response").items()) == 1
+    wh.clean()
+    assert answers() == before
+
+
 def test_second_run_changes_nothing_then_a_change_moves_one_revision(loaded, spark, tmp_path):
     wh, landing = loaded
     loaders.load_all(wh, landing, "2024-02-01 00:00:00")

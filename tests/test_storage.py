@@ -6,12 +6,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import lab_fixture
 from labmeta.operators import cohort, graph, linked
 from labmeta.operators.align import conform
 from labmeta.operators.answers import Naming, flatten_answers
 from labmeta.operators.forms import flatten_questions, list_forms
-from labmeta.plans import cohorts, loaders, sync
+from labmeta.plans import loaders, sync
 from labmeta.schemas import TABLES
 from labmeta.sources import landed as L
 from labmeta.sources.tables import ConcurrentWriteError, Warehouse, shared_folder
@@ -215,20 +214,16 @@ def test_items_reach_what_their_index_is_above(spark):
     }
 
 
-def test_a_scoped_answer_load_reads_documents_once(spark, tmp_path):
-    landing = lab_fixture.land(tmp_path / "landing")
-    wh = Warehouse(spark, shared_folder(spark), Naming("urn:lab:", "secret"))
-    wh.append("xnat_config", spark.createDataFrame([(s,) for s in lab_fixture.STUDIES], "xnat_project_id string")
-              .withColumn("last_successful_load_ts", F.lit(None).cast("timestamp_ntz")))
-    loaders.load_all(wh, landing, "2024-01-01 00:00:00")
-    before = {tuple(r) for r in wh.read("questionnaire_response").collect()}
-    manifest = wh.manifest("questionnaire_response")
-    loaders.load_answers(wh, "2024-02-01 00:00:00", scope(spark, "study1"), ["fhir:ResearchSubject"])
-    assert {tuple(r) for r in wh.read("questionnaire_response").collect()} == before
-    moved = {p for p, x in wh.manifest("questionnaire_response").items() if manifest[p] != x}
-    assert len(moved) == 1
-    assert cohorts.by_scan_name(wh, "FingerLoc", "male", "Afrikaans", "preprocessing", "yes").count() == 0  # nothing was sent yet
-    sync.sync_resources(wh)
-    assert cohorts.by_scan_name(wh, "FingerLoc", "male", "Afrikaans", "preprocessing", "yes").count() > 0
-    wh.clean()
-    assert {tuple(r) for r in wh.read("questionnaire_response").collect()} == before
+def test_old_versions_are_forgotten(spark, wh):
+    loaders.load_table(wh, "research_subject", subjects(spark, ["a", "b"]), "2024-01-01 00:00:00")
+    loaders.load_table(wh, "research_subject", subjects(spark, ["a"], "t"), "2024-02-01 00:00:00", scope(spark, "a"))
+    loaders.load_table(wh, "research_subject", subjects(spark, ["a"], "u"), "2024-03-01 00:00:00", scope(spark, "a"))
+    wh.forget("research_subject", 3)
+    got = {(r["research_study_id"], r["research_subject_id"][0]) for r in wh.read("research_subject").collect()}
+    assert got == {("a", "u"), ("b", "s")} and wh.version("research_subject") == 3
+    root = f"{wh.root}/research_subject".removeprefix("file:")
+    assert sorted(len([p for p in os.listdir(f"{root}/{x}") if p.startswith("part=")]) for x in os.listdir(root)) == [1, 1]
+    wh.append("load_log", spark.createDataFrame([("x", None)], "resource_type string, last_success_load_ts timestamp_ntz"))
+    wh.append("load_log", spark.createDataFrame([("y", None)], "resource_type string, last_success_load_ts timestamp_ntz"))
+    wh.forget("load_log", 2)
+    assert wh.read("load_log").count() == 2
