@@ -12,7 +12,7 @@ SAMPLE = [
     "linked_acquisition_objects", "linked_answers", "optional_answers", "cohort", "reachable_pairs", "read_subjects",
     "upsert_resources", "streamed_devices", "flatten_deep_answers", "flatten_deep_forms", "flatten_options", "replace_one_study",
     "synced_resources", "load_log", "cohort_by_scan_name", "cohort_by_power_line", "question_edges", "answer_document_edges",
-    "reachable_items", "existing_answers", "loaded_answers_study", "delta_json_documents", "lookup_questions", "read_scans_by_record",
+    "reachable_items", "existing_answers", "delta_json_documents", "lookup_questions", "read_scans_by_record",
     "numbered_in_index_order",
 ]
 
