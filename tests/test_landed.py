@@ -58,3 +58,25 @@ def test_scoped_load_keeps_devices_of_other_studies(spark, tmp_path):
     lines.write.text(part)
     loaders.load_devices(wh, part, "2024-02-01 00:00:00", study)
     assert {tuple(r) for r in wh.read("device").collect()} == before
+
+
+def test_json_lands_compressed_and_splits(spark, tmp_path, monkeypatch):
+    """Landed lines take less room than their text, and no compressed file, which is one task, grows with the table."""
+    from queries import storage
+
+    monkeypatch.setitem(storage.COMPRESSED, "maxRecordsPerFile", 300)
+    rows = spark.range(0, 1000, 1, 2).select(
+        F.lit("lab:aSessionData").alias("session_type"), F.col("id").cast("string").alias("project"),
+        F.concat(F.lit('[{"subject_label":"'), "id", F.lit('","xnat:imagescandata/type":"T"}]')).alias("body"),
+    )
+    conf = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    whole = storage.land_json(spark, rows, "lines")
+    records = storage.land_records(spark, rows, "records", F.concat(F.lit("=%/"), F.col("project") % 3))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == conf
+    for path, text in ((whole, "project"), (records, "record")):
+        lines = spark.read.text(path).select("value", F.input_file_name().alias("file"))
+        assert lines.count() == 1000 and lines.filter(F.contains("value", F.lit(f'"{text}":'))).count() == 1000
+        files = lines.groupBy("file").count().collect()
+        assert all(r["file"].endswith(".gz") and r["count"] <= 300 for r in files)
+    scans = L.read_scans(spark, records, "lab", by_record=True)
+    assert scans.select("research_study_id", "research_subject_id", "acquisition_type").distinct().count() == 1000
