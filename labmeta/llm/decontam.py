@@ -4,7 +4,8 @@ A random walk over a word sequence (CGK embedding) turns edit distance into Hamm
 current word and moves on or stays, by a coin tossed from the step and the word. After an edit two walks fall into step
 again after a while. Every word of a text starts a window of an item's size; its walk is that of all items' windows there, which
 only end at different steps. Bit sampling hashes a few steps of a walk. A window is a candidate for an item if any of many
-such samples agree, and only steps are sampled at which the item's walk has not ended. Candidates are verified by exact
+such samples agree, and only steps are sampled at which the item's walk has not ended. A walk covers few words, so an item is
+sampled along its whole length, from a word in every ``EVERY``: edits in one part leave the others to be found by. Candidates are verified by exact
 edit distance over whole words, around every place where a match near the window can begin.
 
 Items whose share of edits allows one at most are searched exactly: without an edit by the hash of all their words, with
@@ -28,6 +29,8 @@ SIMILARITY = 0.8
 #: Walks, their steps that are sampled, samples in all, and steps of a sample, which are ``GAP`` apart at least. Measured: 0.97
 #: of random matches with as many edits as are allowed have a sample that agrees, and 0.99 of those with half as many.
 WALKS, LENGTH, SAMPLES, STEPS, GAP = 4, 24, 48, 3, 3
+#: Words from one start of an item's walks to the next: as many as a walk covers on average.
+EVERY = LENGTH // 2
 #: Window starts whose walks are made at once, and pairs of a window and an item that are looked at at once.
 TOGETHER, PAIRS = 1 << 14, 1 << 17
 #: Items are sent to tasks in parts of about so many characters, one pass over the documents each.
@@ -133,12 +136,14 @@ def prepare(ids: list[int | None], texts: list[str | None], similarity: float =
     sampled: list[Table | None] = [None] * SAMPLES
     if len(long):
         flat, starts = _separated(hashes, offsets)
+        into = [np.arange(0, len(words[i]), EVERY) for i in long]
+        item, at = np.repeat(long, [len(x) for x in into]), np.concatenate(into)
         for number in range(WALKS):
-            walked = walk(flat, starts[offsets[long]], number)
+            walked = walk(flat, starts[offsets[item] + at], number)
             for i in range(number, SAMPLES, WALKS):
                 inside = (walked[SPOTS[i]] != 0).all(0)
                 if inside.any():
-                    sampled[i] = _table(sample(walked, i)[inside], long[inside])
+                    sampled[i] = _table(sample(walked, i)[inside], item[inside], at[inside])
     return Items(list(ids), words, edits, exact, sampled)
 
 
@@ -232,6 +237,16 @@ def edit_ends(item: np.ndarray, lengths: np.ndarray, text: np.ndarray) -> tuple[
     return done[np.arange(rows), end], end
 
 
+def shared_words(item: np.ndarray, lengths: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """For each row, how many of the item's words stand somewhere in its text row; a word may be taken for another, never the
+    other way round, so it is too many at worst."""
+    rows = np.arange(len(item))[:, None]
+    bits = max(10, (8 * text.shape[1]).bit_length())
+    seen = np.zeros((len(item), 1 << bits), bool)
+    seen[rows, (text >> _U(64 - bits)).view(np.int64)] = True
+    return (seen[rows, (item >> _U(64 - bits)).view(np.int64)] & (np.arange(item.shape[1]) < lengths[:, None])).sum(1)
+
+
 def matches(block: Block, items: Items) -> list[tuple[np.ndarray, ...]]:
     """``text, item, start, end, edits`` of candidates that pass the exact check (words of the text; end exclusive)."""
     rows = candidates(block, items)
@@ -249,6 +264,11 @@ def matches(block: Block, items: Items) -> list[tuple[np.ndarray, ...]]:
         begin = np.maximum(low + span * (edits + 1) - edits, low)
         until = np.minimum(low + (span + 1) * (edits + 1) + edits + n + edits, high)
         stretch = _padded(block.hashes, begin, np.maximum(until - begin, 1), low, high)
+        # A match leaves all words but ``edits`` in place, so most candidates need no edit distance.
+        near = shared_words(own, n, stretch) >= n - edits
+        if not near.any():
+            continue
+        t, i, n, edits, low, begin, own, stretch = (x[near] for x in (t, i, n, edits, low, begin, own, stretch))
         cost, end = edit_ends(own, n, stretch)
         good = cost <= edits
         if good.any():

@@ -368,3 +368,23 @@ def test_samples_tell_unlike_windows_apart_and_repeated_words_add_little():
     rows = decontam.candidates(block, items)
     assert 0 < len(rows) < 8000 / 20 and (rows[:, 1] == 1).all()
     assert any((edits == 0).any() for *_, edits in decontam.matches(block, items))
+
+
+def test_items_are_sampled_along_their_whole_length(spark):
+    rng = random.Random(14)
+    item = [f"w{j}" for j in range(120)]
+    # All the edits that are allowed stand at the beginning, or at the end.
+    head, tail = ([f"x{j}" for j in range(24)] + item[24:], item[:-24] + [f"x{j}" for j in range(24)])
+    pad = lambda: [f"p{rng.randrange(1000)}" for _ in range(50)]
+    docs = [(k, " ".join(pad() + text + pad())) for k, text in enumerate((item, head, tail, item[24:]))]
+    got = decontam.leaks(frame(spark, docs), spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.edits) for r in got} == {(0, 0), (1, 24), (2, 24), (3, 24)}
+
+
+def test_shared_words_are_never_too_few():
+    rng = np.random.default_rng(15)
+    text = decontam.mix(rng.integers(1, 40, (50, 30)).astype(np.uint64))
+    item = decontam.mix(rng.integers(1, 40, (50, 12)).astype(np.uint64))
+    lengths = rng.integers(1, 13, 50)
+    real = [sum(w in set(t) for w in row[:n].tolist()) for row, n, t in zip(item, lengths, text.tolist(), strict=True)]
+    assert (decontam.shared_words(item, lengths, text) >= np.array(real)).all()
