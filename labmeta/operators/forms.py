@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labmeta.functions.text import deepest, join_path
+from labmeta.functions.documents import TYPED, json_object, json_text, scalar_text, walk_documents
+from labmeta.functions.text import join_path
 from labmeta.operators.enrich import subject_type_of
 from labmeta.schemas import FORM_GROUP_TYPES
 
-# Levels opened in one plan; deeper forms go on from a checkpoint.
-LEVELS = 12
-
-_TREE = "key string, components array<string>, columns array<string>"
 _OPTIONS = "array<struct<label: string, value: string>>"
 _ITEM = (
     "key string, label string, type string, description string, validate string, conditional string, "
-    f"multiple string, data struct<values: {_OPTIONS}>, values {_OPTIONS}, components string, columns string"
+    f"multiple string, data struct<values: {_OPTIONS}>, values {_OPTIONS}"
 )
 #: A form body that cannot be read is an error: if its forms just went missing, the next load would delete them.
 STRICT = {"mode": "FAILFAST"}
@@ -53,46 +52,46 @@ def list_forms(documents: DataFrame) -> DataFrame:
     )
 
 
+def _add_items(add: Callable[[tuple], None], form: str, _: None) -> None:
+    """Add (group path, JSON text without the items inside) of every item of a form."""
+
+    def below(node: tuple) -> tuple[list | None, list | None, dict]:
+        own = dict(node)
+        found = own.pop("components", None), own.pop("columns", None)
+        if any(x is not None and type(x) is not list for x in found):
+            raise ValueError("the components or columns of a form item are not a list")
+        return *found, own
+
+    open_ = [(None, item) for item in below(json_object(form, "a form is not a JSON object", TYPED))[0] or ()]
+    while open_:
+        path, item = open_.pop()
+        if item is None:
+            continue
+        if type(item) is not tuple:
+            raise ValueError("a form item is not a JSON object")
+        components, columns, own = below(item)
+        add((path, json_text(tuple(own.items()))))
+        if components is None:
+            open_ += [(path, x) for x in columns or ()]
+            continue
+        key = own.get("key")
+        if key is not None:
+            key = json_text(key) if type(key) in (tuple, list) else scalar_text(key)
+            path = key if path is None else f"{path}.{key}"
+        open_ += [(path, x) for x in components]
+
+
 def walk_items(documents: DataFrame) -> DataFrame:
-    """Every item of every form with its group path, parents before children, in one narrow pipeline.
+    """Every item of every form with its group path, in one pass over the forms and without a shuffle.
 
     Below ``components`` the path grows by the item's key; below ``columns``, and below items without a
-    key, it stays. Each level emits the item and its children in one generator, so there is no union and
-    no shuffle. How many levels there are is taken from the documents first, by one aggregate.
+    key, it stays. Forms are walked in Arrow batches, each once and down to any depth; what an item itself holds is read
+    from its text without the items inside, so that no text is read once for each level around it.
     """
     ids = ["research_study_id", "xnat_data_type", "questionnaire_uuid"]
-    nodes = top_forms(documents).select(
-        *ids,
-        F.explode(F.from_json("form", "components array<string>", STRICT)["components"]).alias("item"),
-        F.lit(None).cast("string").alias("group_id"),
-        F.lit(False).alias("done"),
-    )
-
-    def node(item: Column, path: Column, done: bool) -> Column:
-        return F.struct(item.alias("item"), path.alias("group_id"), F.lit(done).alias("done"))
-
-    # A body holds its top forms three brackets deep, and each level of items adds a list and an object.
-    for level in range(max(1, (deepest(documents, "body") - 3) // 2)):
-        if level and level % LEVELS == 0:
-            nodes = nodes.checkpoint()
-        tree = F.when(~F.col("done"), F.from_json("item", _TREE, STRICT))
-        nodes = nodes.withColumn("tree", tree)
-        below = F.when(
-            F.col("tree.components").isNotNull() & F.col("tree.key").isNotNull(),
-            join_path(F.col("group_id"), F.col("tree.key")),
-        ).otherwise(F.col("group_id"))
-        children = F.coalesce(F.col("tree.components"), F.col("tree.columns"))
-        self_row = F.array(node(F.col("item"), F.col("group_id"), True))
-        expanded = F.when(
-            children.isNotNull(),
-            F.concat(self_row, F.transform(children, lambda c: node(c, below, False))),
-        ).otherwise(self_row)
-        nodes = nodes.select(*ids, F.inline(expanded))
-
-    items = nodes.select(*ids, "group_id", F.from_json("item", _ITEM, STRICT).alias("i"), "done")
-    unopened = ~F.col("done") & F.coalesce("i.components", "i.columns").isNotNull()
-    error = F.raise_error(F.lit("a form is deeper than it was when its levels were counted")).cast("boolean")
-    return items.filter(F.when(unopened, error).otherwise(F.col("i.key").isNotNull())).drop("done")
+    none = F.lit(None).cast("string")
+    nodes = walk_documents(top_forms(documents), ids, F.col("form"), none, "group_id string, item string", _add_items)
+    return nodes.select(*ids, "group_id", F.from_json("item", _ITEM, STRICT).alias("i")).filter(F.col("i.key").isNotNull())
 
 
 def flatten_questions(documents: DataFrame) -> DataFrame:

@@ -90,7 +90,7 @@ def flatten_deep_forms(spark, d):
         F.repeat(F.lit('{"key":"k","label":"Group","type":"container","components":['), depth), F.repeat(F.lit("]}"), depth),
         F.lit("]}]}"),
     )
-    forms = table(spark, d, "orders").select(
+    forms = spread(table(spark, d, "orders")).select(
         F.col("o_orderkey").cast("string").alias("research_study_id"), F.lit("xnat:subjectData").alias("xnat_data_type"), body.alias("body")
     )
     return Fm.flatten_questions(forms).select("research_study_id", "question_id", "question_type", "group_id")
