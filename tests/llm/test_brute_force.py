@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -56,6 +57,32 @@ def test_scores_weigh_lines_by_length():
     assert length.tolist() == [5, 27, 3, 0, 0, 3] and np.allclose(line_crf.scores(texts, w, pair), want)
 
 
+def test_learned_lines_weigh_as_rows_with_their_neighbours(monkeypatch):
+    monkeypatch.setattr(line_crf, "_AT_ONCE", 4)
+    texts = pa.array(["short\na much longer line of words\n!!!", None, "", "one", "a\nb b b\n\n12 34\nEND", "x\ny"])
+    features, _, first = line_crf.line_features(texts)
+    rng = np.random.default_rng(2)
+    w, values = rng.normal(0, 1, features.shape[1]), rng.normal(0, 1, len(features))
+    lines = line_crf._Lines(texts)
+    assert lines.first.tolist() == first.tolist()
+    assert np.allclose(lines.weigh(w), features @ w) and np.allclose(lines.gather(values), features.T @ values)
+
+
+def test_learning_holds_little_beside_the_texts():
+    text = pa.array(["\n".join(f"line {i} of {j}, with some words" for i in range(100)) for j in range(400)])
+    labels = np.arange(400) % 2
+    steps, line_crf.STEPS = line_crf.STEPS, 1
+    tracemalloc.start()
+    try:
+        line_crf.learn_weights(text, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        line_crf.STEPS = steps
+    # 40,000 lines of 252 features: 40 MB as a matrix of floats, and more to make it.
+    assert peak < 40e6
+
+
 # Language mixtures
 
 
