@@ -273,9 +273,11 @@ def assign_group_uri(
         )
         .distinct()
     )
-    same = (F.col("question_group_id") == F.col("_owner_path")) & (
-        parent_index(F.col("response_index_in_list")) == F.col("_owner_index")
-    )
+    path, index = F.col("question_group_id"), parent_index(F.col("response_index_in_list"))
+    # Paths and indexes are few, so rows sorted by them first are compared column by column; hashes of all keys are not.
+    hashed = [c for c in scope if answers.schema[c].dataType == source.schema[c].dataType]
+    owner = owner.withColumn("_owner_hash", F.xxhash64("_owner_path", "_owner_index", *[f"_owner_{c}" for c in hashed]))
+    same = (F.xxhash64(path, index, *hashed) == F.col("_owner_hash")) & (path == F.col("_owner_path")) & (index == F.col("_owner_index"))
     for c in scope:
         same = same & F.col(c).eqNullSafe(F.col(f"_owner_{c}"))
     columns = [c for c in answers.columns if c != "response_group_uri"]

@@ -91,3 +91,27 @@ def test_reuse_list_uri_raises_on_several(spark):
     assert got == {"q": "old1", "q9": "new9"}
     with pytest.raises(Exception, match="several stored list URIs"):
         A.reuse_list_uri(stored.unionByName(stored.limit(1)), new).collect()
+
+
+def test_group_uris_meet_by_a_hash_of_all_keys_and_by_each_key(spark):
+    columns = "study {}, form string, subject string, question_id string, question_group_id string, response_index_in_list string, question_type string, questionnaire_response_item_uri string"
+    scope = ("study", "form", "subject")
+    groups = [
+        (1, None, "s1", "box", None, "0", "container", "urn:1"), (None, "f", "s1", "box", None, "0", "container", "urn:2"),
+        (1, None, "s1", "box", None, "0", "container", "urn:1"), (1, "f", "s2", "é", "box", "0.\n", "datagrid", "urn:3"),
+        (1, "f", "s2", "text", None, "0", "textfield", "urn:no group"),
+    ]
+    rows = [
+        (1, None, "s1", "a", "box", "0.1", "textfield", None), (None, "f", "s1", "b", "box", "0.7", "textfield", None),
+        (1, "f", "s1", "c", "box", "0.1", "textfield", None), (1, "f", "s2", "d", "box.é", "0.\n.3", "textfield", None),
+        (1, None, "s1", "e", "box", "0.1.2", "textfield", None), (1, None, "s1", "f", None, "0", "textfield", None),
+        (1, None, "s1", "g", "box", None, "textfield", None),
+    ]
+    want = {"a": "urn:1", "b": "urn:2", "c": None, "d": "urn:3", "e": None, "f": None, "g": None}
+    answers = spark.createDataFrame(rows, columns.format("int"))
+    for kind in ("int", "bigint"):  # equal numbers of unlike types have unlike hashes
+        found = A.assign_group_uri(answers, spark.createDataFrame(groups, columns.format(kind)), scope)
+        got = [(r.question_id, r.response_group_uri) for r in found.collect()]
+        assert len(got) == len(rows) and dict(got) == want
+    joined = found._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.index("_owner_hash") < joined.index("_owner_path")
