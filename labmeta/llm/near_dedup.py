@@ -353,6 +353,12 @@ def joined_components(parts: DataFrame, links: DataFrame) -> DataFrame:
     return every.join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
 
 
+def _kept(rows: DataFrame, each: int = 20_000) -> DataFrame:
+    """``rows``, computed once; they are read in as many tasks as they need, not as many as the shuffle had partitions."""
+    rows = rows.checkpoint()
+    return rows.coalesce(rows.count() // each + 2)
+
+
 def _prefix(key: str, depth: int):
     return F.substring(key, 1, 2 * depth)
 
@@ -374,9 +380,9 @@ def linked_parts(sets: DataFrame, places: DataFrame, texts: DataFrame, size: int
     threshold = num / den
     depth = prefix_depth(threshold)
     cut = threshold - 4 * (threshold * (1 - threshold) / HASHES) ** 0.5
-    regions = _regions(sets.select("doc", "sign"), depth).checkpoint()
+    regions = _kept(_regions(sets.select("doc", "sign"), depth))
     near = texts.join(places.join(regions.select("doc").distinct(), "doc"), ["row", "text_hash"])
-    near = near.dropDuplicates(["row", "text_hash"]).select("doc", "text").checkpoint()
+    near = _kept(near.dropDuplicates(["row", "text_hash"]).select("doc", "text"), 2_000)
     here = F.xxhash64("tree", "region")
     # Round 1: crowded regions at greater depths, and in blocks where even whole keys are crowded.
     deeper = regions.filter(F.col("n_here") > CROWD)
@@ -394,15 +400,15 @@ def linked_parts(sets: DataFrame, places: DataFrame, texts: DataFrame, size: int
         rows = rows.join(sets, "doc").select("at", "doc", "n", "part", "tree", *columns, "sign")
         return rows.repartition("at").sortWithinPartitions("at", "doc")
 
-    first = grouped(groups.withColumn("part", F.col("doc"))).mapInArrow(
+    first = _kept(grouped(groups.withColumn("part", F.col("doc"))).mapInArrow(
         _forests(cut, num, den), "a bigint, b bigint, tree int, group bigint"
-    )
+    ))
     links = confirmed(first, near, size, num, den).checkpoint()
     # Round 2: what shares a region at the shortest prefix and is not joined yet.
     parts = components(links).checkpoint()
-    member = regions.select("tree", here.alias("region"), "doc", "n_here").join(
+    member = _kept(regions.select("tree", here.alias("region"), "doc", "n_here").join(
         parts, F.col("doc") == F.col("node"), "left"
-    ).select("tree", "region", "doc", "n_here", F.coalesce("component", "doc").alias("part")).checkpoint()
+    ).select("tree", "region", "doc", "n_here", F.coalesce("component", "doc").alias("part")))
     split = member.groupBy("tree", "region", "part").agg(F.count("*").alias("n")).groupBy("tree", "region").agg(
         F.max_by("part", "n").alias("largest"), F.count("*").alias("n_parts")
     ).filter("n_parts > 1").drop("n_parts")
@@ -442,10 +448,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     schema = "row bigint, text_hash bigint, n bigint, d1 bigint, d2 bigint, sign binary"
     sets = texts.mapInArrow(_signatures(size), schema).checkpoint()
     key = ["d1", "d2", "row", "text_hash"]
-    classes = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min(F.struct("row", "text_hash")).alias("first"))
+    classes = _kept(sets.filter("n > 0").groupBy("d1", "d2").agg(F.min(F.struct("row", "text_hash")).alias("first")))
     places = classes.select(F.col("d1").alias("doc"), "first.row", "first.text_hash")
     reps = sets.join(classes.select("d1", "d2", "first.*"), key, "left_semi").dropDuplicates(key)
-    parts = linked_parts(reps.select(F.col("d1").alias("doc"), "n", "sign"), places, texts, size, num, den)
+    parts = linked_parts(_kept(reps.select(F.col("d1").alias("doc"), "n", "sign")), places, texts, size, num, den)
     parts = parts.withColumnRenamed("node", "d1").join(classes.select("d1", "first"), "d1")
     top = parts.groupBy("component").agg(F.min("first").alias("top"))
     named = classes.join(parts.join(top, "component").select("d1", "top"), "d1", "left")

@@ -325,6 +325,30 @@ def test_language_and_quality(spark):
     assert line_crf.learn(frame(spark, good), labels.limit(0)) is None
 
 
+def test_near_duplicates_propose_pairs_once(spark, monkeypatch):
+    # Proposals were made twice, once for the texts of a group and once for its pairs, with all shuffles before them.
+    rng = random.Random(5)
+    rows = [(k, " ".join(words(rng, 60, 900))) for k in range(30)]
+    rows += [(100 + k, f"{rows[k][1]} and{k}") for k in range(10)] + [(200 + k, rows[k][1]) for k in range(10)]
+    made, real = spark.sparkContext.accumulator(0), near_dedup._forests
+
+    def counted(*a):
+        run = real(*a)
+
+        def task(batches):
+            for batch in run(batches):
+                made.add(len(set(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("tree").to_pylist(), strict=True))))
+                yield batch
+
+        return task
+
+    monkeypatch.setattr(near_dedup, "_forests", counted)
+    out = {r.doc_id: r for r in near_dedup.near_duplicates(frame(spark, rows), 3, 80, 100).collect()}
+    assert all(out[100 + k].component_id == out[200 + k].component_id == k for k in range(10))
+    assert sum(r.kept for r in out.values()) == 30
+    assert 10 <= made.value <= 10 * near_dedup.TREES
+
+
 def test_language_model(spark, texts):
     import math
     from collections import Counter
