@@ -417,6 +417,21 @@ def test_language_model_learns_all_words_from_all_rows(spark, monkeypatch):
     assert vocab.words == 3000 and vocab.word_classes == 55
 
 
+def test_language_model_sends_weights_and_vocabulary_once(spark, monkeypatch):
+    # Weights went to all executors before the first round too, and stayed there; each function had a vocabulary of its own.
+    import os
+
+    rng = random.Random(3)
+    docs = frame(spark, [(k, " ".join(words(rng, 30, 200))) for k in range(40)])
+    asked, fit, score, rare = [], gated_lm._fit, gated_lm._score, gated_lm._rare
+    monkeypatch.setattr(gated_lm, "_fit", lambda *a: asked.append(a[:2]) or fit(*a))
+    monkeypatch.setattr(gated_lm, "_score", lambda *a: asked.append(a) or score(*a))
+    monkeypatch.setattr(gated_lm, "_rare", lambda *a: asked.append((None, *a)) or rare(*a))
+    assert len(gated_lm.score_documents(docs, F.col("doc_id") % 4 != 0).collect()) == 40
+    assert len(asked) == gated_lm.ROUNDS + 2 and len({id(a[1]) for a in asked}) == 1
+    assert asked[0][0] is None and not os.path.exists(asked[1][0]._path) and os.path.exists(asked[2][0]._path)
+
+
 def _with_learner(run, learn):
     def task(batches):
         gated_lm.Learner.learn = learn
