@@ -261,26 +261,44 @@ def assign_group_uri(
     answers: DataFrame, groups: DataFrame | None = None,
     scope: Sequence[str] = ("research_study_id", "questionnaire_uuid", "response_subject_uri"),
 ) -> DataFrame:
-    """Give each answer the URI of the group answer at its path and parent index, for the same subject."""
-    source = answers if groups is None else groups
+    """Give each answer the URI of the group answer at its path and parent index, for the same subject.
+
+    The group answers are those of ``answers``, or of ``groups``.
+    """
+    columns = [c for c in answers.columns if c != "response_group_uri"]
+    path, index = F.col("question_group_id"), parent_index(F.col("response_index_in_list"))
+    is_group = F.col("question_type").isin(*ANSWER_GROUP_TYPES)
+    own_path = join_path(F.col("question_group_id"), F.col("question_id"))
+    own_index, uri = F.col("response_index_in_list"), F.col("questionnaire_response_item_uri")
+    if groups is None:
+        # A subject's answers to a form come from one document. They are dealt once and together, so they pack well; a join would
+        # deal them by all keys, and group answers twice more. After that a group answer stands once more, under its own path and index.
+        owner, hashed = F.col("_owner"), F.xxhash64(*scope).alias("_hash")
+        group = F.coalesce(is_group, F.lit(False)) & own_index.isNotNull()
+        dealt = answers.select(*columns, group.alias("_group"), F.when(group, uri).alias("_uri")).repartition(*scope)
+        twice = F.when(F.col("_group"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+        rows = dealt.select("*", hashed, F.explode(twice).alias("_owner")).select(
+            "_hash", "_owner", *scope, *[F.when(~owner, F.col(c)).alias(c) for c in columns if c not in scope],
+            F.when(owner, own_path).otherwise(path).alias("_path"), F.when(owner, own_index).otherwise(index).alias("_index"),
+            F.when(owner, F.struct("_uri")).alias("_uri"),
+        )
+        found = F.collect_set("_uri").over(Window.partitionBy("_hash", *scope, "_path", "_index"))
+        answered = rows.select(*columns, "_owner", found.alias("_found")).filter(~owner)
+        return answered.select(*columns, F.explode_outer("_found").alias("_found")).select(*columns, F.col("_found._uri").alias("response_group_uri"))
     owner = (
-        source.filter(F.col("question_type").isin(*ANSWER_GROUP_TYPES))
+        groups.filter(is_group)
         .select(
-            *[F.col(c).alias(f"_owner_{c}") for c in scope],
-            join_path(F.col("question_group_id"), F.col("question_id")).alias("_owner_path"),
-            F.col("response_index_in_list").alias("_owner_index"),
-            F.col("questionnaire_response_item_uri").alias("_owner_uri"),
+            *[F.col(c).alias(f"_owner_{c}") for c in scope], own_path.alias("_owner_path"), own_index.alias("_owner_index"),
+            uri.alias("_owner_uri"),
         )
         .distinct()
     )
-    path, index = F.col("question_group_id"), parent_index(F.col("response_index_in_list"))
     # Paths and indexes are few, so rows sorted by them first are compared column by column; hashes of all keys are not.
-    hashed = [c for c in scope if answers.schema[c].dataType == source.schema[c].dataType]
+    hashed = [c for c in scope if answers.schema[c].dataType == groups.schema[c].dataType]
     owner = owner.withColumn("_owner_hash", F.xxhash64("_owner_path", "_owner_index", *[f"_owner_{c}" for c in hashed]))
     same = (F.xxhash64(path, index, *hashed) == F.col("_owner_hash")) & (path == F.col("_owner_path")) & (index == F.col("_owner_index"))
     for c in scope:
         same = same & F.col(c).eqNullSafe(F.col(f"_owner_{c}"))
-    columns = [c for c in answers.columns if c != "response_group_uri"]
     return answers.join(owner, same, "left").select(*columns, F.col("_owner_uri").alias("response_group_uri"))
 
 

@@ -115,3 +115,28 @@ def test_group_uris_meet_by_a_hash_of_all_keys_and_by_each_key(spark):
         assert len(got) == len(rows) and dict(got) == want
     joined = found._jdf.queryExecution().optimizedPlan().toString()
     assert joined.index("_owner_hash") < joined.index("_owner_path")
+
+
+def test_group_uris_are_found_with_one_shuffle_of_the_answers(spark):
+    # Answers were dealt by all keys, group answers twice more.
+    columns = "research_study_id string, questionnaire_uuid string, response_subject_uri string, question_id string, question_group_id string, response_index_in_list string, question_type string, questionnaire_response_item_uri string, response_group_uri string"
+    rows = []
+    for s in ("s1", "s2", None):
+        rows += [
+            ("S", "f", s, "box", None, "0", "container", f"urn:{s}:box", "stale"), ("S", "f", s, "grid", "box", "0.1", "datagrid", f"urn:{s}:grid", "stale"),
+            ("S", "f", s, "cell", "box.grid", "0.1.0", "textfield", f"urn:{s}:cell", "stale"), ("S", "f", s, "lost", "box.grid", "0.2.0", None, None, "stale"),
+            ("S", "f", s, "no index", "box", None, "container", f"urn:{s}:none", "stale"),
+        ]
+    rows += rows[:2] + [("S", None, "s1", "cell", "box.grid", "0.1.0", "textfield", None, None), ("S", "f", "s2", "grid", "box", "0.1", "tree", None, None)]
+    answers = spark.createDataFrame(rows, columns)
+    found = A.assign_group_uri(answers)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join " not in plan
+    got = sorted((r.response_subject_uri or "-", r.questionnaire_uuid or "-", r.question_id, r.response_group_uri or "-") for r in found.collect())
+    want = []
+    for s, copies, cells in (("s1", 2, ["urn:s1:grid"]), ("s2", 1, ["urn:s2:grid", "-"]), ("None", 1, ["urn:None:grid"])):
+        own = [("box", "-")] * copies + [("grid", f"urn:{s}:box")] * (2 if s == "s2" else copies)
+        own += [("cell", u) for u in cells] + [("lost", "-"), ("no index", "-")]
+        want += [("-" if s == "None" else s, "f", *x) for x in own]
+    assert got == sorted([*want, ("s1", "-", "cell", "-")])
+    assert found.columns == answers.columns
