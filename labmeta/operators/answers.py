@@ -307,9 +307,12 @@ LIST_KEY = (
 )
 
 
-def stored_list_uris(existing: DataFrame, key: Sequence[str] = LIST_KEY) -> DataFrame:
-    """The stored list URI per key; several different rows under one key with an index are an error."""
-    grouped = existing.groupBy(*key).agg(
+def stored_list_uris(existing: DataFrame, key: Sequence[str] = LIST_KEY, dealt: Sequence[str] = ()) -> DataFrame:
+    """The stored list URI per key; several different rows under one key with an index are an error.
+
+    ``dealt`` are further columns that follow from the key, by which ``existing`` is dealt already.
+    """
+    grouped = existing.groupBy(*dealt, *key).agg(
         F.count(F.lit(1)).alias("_n"), F.max("response_list_group_uri").alias("_stored_uri")
     )
     uri = F.when(F.col("_n") == 1, F.col("_stored_uri"))
@@ -318,20 +321,30 @@ def stored_list_uris(existing: DataFrame, key: Sequence[str] = LIST_KEY) -> Data
         uri = F.when(
             several, F.raise_error(F.lit("several stored list URIs for one answer")).cast("string")
         ).otherwise(uri)
-    return grouped.select(*[F.col(c).alias(f"_list_{c}") for c in key], uri.alias("_stored_uri"))
+    return grouped.select(*dealt, *[F.col(c).alias(f"_list_{c}") for c in key], uri.alias("_stored_uri"))
 
 
 def reuse_list_uri(existing: DataFrame, answers: DataFrame, key: Sequence[str] = LIST_KEY) -> DataFrame:
     """Keep the list URI that is stored for the same answer; otherwise leave the new one."""
-    side = stored_list_uris(existing, key)
-    same = F.lit(True)
-    for c in key:
-        same = same & F.col(c).eqNullSafe(F.col(f"_list_{c}"))
     columns = [
         F.coalesce(F.col("_stored_uri"), F.col(c)).alias(c) if c == "response_list_group_uri" else F.col(c)
         for c in answers.columns
     ]
-    return answers.join(side, same, "left").select(*columns)
+
+    def same(stored: Callable[[str], Column]) -> Column:
+        found = F.lit(True)
+        for c in key:
+            found = found & F.col(c).eqNullSafe(stored(f"_list_{c}"))
+        return found
+
+    if any(existing.schema[c].dataType != answers.schema[c].dataType for c in key):  # equal values may have unlike hashes
+        return answers.join(stored_list_uris(existing, key), same(F.col), "left").select(*columns)
+    # Dealt by one hash, stored rows are grouped and joined after one shuffle; keys of an equal hash are told apart in its row.
+    stored = stored_list_uris(existing.withColumn("_hash", F.xxhash64(*key)).repartition("_hash"), key, ["_hash"])
+    side = stored.groupBy("_hash").agg(F.collect_list(F.struct(*stored.columns[1:])).alias("_stored"))
+    own = F.get(F.filter("_stored", lambda x: same(lambda c: x[c])), F.lit(0))["_stored_uri"]
+    joined = answers.withColumn("_hash", F.xxhash64(*key)).join(side, "_hash", "left")
+    return joined.withColumn("_stored_uri", own).select(*columns)
 
 
 def in_index_order(answers: DataFrame, *ties: str) -> DataFrame:
@@ -370,4 +383,5 @@ def existing_answers(answers: DataFrame, study: str, subject_type: str) -> DataF
 def answers_in_scope(answers: DataFrame, subjects: DataFrame) -> DataFrame:
     """Stored answers of the studies and levels of ``subjects``: one semi-join before anything is grouped."""
     scope = ["research_study_id", "response_subject_type"]
-    return answers.join(subjects.select(*scope).distinct(), scope, "left_semi")
+    # One row for each study and level, so it is broadcast: stored answers are not dealt by so few keys.
+    return answers.join(F.broadcast(subjects.select(*scope).distinct()), scope, "left_semi")

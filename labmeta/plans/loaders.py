@@ -47,10 +47,16 @@ def load_table(
     load = apply_delta(
         delta, proc_dt, table.uri, wh.naming.base, table.key, wh.naming.salt, wh.naming.delimiter, uri_when=uri_when
     )
+    staged = None
     if after is not None:
-        # ``after`` joins the load with itself, so it is written once and read back.
-        load = after(wh.staged(load))
-    return wh.publish(name, load, base=base) if scope is None else wh.replace(name, load, scope, base)
+        # ``after`` joins the load with itself, so it is written once and read back. It finds the derived columns anew.
+        none = {c: F.lit(None).cast(table.schema[c].dataType) for c in table.derived}
+        staged = wh.new_folder()
+        load = after(wh.staged(load.withColumns(none), staged))
+    published = wh.publish(name, load, base=base) if scope is None else wh.replace(name, load, scope, base)
+    if staged is not None:
+        wh.discard(staged)
+    return published
 
 
 def load_studies(

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from labmeta.operators import answers as A
 
@@ -140,3 +141,16 @@ def test_group_uris_are_found_with_one_shuffle_of_the_answers(spark):
         want += [("-" if s == "None" else s, "f", *x) for x in own]
     assert got == sorted([*want, ("s1", "-", "cell", "-")])
     assert found.columns == answers.columns
+
+
+def test_stored_list_uris_are_grouped_and_joined_after_one_shuffle(spark):
+    schema = "response_subject_uri string, questionnaire_label string, question_id string, question_group_id string, response_index_in_list string, response_list_group_uri string"
+    stored = [("a", None, "q", None, "0.1", "old1"), (None, "a", "q", None, "0.1", "old2"), ("s", "f", "q", "p", "0.2", "old3"), ("s", "f", "q", "p", None, "x"), ("s", "f", "q", "p", None, "y")]
+    new = [("a", None, "q", None, "0.1", "new1"), (None, "a", "q", None, "0.1", "new2"), (None, "a", "q", "0.1", None, "new3"), ("s", "f", "q", "p", "0.2", "new4"),
+           ("s", "f", "q", "p", "0.2", "new5"), ("s", "f", "q", "p", None, "new6"), (None, None, None, None, None, None)]
+    found = A.reuse_list_uri(spark.createDataFrame(stored, schema), spark.createDataFrame(new, schema))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 2
+    assert sorted(str(r.response_list_group_uri) for r in found.collect()) == ["None", "new3", "new6", "old1", "old2", "old3", "old3"]
+    other = spark.createDataFrame([("1", "f", "q", None, "0.1", "old")], schema).withColumn("response_subject_uri", F.col("response_subject_uri").cast("int"))
+    same = spark.createDataFrame([("1", "f", "q", None, "0.1", "new")], schema).withColumn("response_subject_uri", F.col("response_subject_uri").cast("bigint"))
+    assert [r.response_list_group_uri for r in A.reuse_list_uri(other, same).collect()] == ["old"]
