@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +155,21 @@ def test_stored_list_uris_are_grouped_and_joined_after_one_shuffle(spark):
     other = spark.createDataFrame([("1", "f", "q", None, "0.1", "old")], schema).withColumn("response_subject_uri", F.col("response_subject_uri").cast("int"))
     same = spark.createDataFrame([("1", "f", "q", None, "0.1", "new")], schema).withColumn("response_subject_uri", F.col("response_subject_uri").cast("bigint"))
     assert [r.response_list_group_uri for r in A.reuse_list_uri(other, same).collect()] == ["old"]
+
+
+def test_top_level_answers_are_not_dealt_to_one_task_by_their_missing_path(spark):
+    columns = "src_system string, research_study_id string, xnat_data_type string, question_id string, question_group_id string, questionnaire_label string"
+    joined = spark.createDataFrame(
+        [("lab", "S", "t", "f", None, "Form"), ("lab", "S", "t", "map", "f", "Form"), (None, "S", "t", "typed", "f.map", None), (None, "S", "t", "f.map", None, None),
+         (None, None, "t", "typed", "f.map", None), (None, "S", "t", "x", "gone", None), (None, "S", "t", None, None, None), (None, "S", "t", None, "f.map", None)],
+        columns,
+    )
+    maps = spark.createDataFrame([("lab", "S", "t", "f.map", "Form"), ("lab", None, "t", "f.map", "No study"), ("lab", "S", "t", None, "No path")], columns.replace("question_id string, ", ""))
+    rows = lambda df: sorted(tuple(map(str, r)) for r in df.select("question_id", "question_group_id", "questionnaire_label").collect())
+    found = A.datamap_answers(joined, maps)
+    assert re.search(r"hashpartitioning\(.*coalesce\(question_group_id#\d+, question_id#\d+\)", found._jdf.queryExecution().executedPlan().toString())
+    kept = [("None", "f.map", "Form"), ("f", "None", "Form"), ("map", "f", "Form"), ("typed", "f.map", "Form"), ("typed", "f.map", "No study")]
+    assert rows(found) == sorted([*kept, ("None", "None", "None"), ("f.map", "None", "None"), ("x", "gone", "None")])
+    assert rows(A.drop_inactive(found)) == sorted(kept)
+    assert rows(A.maybe_active(joined)) == sorted([("None", "f.map", "None"), ("f", "None", "Form"), ("map", "f", "Form"), *[("typed", "f.map", "None")] * 2, ("x", "gone", "None")])
+    assert rows(A.drop_inactive(A.datamap_answers(A.maybe_active(joined), maps))) == sorted(kept)
