@@ -432,6 +432,38 @@ def test_language_model_sends_weights_and_vocabulary_once(spark, monkeypatch):
     assert asked[0][0] is None and not os.path.exists(asked[1][0]._path) and os.path.exists(asked[2][0]._path)
 
 
+def test_language_model_scores_late_steps_together(monkeypatch):
+    # Output probabilities were computed for every 16 steps, however few texts were left: a long text paid for each class each time.
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    counts = np.sort(rng.integers(2, 90, 60))[::-1]
+    classes = np.arange(60) // 8
+    vocab = gated_lm.Vocabulary({b"w%d" % i: i for i in range(60)}, counts, classes, np.searchsorted(classes, np.arange(9)), 1, 5000, 61, 9, np.ones(gated_lm.SHAPES), np.ones(gated_lm.SHAPES))
+    model = gated_lm.Model(vocab)
+    model.w["o"] += rng.normal(0, 0.5, model.w["o"].shape).astype(np.float32)
+    model.w["c"] += rng.normal(0, 0.5, model.w["c"].shape).astype(np.float32)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 70, n)) for n in (700, 3, 0, 40, 1)]
+    codes, kinds, ids, offsets, _ = gated_lm.encode(texts, vocab)
+    real, calls = gated_lm.output_logs, []
+    monkeypatch.setattr(gated_lm, "output_logs", lambda *a: calls.append(len(a[2])) or real(*a))
+    found = gated_lm.network_logs(model, codes, kinds, ids, offsets)
+    assert calls == [len(codes)]
+    monkeypatch.setattr(gated_lm, "AT_ONCE_SCORED", 50)
+    assert np.allclose(found, gated_lm.network_logs(model, codes, kinds, ids, offsets), rtol=1e-6) and sum(calls[1:]) == len(codes) and len(calls) > 10
+    log_p = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+    for k in range(len(texts)):
+        h, last, want = np.zeros((1, gated_lm.HIDDEN), np.float32), model.end, 0.0
+        for j in range(offsets[k], offsets[k + 1]):
+            h = model.step(h, np.array([last]))[0]
+            want += log_p(h[0] @ model.w["c"] + model.w["cb"])[kinds[j]]
+            if codes[j] >= 0:
+                own = slice(int(vocab.bounds[kinds[j]]), int(vocab.bounds[kinds[j] + 1]))
+                want += log_p(model.w["o"][own] @ h[0] + model.w["ob"][own])[codes[j] - own.start]
+            last = ids[j]
+        assert np.isclose(found[k], want, rtol=1e-4)
+
+
 def _with_learner(run, learn):
     def task(batches):
         gated_lm.Learner.learn = learn
